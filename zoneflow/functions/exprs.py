@@ -62,7 +62,7 @@ def strip(c: Column) -> Column:
 
 def split_any(c: Column, separators: str) -> Column:
     """Pieces between any of the separator characters, empty ones included."""
-    return F.split(c, f"[{separators}]")
+    return F.split(F.translate(c, separators, "\n" * len(separators)), "\n")
 
 
 def last_wins_map(df: DataFrame, pairs: str, name: str) -> DataFrame:

@@ -22,7 +22,7 @@ from zoneflow.sources.workdir import materialise
 MAX_GROUP_ROWS = 100_000
 
 _SKETCH_K = 1000  # rank error about 0.3 %, 10 to 20 kB per sketch
-_GRID = 200  # bracket ends are read off the sketch in steps of 0.5 %
+_GRID = 128  # bracket ends are read off the sketch in steps of 1 / 128
 _MERGE_WAYS = 64  # first merge level per hot key, so that no one task merges every partial sketch
 _MAX_ROUNDS = 64
 
@@ -95,8 +95,9 @@ def _inside(v: Column, lo: Column, hi: Column) -> Column:
 def _probe(j: int, rank: Column, n: Column, lo: Column, hi: Column, sketch: Column) -> list[Column]:
     """Bracket around relative position ``rank`` of the ``n`` sketched values, inside (lo, hi)."""
     has = F.kll_sketch_get_n_double(sketch) > 0
-    grid = F.when(has, F.kll_sketch_get_quantile_double(sketch, F.array(*(F.lit(i / _GRID) for i in range(_GRID + 1)))))
-    at = (rank + 0.5) / n * _GRID
+    steps = F.expr("array(" + ", ".join(f"{i / _GRID!r}D" for i in range(_GRID + 1)) + ")")
+    grid = F.when(has, F.kll_sketch_get_quantile_double(sketch, steps))
+    at = F.try_divide(rank + 0.5, n) * _GRID
     below = (F.floor(at) - 1).cast("int")
     above = (F.ceil(at) + 1).cast("int")
     return [

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zoneflow.operators.quantiles import MAX_GROUP_ROWS, Quantile, summarise
+from zoneflow.sources.workdir import materialise
 
 RUN_STAGE = ["run", "stage_id"]
 PHASE_KEYS = ["run", "phase"]
@@ -170,7 +171,8 @@ def with_degraded(phases: DataFrame, rollup: DataFrame, keys: Sequence[str] = PH
 
 
 def rollup_events(events: DataFrame, max_group: int = MAX_GROUP_ROWS) -> DataFrame:
-    """Event log to phase rows."""
+    """Event log to phase rows. The events are stored once, so the log text is parsed once."""
+    events = materialise(events)
     jobs = event_jobs(events)
     latest = latest_attempts(event_attempts(events).join(stage_phases(jobs), RUN_STAGE))
     rollup = phase_rollup(latest, task_quantiles(event_tasks(events), max_group))

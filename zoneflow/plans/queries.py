@@ -401,12 +401,12 @@ def run_checks(spark, sf):
 
 
 def _events(spark, sf) -> DataFrame:
-    return logs.parse_events(t.event_lines(spark, sf))
+    return materialise(logs.parse_events(t.event_lines(spark, sf)))
 
 
 @query
 def stage_rollup(spark, sf):
-    return stagestats.rollup_events(_events(spark, sf))
+    return stagestats.rollup_events(logs.parse_events(t.event_lines(spark, sf)))
 
 
 @query
@@ -424,7 +424,7 @@ def task_quantiles(spark, sf):
 @query
 def task_quantiles_skewed(spark, sf):
     """The narrowing path for hot stages, made to run by a low group bound."""
-    return stagestats.task_quantiles(stagestats.event_tasks(_events(spark, sf)), max_group=3)
+    return stagestats.task_quantiles(stagestats.event_tasks(_events(spark, sf)), max_group=6)
 
 
 @query

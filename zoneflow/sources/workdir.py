@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,14 +16,18 @@ from pyspark.sql import types as T
 MAX_BROADCAST_BYTES = 32 * 1024 * 1024
 
 
+@cache
+def _local_root(application_id: str) -> str:
+    return tempfile.mkdtemp(prefix="zoneflow-")
+
+
 def work_root(spark: SparkSession) -> str:
     """Folder named by ``spark.checkpoint.dir``; a temporary one only in local mode without it."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="zoneflow-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_root(spark.sparkContext.applicationId)
     return root.rstrip("/")
 
 
