@@ -68,7 +68,9 @@ def split_any(c: Column, separators: str) -> Column:
 def last_wins_map(df: DataFrame, pairs: str, name: str) -> DataFrame:
     """Replace an array column of (k, v) structs by a map in which a later pair overrides an earlier.
 
-    In two steps, so that the lambda reads columns and does not recompute the array per key.
+    In steps, so that the lambda reads columns and does not recompute the array per key. The map
+    leaves through a one-element ``explode`` because a filter on it would otherwise be pushed below
+    these steps and undo that.
     """
     others = [c for c in df.columns if c != pairs]
     back = df.withColumn(pairs, F.reverse(pairs)).withColumn("__keys", F.transform(pairs, lambda p: p["k"]))
@@ -80,7 +82,7 @@ def last_wins_map(df: DataFrame, pairs: str, name: str) -> DataFrame:
         ),
     )
     entries = F.when(F.size(distinct) == F.size("__keys"), F.col(pairs)).otherwise(latest)
-    return back.select(*others, F.map_from_entries(entries).alias(name))
+    return back.select(*others, F.explode(F.array(F.map_from_entries(entries))).alias(name))
 
 
 # Moduli and multiplier of the row hash. Every product stays below 2**63,
