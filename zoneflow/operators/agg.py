@@ -18,6 +18,9 @@ FARE_SCALE = 100.0
 # Rows of one key that a pandas function may receive as one frame.
 MAX_FRAME_ROWS = 1_000_000
 
+# Rows summed at once inside a partition.
+PARTIAL_ROWS = 1_000_000
+
 
 def zone_fare(ids: DataFrame, id_column: str = "id") -> DataFrame:
     """``zone int, fare double`` computed from an id column."""
@@ -74,14 +77,27 @@ def by_frame(df: DataFrame, max_frame: int = MAX_FRAME_ROWS) -> DataFrame:
     return _combine(df.groupBy(*keys).applyInPandas(partial, "zone int, n long, m long, s double"))
 
 
+def _gather(batches: Iterator, rows: int = PARTIAL_ROWS) -> Iterator[list]:
+    """Lists of consecutive batches of about ``rows`` rows: fewer, larger partial sums, bounded memory."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += len(batch)
+        if n >= rows:
+            yield held
+            held, n = [], 0
+    if held:
+        yield held
+
+
 def by_arrow_partials(df: DataFrame) -> DataFrame:
-    """Two levels: Arrow sums per batch inside each partition, then a small shuffle."""
+    """Two levels: Arrow sums inside each partition, then a small shuffle."""
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sums = pa.Table.from_batches([batch]).group_by("zone").aggregate(
-                [([], "count_all"), ("fare", "count"), ("fare", "sum")]
-            )
+        for held in _gather(batches):
+            # one thread: a task already holds one core
+            groups = pa.Table.from_batches(held).group_by("zone", use_threads=False)
+            sums = groups.aggregate([([], "count_all"), ("fare", "count"), ("fare", "sum")])
             out = sums.select(["zone", "count_all", "fare_count", "fare_sum"]).rename_columns(["zone", "n", "m", "s"])
             yield from out.to_batches()
 
@@ -92,8 +108,8 @@ def by_pandas_partials(df: DataFrame) -> DataFrame:
     """The same two levels with pandas frames."""
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            g = pdf.groupby("zone", dropna=False)["fare"]
+        for held in _gather(batches):
+            g = pd.concat(held, ignore_index=True).groupby("zone", dropna=False, sort=False)["fare"]
             yield pd.DataFrame({"n": g.size(), "m": g.count(), "s": g.sum()}).reset_index()
 
     return _combine(df.select("zone", "fare").mapInPandas(partial, "zone int, n long, m long, s double"))

@@ -5,7 +5,7 @@ would gather all its values in one task, so its order statistics are found by na
 scan counts, map-side, how many values lie below, on and inside a bracket around the wanted
 rank and sketches the inside, which gives the next bracket. The counts are exact, so a sketch
 that misses only costs another scan, never a wrong value. What reaches one task in the end is
-at most ``max_group`` values per group and rank.
+a bounded number of values per group and rank.
 """
 
 from __future__ import annotations
@@ -18,8 +18,10 @@ from pyspark.sql import functions as F
 
 from zoneflow.sources.workdir import materialise
 
-# Groups up to this many rows are bounded work for one task.
-MAX_GROUP_ROWS = 100_000
+# Groups up to this many rows are bounded work for one task (some tens of MB of values).
+MAX_GROUP_ROWS = 500_000
+# Narrowing goes on until at most this many values per rank are left to sort.
+MAX_SORT_ROWS = 50_000
 
 _SKETCH_K = 1000  # rank error about 0.3 %, 10 to 20 kB per sketch
 _GRID = 128  # bracket ends are read off the sketch in steps of 1 / 128
@@ -106,24 +108,30 @@ def _probe(j: int, rank: Column, n: Column, lo: Column, hi: Column, sketch: Colu
     ]
 
 
-def _two_level(df: DataFrame, keys: list[str], counts: list[Column], sketches: list[Column]) -> DataFrame:
-    """Per-key counts and sketches, merged over slices of the input partitions first."""
-    part = df.groupBy(*keys, F.pmod(F.spark_partition_id(), F.lit(_MERGE_WAYS)).alias("__slice")).agg(*counts, *sketches)
-    names = part.columns[len(keys) + 1 :]
-    merge = [F.sum(c).alias(c) for c in names[: len(counts)]]
-    merge += [F.kll_merge_agg_double(c).alias(c) for c in names[len(counts) :]]
-    return part.groupBy(*keys).agg(*merge)
+def _counts(df: DataFrame, keys: list[str], counts: list[Column]) -> DataFrame:
+    """Plain counts per key: compiled, combined map-side, one small row per task and key."""
+    return df.groupBy(*keys).agg(*counts)
+
+
+def _sketches(df: DataFrame, keys: list[str], values: dict[str, Column]) -> DataFrame:
+    """One sketch per key and named value, merged over slices of the input partitions first."""
+    slice_ = F.pmod(F.spark_partition_id(), F.lit(_MERGE_WAYS)).alias("__slice")
+    part = df.groupBy(*keys, slice_).agg(*(F.kll_sketch_agg_double(v, F.lit(_SKETCH_K)).alias(c) for c, v in values.items()))
+    return part.groupBy(*keys).agg(*(F.kll_merge_agg_double(c).alias(c) for c in values))
+
+
+def _any(conditions: list[Column]) -> Column:
+    out = F.lit(False)
+    for c in conditions:
+        out = out | F.coalesce(c, F.lit(False))
+    return out
 
 
 def _state(df: DataFrame, keys: list[str], targets: Sequence[tuple[Quantile, bool]]) -> DataFrame:
     """First scan: group sizes, wanted ranks and first brackets; the known interval is unbounded."""
     columns = sorted({q.column for q, _ in targets})
-    raw = _two_level(
-        df,
-        keys,
-        [F.count(F.lit(1)).alias("__rows"), *(F.count(c).alias(f"__n_{c}") for c in columns)],
-        [F.kll_sketch_agg_double(c, F.lit(_SKETCH_K)).alias(f"__s_{c}") for c in columns],
-    )
+    sizes = [F.count(F.lit(1)).alias("__rows"), *(F.count(c).alias(f"__n_{c}") for c in columns)]
+    raw = _counts(df, keys, sizes).join(_sketches(df, keys, {f"__s_{c}": F.col(c) for c in columns}), keys)
     out = [F.col("__rows"), *(F.col(f"__n_{c}") for c in columns)]
     none = F.lit(None).cast("double")
     for j, (q, upper) in enumerate(targets):
@@ -141,9 +149,12 @@ def _state(df: DataFrame, keys: list[str], targets: Sequence[tuple[Quantile, boo
 
 
 def _narrow(df: DataFrame, state: DataFrame, keys: list[str], targets: Sequence[tuple[Quantile, bool]]) -> DataFrame:
-    """One more scan: count the parts of each known interval (a, b) cut by its bracket [p, q]."""
+    """Count the parts of each known interval (a, b) cut by its bracket [p, q]; sketch the middle.
+
+    The sketches are built in a branch of their own that only sees rows of some bracket's middle.
+    """
     rows = df.join(state, keys)
-    counts, sketches = [], []
+    counts, middles, sketches = [], [], {}
     for j, (t, _) in enumerate(targets):
         v, p, q = F.col(t.column), F.col(f"__p{j}"), F.col(f"__q{j}")
         known = F.col(f"__r{j}").isNotNull() & F.col(f"__x{j}").isNull() & _inside(v, F.col(f"__a{j}"), F.col(f"__b{j}"))
@@ -154,9 +165,10 @@ def _narrow(df: DataFrame, state: DataFrame, keys: list[str], targets: Sequence[
             F.count_if(middle).alias(f"__c{j}_2"),
             F.count_if(known & (v == q) & (p.isNull() | (v > p))).alias(f"__c{j}_3"),
         ]
-        sketches.append(F.kll_sketch_agg_double(F.when(middle, v), F.lit(_SKETCH_K)).alias(f"__s{j}"))
-    # A key whose row found no match keeps its state, hence the left join back.
-    seen = state.join(_two_level(rows, keys, counts, sketches), keys, "left")
+        middles.append(middle)
+        sketches[f"__s{j}"] = F.when(middle, v)
+    sketched = _sketches(rows.filter(_any(middles)), keys, sketches)
+    seen = state.join(_counts(rows, keys, counts), keys, "left").join(sketched, keys, "left")
     carried = [c for c in state.columns if c == "__rows" or c.startswith("__n_")]
     out = [F.col(c) for c in carried]
     for j in range(len(targets)):
@@ -179,13 +191,14 @@ def _narrow(df: DataFrame, state: DataFrame, keys: list[str], targets: Sequence[
 
 
 def _finish(df: DataFrame, state: DataFrame, keys: list[str], targets: Sequence[tuple[Quantile, bool]]) -> DataFrame:
-    """Last scan: sort what is left of each open interval, at most ``max_group`` values."""
-    picks = []
+    """Last scan: sort what is left of each open interval, a bounded number of values."""
+    picks, opens = [], []
     for j, (t, _) in enumerate(targets):
         v = F.col(t.column)
         open_ = F.col(f"__r{j}").isNotNull() & F.col(f"__x{j}").isNull() & _inside(v, F.col(f"__a{j}"), F.col(f"__b{j}"))
+        opens.append(open_)
         picks.append(F.sort_array(F.collect_list(F.when(open_, v))).alias(f"__l{j}"))
-    left = state.join(df.join(state, keys).groupBy(*keys).agg(*picks), keys, "left")
+    left = state.join(df.join(state, keys).filter(_any(opens)).groupBy(*keys).agg(*picks), keys, "left")
     value = lambda j: F.coalesce(F.col(f"__x{j}"), F.get(F.col(f"__l{j}"), F.col(f"__r{j}").cast("int")))
     return left.select(
         *(c for c in state.columns if not c.startswith("__x")),
@@ -203,7 +216,7 @@ def _summarise_hot(
         F.lit(0), *(F.when(F.col(f"__r{j}").isNotNull() & F.col(f"__x{j}").isNull(), F.col(f"__n{j}")) for j in range(len(targets)))
     )
     for _ in range(_MAX_ROUNDS):
-        if (state.agg(F.max(widest)).first()[0] or 0) <= max_group:
+        if (state.agg(F.max(widest)).first()[0] or 0) <= min(max_group, MAX_SORT_ROWS):
             break
         state = materialise(_narrow(slim, state, keys, targets))
     else:
