@@ -84,7 +84,7 @@ ZONE_FARE = """zf AS (SELECT CAST(l_orderkey % 265 AS INTEGER) AS zone,
 BY_ZONE = f"WITH {ZONE_FARE} SELECT zone, count(*) AS n, {r('avg(fare)', 6, 'avg_fare')} FROM zf GROUP BY zone"
 
 # What the logs of every line item say, straight from its columns.
-PATH = "concat_ws('/', l_orderkey, l_partkey, l_suppkey, l_linenumber)"
+PATH = "concat_ws('/', l_orderkey, l_partkey, l_suppkey, l_linenumber, CAST(floor(l_extendedprice) AS BIGINT))"
 BLOCKS = f"""
 li AS (SELECT *, {PATH} AS path, CAST(floor(l_quantity) AS BIGINT) AS q, CAST(floor(l_extendedprice) AS BIGINT) AS price,
               CAST(floor(l_discount * 100 + 0.5) AS BIGINT) AS d, l_linenumber % 2 = 1 AS odd FROM lineitem),

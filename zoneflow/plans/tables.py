@@ -40,7 +40,9 @@ def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def row_name() -> Column:
-    return F.concat_ws("/", *(F.col(c).cast("string") for c in ROW_KEYS))
+    """Name of a line item's run. Two items may share all keys; their prices tell them apart."""
+    parts = [*map(F.col, ROW_KEYS), F.floor("l_extendedprice")]
+    return F.concat_ws("/", *(c.cast("string") for c in parts))
 
 
 def run_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
