@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zoneflow.llm import exact_dedup, url_filter
+from zoneflow.llm import bpe, exact_dedup, token_counts, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -21,6 +23,10 @@ URL_RULES = [
 ]
 
 
+# Where the public vocabulary files lie; operators take the path as a parameter.
+VOCABULARIES = os.path.dirname(public_tokenizers.__file__)
+
+
 def query(fn: Query) -> Query:
     QUERIES[fn.__name__] = fn
     return fn
@@ -30,6 +36,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_token_counts(spark, sf):
+    """Tokens of every document."""
+    docs = table(spark, sf, "documents")
+    return token_counts.count_tokens(docs, f"{VOCABULARIES}/piece_bpe_32k.model").withColumnRenamed("id", "doc_id")
+
+
+@query
+def op2_bpe(spark, sf):
+    """Every document encoded with the lexicon of its corpus, and decoded again."""
+    docs, vocabulary = table(spark, sf, "documents"), f"{VOCABULARIES}/byte_bpe_50k.json"
+    with open(vocabulary, encoding="utf-8") as f:
+        lexicon = bpe.build_lexicon(docs, f.read())
+    return bpe.round_trip(docs, vocabulary, lexicon=lexicon).withColumnRenamed("id", "doc_id")
+
+
 @query
 def op6_url_filter(spark, sf):
     """Rules, and block decisions carried along canonical links and redirects, for every page."""
