@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zoneflow.llm import bpe, exact_dedup, token_counts, url_filter
+from zoneflow.llm import bpe, exact_dedup, langid, quality, token_counts, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -52,6 +52,14 @@ def op2_bpe(spark, sf):
     return bpe.round_trip(docs, vocabulary, lexicon=lexicon).withColumnRenamed("id", "doc_id")
 
 
+@query
+def op3_quality(spark, sf):
+    """Every document scored by a model that is learnt from the labels outside the held-out fold."""
+    docs = table(spark, sf, "documents")
+    model = quality.train(docs, table(spark, sf, "labels"))
+    return quality.score_documents(docs, model).withColumnRenamed("id", "doc_id")
+
+
 @query
 def op6_url_filter(spark, sf):
     """Rules, and block decisions carried along canonical links and redirects, for every page."""
@@ -62,3 +70,10 @@ def op6_url_filter(spark, sf):
 def op7_exact_dedup(spark, sf):
     """Groups of identical texts over all documents."""
     return exact_dedup.exact_groups(table(spark, sf, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op8_language(spark, sf):
+    """Language of every document, learnt outside the held-out fold."""
+    docs = table(spark, sf, "documents")
+    return langid.predict_language(docs, langid.train(docs)).withColumnRenamed("id", "doc_id")
