@@ -52,3 +52,18 @@ walk(node, reach) AS (
 SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN alias.node IS NOT NULL AND host <> '' THEN 'block' ELSE 'allow' END) AS verdict
 FROM p LEFT JOIN fits ON name = host || path LEFT JOIN alias ON alias.node = host || path
 """
+
+ORACLES["op10_topk"] = r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS c
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.c, c.c), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id
+  WHERE q.vec_id % 100 = 0
+)
+SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score
+FROM s WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER w <= 10
+"""

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zoneflow.llm import bpe, exact_dedup, langid, quality, token_counts, url_filter
+from zoneflow.llm import bpe, exact_dedup, langid, packing, quality, token_counts, topk, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -60,6 +60,13 @@ def op3_quality(spark, sf):
     return quality.score_documents(docs, model).withColumnRenamed("id", "doc_id")
 
 
+@query
+def op4_packing(spark, sf):
+    """All documents packed into sequences of at most 4096 tokens."""
+    pieces = packing.pack_documents(table(spark, sf, "documents"), f"{VOCABULARIES}/word_bpe_49k.json")
+    return packing.piece_digests(pieces).withColumnRenamed("id", "doc_id")
+
+
 @query
 def op6_url_filter(spark, sf):
     """Rules, and block decisions carried along canonical links and redirects, for every page."""
@@ -77,3 +84,10 @@ def op8_language(spark, sf):
     """Language of every document, learnt outside the held-out fold."""
     docs = table(spark, sf, "documents")
     return langid.predict_language(docs, langid.train(docs)).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op10_topk(spark, sf):
+    """Ten best inner products over all vectors for every hundredth one."""
+    vectors = table(spark, sf, "embeddings")
+    return topk.top_k(vectors, F.col("vec_id") % 100 == 0).withColumnRenamed("id", "vec_id")
