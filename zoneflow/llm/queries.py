@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zoneflow.llm import bpe, exact_dedup, langid, packing, quality, token_counts, topk, url_filter
+from zoneflow.llm import bpe, exact_dedup, langid, near_dedup, packing, quality, token_counts, topk, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -86,6 +86,13 @@ def op8_language(spark, sf):
     return langid.predict_language(docs, langid.train(docs)).withColumnRenamed("id", "doc_id")
 
 
+@query
+def op9_near_dedup(spark, sf):
+    """Classes of near copies over all documents: three-word shingles, similarity 0.85."""
+    found = near_dedup.near_duplicates(table(spark, sf, "documents"), shingle=3, percent=85)
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", (F.col("id") == F.col("component_id")).alias("kept"))
+
+
 @query
 def op10_topk(spark, sf):
     """Ten best inner products over all vectors for every hundredth one."""
