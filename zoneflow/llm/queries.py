@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zoneflow.llm import bpe, exact_dedup, langid, near_dedup, packing, quality, token_counts, topk, url_filter
+from zoneflow.llm import bpe, exact_dedup, langid, near_dedup, packing, quality, suffix_dedup, token_counts, topk, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -67,6 +67,15 @@ def op4_packing(spark, sf):
     return packing.piece_digests(pieces).withColumnRenamed("id", "doc_id")
 
 
+@query
+def op5_suffix_dedup(spark, sf):
+    """Every byte that a repeated string of 200 bytes covers, over all documents."""
+    found = suffix_dedup.repeat_spans(table(spark, sf, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"), "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 @query
 def op6_url_filter(spark, sf):
     """Rules, and block decisions carried along canonical links and redirects, for every page."""
