@@ -15,16 +15,25 @@ from zoneflow.llm.graph import components
 from zoneflow.llm.hashing import LOWER, Rolling, mix, shingle_hashes, word_hashes
 from zoneflow.sources.workdir import broadcast_if_small
 
-# Twenty small collections of three minhashes each. A table key is a pair of collections, so 60 minhashes give
+# Twenty small collections of up to three minhashes each. A table key is a pair of collections, so 60 minhashes give
 # 190 tables of six hashes that plain banding would need 1,140 for. A pair of documents is a candidate when two
 # collections agree: it is missed with a chance of 1.3e-5 at a similarity of 0.8 and of 2e-7 at 0.85.
-COLLECTIONS, HASHES = 20, 3
+COLLECTIONS, MOST_HASHES, MOST_MISSED = 20, 3, 2e-5
 # Documents that one comparison task takes from each side of a large cluster.
 BLOCK_DOCS, BLOCK_SHINGLES = 512, 2_000_000
 
 
-def _seeds() -> np.ndarray:
-    return mix(np.arange(1, COLLECTIONS * HASHES + 1, dtype="u8") * np.uint64(0xD1342543DE82EF95)) | np.uint64(1)
+def hashes_per_collection(percent: int) -> int:
+    """The most minhashes a collection can have if a pair at the threshold is to be missed at most twice in 100,000."""
+    for n in range(MOST_HASHES, 0, -1):
+        agree = (percent / 100) ** n
+        if (1 - agree) ** COLLECTIONS + COLLECTIONS * agree * (1 - agree) ** (COLLECTIONS - 1) <= MOST_MISSED:
+            return n
+    raise ValueError(f"a similarity of {percent} % is too low for {COLLECTIONS} collections")
+
+
+def _seeds(hashes: int) -> np.ndarray:
+    return mix(np.arange(1, COLLECTIONS * hashes + 1, dtype="u8") * np.uint64(0xD1342543DE82EF95)) | np.uint64(1)
 
 
 def shingle_set(text: str, k: int, rolling: Rolling) -> np.ndarray:
@@ -39,9 +48,9 @@ def collections_of(shingles: np.ndarray, seeds: np.ndarray) -> np.ndarray:
         part = shingles[at : at + 4096]
         for i, s in enumerate(seeds):
             low[i] = min(low[i], ((part ^ (s >> np.uint64(7))) * s).min())
-    low = low.reshape(COLLECTIONS, HASHES)
+    low = low.reshape(COLLECTIONS, -1)
     out = np.arange(1, COLLECTIONS + 1, dtype="u8")
-    for j in range(HASHES):
+    for j in range(low.shape[1]):
         out = mix(out * np.uint64(0x9E3779B97F4A7C15) + low[:, j])
     return out
 
@@ -51,7 +60,7 @@ def _text_key(text) -> list:
     return [F.xxhash64(text).alias("t1"), F.xxhash64(F.lit("second"), text).alias("t2")]
 
 
-def signatures(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
+def signatures(docs: DataFrame, id_col: str, text_col: str, k: int, hashes: int) -> DataFrame:
     """Per row ``(id, row_no, t1, t2, n_shingles, s1, s2, subs)``; ``s1, s2`` name the shingle set."""
     text = text_or_empty(text_col)
     rows = docs.select(cell(id_col).alias("id"), F.monotonically_increasing_id().alias("row_no"), *_text_key(text), text.alias("t"))
@@ -59,7 +68,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame
     schema = T.StructType([rows.schema[c] for c in ("id", "row_no", "t1", "t2")] + more)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rolling, seeds = per_process("rolling", Rolling), _seeds()
+        rolling, seeds = per_process("rolling", Rolling), _seeds(hashes)
         for b in batches:
             n, s1, s2, subs = [], [], [], []
             for t in b.column(4):
@@ -228,7 +237,7 @@ def near_duplicates(
     of one cluster unconnected, the rest of the cluster is compared in blocks, so no link between candidates
     is lost and a large class costs as much as its size. Only sets of candidates move, never all texts.
     """
-    signed = materialise(signatures(docs, id_col, text_col, shingle))
+    signed = materialise(signatures(docs, id_col, text_col, shingle, hashes_per_collection(percent)))
     nonempty = signed.filter("n_shingles > 0")
     copies = nonempty.groupBy("s1", "s2").agg(F.min("row_no").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     copies = broadcast_if_small(materialise(copies.select("s1", "s2", "first")))
