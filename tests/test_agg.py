@@ -1,4 +1,5 @@
 import pytest
+import pandas as pd
 from pyspark.sql import functions as F
 
 from zoneflow.operators import agg
@@ -50,3 +51,24 @@ def test_distinct_keys_in_order(spark):
 def test_builtin_aggregates_before_the_shuffle(generated):
     plan = agg.by_builtin(generated)._jdf.queryExecution().executedPlan().toString()
     assert "partial_avg" in plan
+
+
+def test_frames_have_a_bound_also_for_grouped_input(spark):
+    """All rows of a hot key in one partition, as after a repartition by key."""
+    df = spark.range(10_000).selectExpr("case when id < 9000 then 1 else cast(id % 7 as int) + 2 end as zone", "cast(id as double) as fare")
+    df = df.selectExpr("cast(zone as int) as zone", "fare").repartition(4, "zone")
+    out = agg.grouped_map(
+        df, ["zone"], lambda key, frame: pd.DataFrame({"zone": [key[0]], "n": [len(frame)]}), "zone int, n long", max_frame=1000
+    ).collect()
+    hot = [r.n for r in out if r.zone == 1]
+    assert sum(hot) == 9000 and max(hot) < 1300 and len(hot) == 9
+    assert sorted(r.n for r in out if r.zone != 1) == sorted(
+        r["count"] for r in df.filter("zone <> 1").groupBy("zone").count().collect()
+    )
+
+
+def test_grouped_map_takes_any_function(spark):
+    df = spark.createDataFrame([("a", 1, 2.0), ("a", 1, 4.0), ("b", 2, 1.0), (None, 2, 9.0)], "k string, j int, v double")
+    top = lambda key, frame: frame.nlargest(1, "v")[["k", "j", "v"]]
+    out = agg.grouped_map(df, ["k", "j"], top, "k string, j int, v double").collect()
+    assert sorted(tuple(r) for r in out) == [("a", 1, 4.0), ("b", 2, 1.0)]

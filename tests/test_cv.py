@@ -5,15 +5,18 @@ from pyspark.sql import functions as F
 from zoneflow.operators import cv, sampling
 
 
-def damped_loop(x, y, fold, held, rounds):
-    """The iterative fit itself, as plain numpy."""
-    xt, yt = x[fold != held], y[fold != held]
-    xv, yv = x[fold == held], y[fold == held]
-    pred, w = np.zeros(len(yt)), None
+def by_residuals(x, y, fold, held, rounds):
+    """Exact recursion on the residual: the fitted part of the residual halves in every round."""
+    train, test = fold != held, fold == held
+    q, s, v = np.linalg.svd(x[train], full_matrices=False)
+    keep = s > 1e-9 * s[0]
+    project = lambda r: (v[keep].T / s[keep]) @ (q[:, keep].T @ r)
+    residual = y[train].copy()
     for _ in range(rounds):
-        w = np.linalg.lstsq(xt, yt - pred, rcond=None)[0]
-        pred = pred + 0.5 * (xt @ w)
-    return float(np.mean((0.5 * (xv @ w) + pred.mean() - yv) ** 2))
+        step = project(residual)
+        residual = residual - x[train] @ step / 2
+    level = (y[train] - residual).mean()
+    return float(np.mean((x[test] @ step / 2 + level - y[test]) ** 2))
 
 
 def data(n=300):
@@ -34,17 +37,18 @@ CASES = {
 
 @pytest.mark.parametrize("case", CASES)
 @pytest.mark.parametrize("rounds", [1, 5, 50, 600])
-def test_scores_equal_the_loop(spark, case, rounds):
+def test_scores_equal_the_recursion(spark, case, rounds):
     a, b, y = data()
     cols = CASES[case](a, b)
     fold = np.arange(len(y)) % 5
     rows = [(int(f), *map(float, v), float(t)) for f, *v, t in zip(fold, *cols.values(), y)]
     design = spark.createDataFrame(rows, "fold int, " + ", ".join(f"{c} double" for c in cols) + ", y double")
     out = cv.grid_scores(design, list(cols), "y", combos=1, folds=5, rounds=rounds).collect()
-    x = np.column_stack([np.ones(len(y)), *cols.values()])
+    # shifting and scaling a feature changes no prediction, and keeps the plain version's digits
+    x = np.column_stack([np.ones(len(y)), *((c - c.mean()) / (c.std() or 1) for c in cols.values())])
     assert len(out) == 5
     for r in out:
-        assert r.score == pytest.approx(damped_loop(x, y, fold, r.fold, rounds), rel=1e-7), (case, r.fold)
+        assert r.score == pytest.approx(by_residuals(x, y, fold, r.fold, rounds), rel=1e-7), (case, r.fold)
 
 
 def test_grid_shape(spark):
@@ -63,13 +67,29 @@ def test_grid_map_sees_side_data(spark):
 
 
 def test_train_is_all_other_folds(spark):
-    df = spark.createDataFrame([(i % 3, float(i), float(i * i)) for i in range(12)], "fold int, a double, y double")
+    df = spark.createDataFrame([(i % 3, 1e6 + i, float(i * i)) for i in range(12)], "fold int, a double, y double")
     stats = cv.fold_statistics(df, ["a"], "y")
-    train = {r.fold: r for r in cv.train_statistics(stats, 3).collect()}
+    train = {r.fold: r for r in cv.train_statistics(stats, ["a"], 3).collect()}
     for f in range(3):
-        others = [i for i in range(12) if i % 3 != f]
-        assert train[f].n == len(others) and train[f].x0 == sum(others)
-        assert train[f].x0y == pytest.approx(sum(i**3 for i in others))
+        i = np.array([i for i in range(12) if i % 3 != f], float)
+        a, y = 1e6 + i, i * i
+        assert train[f].n == len(i) and train[f].m0 == pytest.approx(a.mean()) and train[f].my == pytest.approx(y.mean())
+        assert train[f].v0x0 == pytest.approx(a.var()) and train[f].vyy == pytest.approx(y.var())
+        assert train[f].v0y == pytest.approx(np.cov(a, y, ddof=0)[0, 1])
+
+
+def test_scores_by_hand(spark):
+    """Two points a fold: the other fold's line goes through its points."""
+    rows = [(0, 0.0, 0.0), (0, 2.0, 4.0), (1, 0.0, 1.0), (1, 1.0, 2.0)]
+    df = spark.createDataFrame(rows, "fold int, a double, y double")
+    out = {(r.fold, r.rounds): r.score for r in cv.grid_scores(df, ["a"], "y", combos=2, folds=2, rounds=1).collect()}
+    # fold 0 by the line 1 + x with mean 1.5: half of it after one round, a quarter after two
+    for n in (1, 2):
+        s = 0.5**n
+        want = np.mean([(1.5 + s * (1 + a - 1.5) - y) ** 2 for a, y in ((0, 0), (2, 4))])
+        assert out[0, n] == pytest.approx(want)
+        want = np.mean([(2 + s * (2 * a - 2) - y) ** 2 for a, y in ((0, 1), (1, 2))])
+        assert out[1, n] == pytest.approx(want)
 
 
 def test_missing_fold_scores_null(spark):
@@ -89,7 +109,7 @@ def test_statistics_are_one_combined_aggregate(spark):
     df = spark.range(100).select((F.col("id") % 5).cast("int").alias("fold"), F.col("id").cast("double").alias("a"),
                                  F.col("id").cast("double").alias("y"))
     plan = cv.fold_statistics(df, ["a"], "y")._jdf.queryExecution().executedPlan().toString()
-    assert "partial_sum" in plan and plan.count("Exchange") == 1
+    assert "partial_covar_pop" in plan and plan.count("Exchange") == 1
 
 
 def test_sample_and_folds_do_not_depend_on_partitions(spark):
@@ -102,7 +122,32 @@ def test_sample_and_folds_do_not_depend_on_partitions(spark):
     folds = lambda d: sorted((r.id, r.fold) for r in sampling.with_folds(d, ["id"]).select("id", "fold").collect())
     assert folds(df.repartition(1)) == folds(df.repartition(16))
     sizes = [r["count"] for r in sampling.with_folds(df, ["id"]).groupBy("fold").count().collect()]
-    assert sizes == [1000] * 5
+    assert len(sizes) == 5 and all(850 < n < 1150 for n in sizes)
+
+
+def test_a_tiny_fraction_is_not_rounded_to_none(spark):
+    df = spark.range(1_000_000)
+    assert sampling.sample_rows(df, ["id"], fraction=5e-7).count() <= 5
+    low = df.select("id", sampling.key_hash(["id"], f"sample{sampling.SAMPLE_SEED}").alias("h")).orderBy("h").first()
+    above = (low.h + 1) / 2**60
+    assert above < 1e-4
+    assert [r.id for r in sampling.sample_rows(df, ["id"], fraction=above * (1 + 1e-9)).collect()] == [low.id]
+    assert sampling.sample_rows(df, ["id"], fraction=above * (1 - 1e-6)).count() == 0
+
+
+def test_folds_of_a_sample_are_balanced(spark):
+    rows = sampling.with_folds(sampling.sample_rows(spark.range(200_000), ["id"], fraction=0.05), ["id"])
+    sizes = [r["count"] for r in rows.groupBy("fold").count().collect()]
+    assert len(sizes) == 5 and all(1700 < n < 2300 for n in sizes)
+
+
+def test_null_and_text_keys(spark):
+    df = spark.createDataFrame([(None, "a"), (None, None), (1, "a"), (1_000_000, "b"), (2_000_000, "b")], "id long, k string")
+    kept = lambda f: {(r.id, r.k) for r in sampling.sample_rows(df, ["id", "k"], fraction=f).collect()}
+    assert len(kept(1.0)) == 5 == len(kept(7.0)) and kept(0.0) == set()
+    for a, b in ((0.2, 0.5), (0.5, 0.9)):
+        assert kept(a) <= kept(b)
+    assert all(0 <= r.fold < 5 for r in sampling.with_folds(df, ["id", "k"]).collect())
 
 
 def test_sample_fraction_is_clamped():

@@ -26,7 +26,8 @@ def test_compare(spark, rows):
         "stage string, phase string, nodes int, predicted_s double",
     )
     out = {r.phase: r for r in ledger.compare_nodes(ledger.with_predictions(rows, predicted), ["phase"]).collect()}
-    assert set(out) == {"A_aggregate", "B_fit"}
+    assert set(out) == {"A_aggregate", "B_fit", "scan"}
+    assert out["scan"].predicted_small_s is None and (out["B_fit"].n_small, out["B_fit"].n_large) == (1, 1)
     a = out["A_aggregate"]
     assert (a.predicted_small_s, a.predicted_large_s, a.wall_small_s, a.wall_large_s) == (100.0, 50.0, 118.0, 80.0)
     assert a.speedup == 118 / 80 and out["B_fit"].speedup == 2.0
@@ -45,6 +46,14 @@ def test_cost(spark, rows):
     assert got[("scan", 1)] == pytest.approx(40 / 3600 * 0.36)
     assert got[("A_aggregate", 2)] == pytest.approx((118 + 412) / 3600 * 0.36 * 3)
     assert got[("B_fit", 4)] == pytest.approx(30 / 3600 * 0.36 * 5)
+    unpriced = ledger.with_cost(rows, prices.limit(0)).collect()
+    assert len(unpriced) == len(ROWS) and all(r.cost_usd is None for r in unpriced)
+
+
+def test_unpredicted_rows_stay(spark, rows):
+    none = spark.createDataFrame([], "stage string, phase string, nodes int, predicted_s double")
+    out = ledger.with_predictions(rows, none).collect()
+    assert len(out) == len(ROWS) and all(r.predicted_s is None for r in out)
 
 
 def test_seconds_per_fit(spark):

@@ -47,3 +47,25 @@ def test_inventory_does_not_read_contents(spark):
 
     p = plan(files.file_inventory(spark, f"{SF_SMALL}/*.parquet"))
     assert "ReadSchema: struct<path:string,length:bigint>" in p
+
+
+def test_hot_quantiles_read_the_source_three_times(spark, tmp_path):
+    """Key counts, the groups of bounded size, and the rows that are stored for narrowing."""
+    import json
+
+    from pyspark.sql import functions as F
+
+    from zoneflow.operators.quantiles import Quantile, summarise
+
+    path = str(tmp_path / "rows")
+    spark.range(4000).select((F.col("id") % 3 * (F.col("id") % 2)).alias("k"), F.rand(3).alias("v")).write.parquet(path)
+    reads = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        reads.add(1)
+        yield from batches
+
+    df = spark.read.parquet(path).coalesce(1).mapInArrow(seen, "k long, v double")
+    out = summarise(df, ["k"], [F.count(F.lit(1)).alias("n")], [Quantile("q", "v", 0.9)], max_group=900)
+    assert out.count() == 3 and json.dumps([r.n for r in out.collect()])
+    assert reads.value <= 2 + 1 + 1  # the count and the collect each read the small groups once

@@ -48,11 +48,17 @@ def test_sections_of_files_parse_like_whole_files(spark, tmp_path):
         (tmp_path / f"{name.replace(' ', '_')}.log").write_bytes(text.encode())
     sections = logs.read_log_sections(spark, str(tmp_path))
     by_section = runlog.parse_blocks(sections, keep=["path", "start", "seq"])
-    whole = runlog.parse_blocks(logs.read_log_texts(spark, str(tmp_path)))
-    pick = lambda d, *order: [(r.path, r.kv) for r in d.orderBy("path", *order).collect()]
-    got = pick(by_section, "start", "seq", "block")
-    assert got == pick(whole, "block")
-    assert len(got) == sum(len(w) for _, w in CASES.values())
+    got = {}
+    for r in by_section.orderBy("path", "start", "seq", "block").collect():
+        got.setdefault(r.path.split("/")[-1].removesuffix(".log").replace("_", " ").replace("%20", " "), []).append(r.kv)
+    assert got == {name: want for name, (_, want) in CASES.items() if want}
+
+
+def test_plain_log_text_is_not_kept(spark, tmp_path):
+    (tmp_path / "plain.log").write_text("nothing here\n" * 100_000)
+    (tmp_path / "late.log").write_text("noise\n" * 100_000 + block("a=1"))
+    sections = logs.read_log_sections(spark, str(tmp_path)).collect()
+    assert [r.text for r in sections] == [block("a=1")]
 
 
 def test_large_log_is_split_over_tasks(spark, tmp_path):
@@ -98,7 +104,9 @@ def test_line_counts_and_prefixes(spark, tmp_path):
     lines = logs.read_log_lines(spark, str(tmp_path))
     assert runlog.executor_counts(lines).first().n_executors == 2
     kept = sorted(r.line for r in runlog.lines_with_prefix(lines, ["RESULT", "DRIVER"]).collect())
-    assert [len(x) for x in kept] == [260, 8]
+    assert [len(x) for x in kept] == [407, 8]
+    cut = sorted(r.line for r in runlog.lines_with_prefix(lines, ["RESULT", "DRIVER"], display_width=260).collect())
+    assert [len(x) for x in cut] == [260, 8]
 
 
 GOOD = "rest_target=advertised\nretried=0\nshuffle_partitions=16\n"
@@ -119,16 +127,36 @@ RUNS = {
 }
 
 
+def checked(spark, runs, seen=None):
+    """Checks of ``(path, nodes, pin)`` runs whose logs are named in RUNS, by path."""
+    texts = [(p, RUNS[p][0] if p in RUNS else "started\nTraceback") for p, _, _ in runs]
+    blocks = runlog.parse_blocks(spark.createDataFrame(texts, "path string, text string"))
+    out = runlog.run_checks(spark.createDataFrame(runs, "path string, nodes long, pin double"), blocks, seen).collect()
+    assert len(out) == len(runs)
+    return {r.path: (r, {c for c in r.asDict() if c.endswith("_ok") and r[c] is False}) for r in out}
+
+
 def test_run_checks(spark):
-    logs_ = spark.createDataFrame([(p, t) for p, (t, _) in RUNS.items()], "path string, text string")
-    for r in runlog.run_checks(runlog.parse_blocks(logs_)).collect():
-        failed = {c for c in r.asDict() if c.endswith("_ok") and not r[c]}
-        assert failed == RUNS[r.path][1], r.path
+    for path, (r, failed) in checked(spark, [(p, None, None) for p in RUNS]).items():
+        assert failed == RUNS[path][1], path
         assert r.valid == (not failed)
 
 
+def test_a_log_without_blocks_is_a_failed_run(spark):
+    r, failed = checked(spark, [("good", None, None), ("died", None, None)])["died"]
+    assert r.n_blocks == 0 and failed == {"blocks_ok"} and not r.valid
+
+
 def test_run_checks_with_executors(spark):
-    logs_ = spark.createDataFrame([("good", RUNS["good"][0]), ("retried", RUNS["retried"][0])], "path string, text string")
-    seen = spark.createDataFrame([("good", 4)], "path string, n_executors long")
-    out = {r.path: r for r in runlog.run_checks(runlog.parse_blocks(logs_), seen).collect()}
-    assert out["good"].executors_ok and out["good"].valid and not out["retried"].executors_ok
+    seen = spark.createDataFrame([("good", 4), ("pin lost", 2)], "path string, n_executors long")
+    runs = [("good", 4, None), ("retried", 4, None), ("scan", 1, None), ("pin lost", 2, None), ("one block", None, None)]
+    out = checked(spark, runs, seen)
+    assert out["good"][0].executors_ok and out["good"][0].valid
+    assert out["retried"][1] == {"retried_ok", "executors_ok"}
+    assert out["scan"][0].executors_ok is None and out["scan"][0].valid
+    assert out["pin lost"][0].executors_ok and out["one block"][0].executors_ok is None
+
+
+def test_the_pin_is_the_runs_own(spark):
+    assert checked(spark, [("good", None, 8.0)])["good"][1] == {"pin_ok"}
+    assert checked(spark, [("good", None, 16.0)])["good"][0].valid

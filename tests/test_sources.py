@@ -28,8 +28,26 @@ def test_union_by_name_widens_ignores_case_fills(spark, drift):
 
 
 def test_one_scan_per_schema(spark, drift):
-    groups = files.schema_groups(spark, f"{drift}/*.parquet")
-    assert sorted(len(g) for g in groups) == [1, 2]
+    plan = files.read_union_by_name(spark, f"{drift}/*.parquet")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2
+
+
+@pytest.mark.parametrize("second", [pa.int64(), pa.int32()])
+def test_folder_columns_stay_when_schemas_drift(spark, tmp_path, second):
+    for year, kind in ((1, pa.int64()), (2, second)):
+        (tmp_path / f"year={year}").mkdir()
+        pq.write_table(pa.table({"x": pa.array([year], kind)}), tmp_path / f"year={year}" / "p.parquet")
+    for path in (str(tmp_path), f"{tmp_path}/*"):
+        out = files.read_union_by_name(spark, path)
+        if path == str(tmp_path):
+            assert sorted((r.x, r.year) for r in out.collect()) == [(1, 1), (2, 2)]
+        assert sorted(r.x for r in out.collect()) == [1, 2]
+
+
+def test_base_path():
+    assert files.base_path("s3://b/raw/x_*.parquet") == "s3://b/raw"
+    assert files.base_path("/a/year=*/m=1/p.parquet") == "/a"
+    assert files.base_path("/a/b") == "/a/b" and files.base_path("/a/b/p.parquet") == "/a/b"
 
 
 def test_contract(spark, drift):

@@ -85,23 +85,18 @@ def last_wins_map(df: DataFrame, pairs: str, name: str) -> DataFrame:
     return back.select(*others, F.explode(F.array(F.map_from_entries(entries))).alias(name))
 
 
-# Moduli and multiplier of the row hash. Every product stays below 2**63,
-# so the same formula is exact in any engine with 64-bit integers.
-HASH_PRIME = 1_000_000_007
-HASH_STEP = 1_000_003
-HASH_SPREAD = 2_654_435_761
-HASH_BUCKETS = 1_000_000
+# Hash values lie in [0, 2**HASH_BITS): the leading hexadecimal digits of an MD5, which every SQL engine has.
+HASH_BITS = 60
 
 
-def row_hash(columns: Sequence[str | Column]) -> Column:
-    """Integer in [0, HASH_PRIME) from integer key columns, independent of partitioning."""
-    h: Column = F.lit(0).cast("long")
+def key_hash(columns: Sequence[str | Column], seed: str) -> Column:
+    """Well mixed 60-bit integer of a row's key columns, of any type, null included.
+
+    It depends on the values and the seed only; values of different seeds are independent.
+    """
+    parts = [F.lit(seed)]
     for c in columns:
         c = F.col(c) if isinstance(c, str) else c
-        h = F.pmod(h * HASH_STEP + F.pmod(c.cast("long"), F.lit(HASH_PRIME)), F.lit(HASH_PRIME))
-    return h
-
-
-def hash_bucket(columns: Sequence[str | Column]) -> Column:
-    """Pseudo-random bucket in [0, HASH_BUCKETS) of a row's key columns."""
-    return F.pmod(row_hash(columns) * HASH_SPREAD, F.lit(HASH_BUCKETS))
+        parts += [F.lit("/"), F.coalesce(c.cast("string"), F.lit("null"))]
+    digits = F.substring(F.md5(F.concat(*parts)), 1, HASH_BITS // 4)
+    return F.conv(digits, 16, 10).cast("long")

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from zoneflow.sources.workdir import broadcast_if_small, materialise
+
 # The generated table's zone count, multiplier, modulus and divisor.
 ZONES = 265
 FARE_STEP = 7919
@@ -54,27 +56,40 @@ def _combine(partials: DataFrame) -> DataFrame:
     )
 
 
-def by_frame(df: DataFrame, max_frame: int = MAX_FRAME_ROWS) -> DataFrame:
-    """Grouped map: a pandas function per zone.
+def grouped_map(
+    df: DataFrame, keys: Sequence[str], fn: Callable[[tuple, pd.DataFrame], pd.DataFrame], schema: str, max_frame: int = MAX_FRAME_ROWS
+) -> DataFrame:
+    """Hand ``fn(key, frame)`` frames of at most about ``max_frame`` rows of one key.
 
-    A zone larger than ``max_frame`` is handed over in slices (whole input partitions, so a
-    recomputed task slices alike) and the slices' sums are combined.
+    A small group arrives as one frame. A larger one arrives in several, so ``fn`` must return what can be
+    combined; only the keys that need it are cut, each into as many slices as its own size asks for. A slice is
+    drawn by a hash of the row's place, so input that is already grouped by key is cut as well. Null keys are dropped.
     """
-    df = df.na.drop(subset=["zone"])
-    largest = df.groupBy("zone").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-    slices = max(1, -(-largest // max_frame))
-
-    def partial(pdf: pd.DataFrame) -> pd.DataFrame:
-        fare = pdf["fare"]
-        return pd.DataFrame(
-            {"zone": [int(pdf["zone"].iat[0])], "n": [len(pdf)], "m": [fare.count()], "s": [fare.sum()]}
-        )
-
-    keys = ["zone"]
-    if slices > 1:
-        df = df.withColumn("slice", F.pmod(F.spark_partition_id(), F.lit(slices)))
-        keys.append("slice")
-    return _combine(df.groupBy(*keys).applyInPandas(partial, "zone int, n long, m long, s double"))
+    keys = list(keys)
+    df = df.na.drop(subset=keys)
+    large = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > max_frame)
+    large = large.select(*keys, F.ceil(F.col("__n") / max_frame).alias("__slices"))
+    if not large.take(1):
+        return df.groupBy(*keys).applyInPandas(fn, schema)
+    place = F.xxhash64(F.monotonically_increasing_id())
+    cut = df.withColumn("__place", place).join(broadcast_if_small(materialise(large)), keys, "left")
+    slice_ = F.coalesce(F.pmod("__place", "__slices"), F.lit(0).cast("long"))
+    rows = cut.select(*df.columns, slice_.alias("__slice"))
+
+    def each(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        return fn(key[: len(keys)], frame.drop(columns="__slice"))
+
+    return rows.groupBy(*keys, "__slice").applyInPandas(each, schema)
+
+
+def by_frame(df: DataFrame, max_frame: int = MAX_FRAME_ROWS) -> DataFrame:
+    """Grouped map: a pandas function per zone, whose sums are combined."""
+
+    def sums(zone: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        known = frame["fare"].dropna()
+        return pd.DataFrame([(zone[0], len(frame), len(known), known.sum())], columns=["zone", "n", "m", "s"])
+
+    return _combine(grouped_map(df, ["zone"], sums, "zone int, n long, m long, s double", max_frame))
 
 
 def _gather(batches: Iterator, rows: int = PARTIAL_ROWS) -> Iterator[list]:

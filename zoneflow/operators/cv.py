@@ -1,4 +1,4 @@
-"""Grid scoring of a damped least-squares fit from per-fold sums.
+"""Grid scoring of a damped least-squares fit from per-fold moments.
 
 The fit repeats ``rounds`` times: solve least squares for the residual, add half of the step.
 Each repeat halves the weights, so with ``w`` the ordinary solution on the training rows the last
@@ -9,12 +9,12 @@ moments of each fold: one grouped aggregate over all rows serves every fit of th
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator, Sequence
-from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Features and target of the model, and the default grid.
@@ -38,63 +38,80 @@ def design_matrix(
     )
 
 
-@dataclass(frozen=True)
-class Scales:
-    """Centre and spread per feature and the target's centre: a fixed, small driver-side record."""
+def _pairs(features: Sequence[str]) -> list[tuple[int, int]]:
+    return [(i, k) for i in range(len(features)) for k in range(i, len(features))]
 
-    mean: dict[str, float]
-    spread: dict[str, float]
 
+def fold_statistics(
+    rows: DataFrame, features: Sequence[str] = FEATURES, target: str = TARGET, fold: str = "fold"
+) -> DataFrame:
+    """Rows, means and population covariances per fold in one map-side combined aggregate.
 
-def scales(design: DataFrame, features: Sequence[str] = FEATURES, target: str = TARGET) -> Scales:
-    """One aggregate over the design matrix, one row back."""
-    row = design.agg(
-        *(F.avg(c).alias(f"m_{c}") for c in [*features, target]),
-        *(F.stddev_pop(c).alias(f"s_{c}") for c in features),
-    ).first()
-    mean = {c: row[f"m_{c}"] or 0.0 for c in [*features, target]}
-    # A constant feature has (numerically) no spread; dividing by 1 leaves it at zero.
-    flat = lambda c: (row[f"s_{c}"] or 0.0) <= 1e-12 * abs(mean[c])
-    spread = {c: 1.0 if flat(c) else row[f"s_{c}"] for c in features}
-    return Scales(mean, spread)
+    ``n``, ``my``, ``m0..``, ``vyy``, ``v0y..`` (with the target) and ``v0x0..``. The built-in moments are
+    centred while they are summed, so large values lose no digits.
+    """
+    y = F.col(target)
+    return rows.groupBy(fold).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.avg(y).alias("my"),
+        F.var_pop(y).alias("vyy"),
+        *(F.avg(f).alias(f"m{i}") for i, f in enumerate(features)),
+        *(F.covar_pop(F.col(f), y).alias(f"v{i}y") for i, f in enumerate(features)),
+        *(F.covar_pop(F.col(features[i]), F.col(features[k])).alias(f"v{i}x{k}") for i, k in _pairs(features)),
+    )
 
 
-def standardised(
-    design: DataFrame, sc: Scales, features: Sequence[str] = FEATURES, target: str = TARGET, keep: Sequence[str] = ("fold",)
-) -> DataFrame:
-    """Centred and scaled features, centred target. The score does not change: the fit has an
-    intercept. Sums of raw products would lose the digits that the solution needs."""
-    return design.select(
-        *keep,
-        *(((F.col(f) - F.lit(sc.mean[f])) / F.lit(sc.spread[f])).alias(f) for f in features),
-        (F.col(target) - F.lit(sc.mean[target])).alias(target),
-    )
+def _moments(row: dict, p: int) -> tuple[float, np.ndarray, np.ndarray]:
+    """Rows, means and covariance matrix of a fold, the target last."""
+    mean = np.array([*(row[f"m{i}"] for i in range(p)), row["my"]], float)
+    cov = np.empty((p + 1, p + 1))
+    for i in range(p):
+        cov[i, p] = cov[p, i] = row[f"v{i}y"]
+        for k in range(i, p):
+            cov[i, k] = cov[k, i] = row[f"v{i}x{k}"]
+    cov[p, p] = row["vyy"]
+    return float(row["n"]), mean, cov
 
 
-def _moments(features: Sequence[str], target: str) -> dict[str, Column]:
-    """Names and per-row terms of the sums a fold needs; the intercept's products are n and sums."""
-    terms: dict[str, Column] = {"n": F.lit(1), "y": F.col(target), "yy": F.col(target) * F.col(target)}
-    for i, f in enumerate(features):
-        terms[f"x{i}"] = F.col(f)
-        terms[f"x{i}y"] = F.col(f) * F.col(target)
-        for k in range(i, len(features)):
-            terms[f"x{i}x{k}"] = F.col(f) * F.col(features[k])
-    return terms
+def _pooled(parts: Sequence[tuple[float, np.ndarray, np.ndarray]]) -> tuple[float, np.ndarray, np.ndarray]:
+    """Moments of several folds together: spread within the folds and between their means."""
+    n = sum(p[0] for p in parts)
+    mean = sum(p[0] * p[1] for p in parts) / n
+    cov = sum(p[0] * (p[2] + np.outer(p[1] - mean, p[1] - mean)) for p in parts) / n
+    return n, mean, cov
 
 
-def fold_statistics(
-    rows: DataFrame, features: Sequence[str] = FEATURES, target: str = TARGET, fold: str = "fold"
-) -> DataFrame:
-    """Row count, sums and sums of products per fold; one map-side combined aggregate."""
-    return rows.groupBy(fold).agg(*(F.sum(t).alias(name) for name, t in _moments(features, target).items()))
+def _per_fold(stats: DataFrame, fn: Callable[[dict[int, tuple]], list[tuple]], p: int, schema: str, folds: int) -> DataFrame:
+    """``fn`` over the moments of all folds, inside one task: they are at most ``folds`` rows."""
 
+    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = json.loads(batch["rows"].iloc[0] or "[]")
+            moments = {r["fold"]: _moments(r, p) for r in rows}
+            names = [c.split()[0] for c in schema.split(", ")]
+            yield pd.DataFrame(fn(moments), columns=names)
+
+    inside = stats.filter(F.col("fold").between(0, folds - 1))
+    return inside.agg(F.to_json(F.collect_list(F.struct("*"))).alias("rows")).mapInPandas(each, schema)
 
-def train_statistics(stats: DataFrame, folds: int = FOLDS, fold: str = "fold") -> DataFrame:
-    """Per held-out fold the same sums over all other folds."""
-    names = [c for c in stats.columns if c != fold]
-    other = F.explode(F.sequence(F.lit(0), F.lit(folds - 1)))
-    pairs = stats.withColumn("held_out", other).filter(F.col("held_out") != F.col(fold))
-    return pairs.groupBy(F.col("held_out").alias(fold)).agg(*(F.sum(c).alias(c) for c in names))
+
+def train_statistics(stats: DataFrame, features: Sequence[str] = FEATURES, folds: int = FOLDS) -> DataFrame:
+    """Per held-out fold the same statistics over all other folds, from the folds' own."""
+    p = len(features)
+
+    def pooled(moments: dict[int, tuple]) -> list[tuple]:
+        out = []
+        for f in moments:
+            others = [m for g, m in moments.items() if g != f]
+            if others:
+                n, mean, cov = _pooled(others)
+                means, with_y = mean[:p].tolist(), [float(cov[i, p]) for i in range(p)]
+                out.append((f, int(n), float(mean[p]), float(cov[p, p]), *means, *with_y, *(float(cov[i, k]) for i, k in _pairs(features))))
+        return out
+
+    kind = {"fold": "int", "n": "long"}
+    schema = ", ".join(f"{c} {kind.get(c, 'double')}" for c in ["fold", *(c for c in stats.columns if c != "fold")])
+    return _per_fold(stats, pooled, p, schema, folds)
 
 
 def grid(spark: SparkSession, combos: int = COMBOS, folds: int = FOLDS, rounds: int = FIT_ROUNDS) -> DataFrame:
@@ -111,60 +128,44 @@ def grid(spark: SparkSession, combos: int = COMBOS, folds: int = FOLDS, rounds:
 def grid_map(
     cells: DataFrame, side: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str, key: str = "fold"
 ) -> DataFrame:
-    """Run ``fn`` on every grid cell, each in its own task, with the cell's side data attached.
-
-    ``side`` must hold one row per key value: it is broadcast on that ground.
-    """
+    """Run ``fn`` on every grid cell with the cell's side data attached; the engine picks the join by real sizes."""
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield fn(batch)
 
-    return cells.join(F.broadcast(side), key, "left").mapInPandas(each, schema)
+    return cells.join(side, key, "left").mapInPandas(each, schema)
 
 
-def _gram(row: pd.Series, prefix: str, p: int) -> tuple[float, np.ndarray, np.ndarray, float, float]:
-    """Moment matrices of one fold from its named sums, intercept first."""
-    g = np.zeros((p + 1, p + 1))
-    b = np.zeros(p + 1)
-    g[0, 0], b[0] = row[f"{prefix}n"], row[f"{prefix}y"]
-    for i in range(p):
-        g[0, i + 1] = g[i + 1, 0] = row[f"{prefix}x{i}"]
-        b[i + 1] = row[f"{prefix}x{i}y"]
-        for k in range(i, p):
-            g[i + 1, k + 1] = g[k + 1, i + 1] = row[f"{prefix}x{i}x{k}"]
-    return row[f"{prefix}n"], g, b, row[f"{prefix}y"], row[f"{prefix}yy"]
-
-
-def score_cell(row: pd.Series, p: int) -> float:
-    """Held-out score of one cell from training sums (``t_``) and held-out sums (``v_``)."""
-    if not (row["t_n"] > 0 and row["v_n"] > 0):
-        return float("nan")
-    n_t, g_t, b_t, _, _ = _gram(row, "t_", p)
-    n_v, g_v, b_v, sum_y, sum_yy = _gram(row, "v_", p)
-    w = np.linalg.lstsq(g_t / n_t, b_t / n_t, rcond=1e-10)[0]
-    shrink = 0.5 ** float(row["rounds"])
-    a = shrink * w
-    shift = (1.0 - shrink) * float(g_t[0] @ w) / n_t
-    error = a @ g_v @ a + n_v * shift**2 + sum_yy + 2 * shift * (a @ g_v[0]) - 2 * (a @ b_v) - 2 * shift * sum_y
-    return float(error / n_v)
-
-
-def fold_moments(
-    design: DataFrame, features: Sequence[str] = FEATURES, target: str = TARGET, folds: int = FOLDS
-) -> DataFrame:
-    """One row per fold: held-out sums (``v_``) beside training sums (``t_``), standardised.
+def fold_solutions(stats: DataFrame, features: Sequence[str] = FEATURES, folds: int = FOLDS) -> DataFrame:
+    """``fold, quad, lin, const``: the held-out score of ``rounds`` repeats is ``quad*s*s + lin*s + const``, s = 0.5**rounds.
 
-    ``design`` carries a ``fold`` column. Two small aggregates run over the rows: scales, then sums;
-    the sums come back as at most ``folds`` rows.
+    With ``b`` the slopes fitted on the other folds and ``m`` their means, a held-out row's prediction is
+    ``s * (x - m).b`` above the mean target of the other folds; the score averages its squared error, which
+    takes nothing but moments. One solve per fold serves every number of rounds. Features are scaled by their
+    spread; those without any get no weight, and dependent ones share it.
     """
-    sc = scales(design, features, target)
-    stats = fold_statistics(standardised(design, sc, features, target), features, target)
-    held = stats.filter(F.col("fold").between(0, folds - 1)).collect()
-    held = design.sparkSession.createDataFrame(held, stats.schema)
-    train = train_statistics(held, folds)
-    name = lambda d, prefix: d.select("fold", *(F.col(c).alias(prefix + c) for c in d.columns if c != "fold"))
-    return name(held, "v_").join(name(train, "t_"), "fold")
+    p = len(features)
+
+    def solve(moments: dict[int, tuple]) -> list[tuple]:
+        out = []
+        for f, (_, mean, cov) in moments.items():
+            others = [m for g, m in moments.items() if g != f]
+            if not others:
+                continue
+            _, m_t, c_t = _pooled(others)
+            spread = np.sqrt(np.maximum(0, np.diag(c_t)[:p]))
+            flat = spread <= 1e-12 * np.abs(m_t[:p])
+            scale = np.where(flat, 1.0, spread)
+            gram = np.where(np.outer(flat, flat) | flat[:, None] | flat[None, :], 0.0, c_t[:p, :p] / np.outer(scale, scale))
+            b = np.linalg.lstsq(gram, np.where(flat, 0.0, c_t[:p, p] / scale), rcond=1e-10)[0] / scale
+            u, v = float((mean[:p] - m_t[:p]) @ b), float(m_t[p] - mean[p])
+            quad = float(b @ cov[:p, :p] @ b) + u * u
+            lin = 2 * (u * v - float(b @ cov[:p, p]))
+            out.append((f, quad, lin, float(cov[p, p]) + v * v))
+        return out
+
+    return _per_fold(stats, solve, p, "fold int, quad double, lin double, const double", folds)
 
 
 def grid_scores(
@@ -175,18 +176,12 @@ def grid_scores(
     folds: int = FOLDS,
     rounds: int = FIT_ROUNDS,
 ) -> DataFrame:
-    """``combo, fold, rounds, score`` of every cell of the grid."""
-    p = len(features)
-
-    def score(cells: pd.DataFrame) -> pd.DataFrame:
-        out = cells[["combo", "fold", "rounds"]].copy()
-        out["score"] = [score_cell(r, p) for _, r in cells.iterrows()]
-        return out
-
-    cells = grid(design.sparkSession, combos, folds, rounds)
-    return grid_map(
-        cells, fold_moments(design, features, target, folds), score, "combo int, fold int, rounds int, score double"
-    )
+    """``combo, fold, rounds, score`` of every cell of the grid; null for a fold without rows on either side."""
+    side = fold_solutions(fold_statistics(design, features, target), features, folds)
+    s = F.pow(F.lit(0.5), F.col("rounds"))
+    score = F.col("quad") * s * s + F.col("lin") * s + F.col("const")
+    cells = grid(design.sparkSession, combos, folds, rounds).coalesce(1)
+    return cells.join(side, "fold", "left").select("combo", "fold", "rounds", score.alias("score"))
 
 
 def effective_parallelism(spark: SparkSession, cells: int) -> int:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -72,29 +71,51 @@ def _measures(df: DataFrame, cols: TripColumns) -> DataFrame:
     )
 
 
+# What a zone's features are, once for every surface: means of a measure (strict: null when a value is
+# missing) and quantiles.
+MEANS = {"mean_fare": ("fare", False), "mean_tip_ratio": ("tip_ratio", True)}
+QUANTILES = [Quantile("p90_distance", "distance", 0.9, strict=True), Quantile("fare_per_km", "fare_rate", 0.5)]
+
+
+def _mean(measure: str, strict: bool) -> Column:
+    return avg_if_complete(F.col(measure)) if strict else F.avg(measure)
+
+
 def zone_features(
-    trips: DataFrame, cols: TripColumns = TAXI, approximate: bool = False, max_group: int = MAX_GROUP_ROWS
+    trips: DataFrame, cols: TripColumns = TAXI, approximate: bool = False, max_group: int = MAX_GROUP_ROWS,
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """Trips, mean fare, mean tip ratio, 90th percentile distance and median fare rate per zone.
 
     A mean tip ratio or distance percentile is null when the zone misses any of its values; the
     mean fare and the median skip missing ones. ``approximate`` trades exact percentiles for one
-    sketch pass.
-    """
-    aggs: list[Column] = [
-        F.count(F.lit(1)).alias("n_trips"),
-        F.avg("fare").alias("mean_fare"),
-        avg_if_complete(F.col("tip_ratio")).alias("mean_tip_ratio"),
-    ]
-    quantiles = [
-        Quantile("p90_distance", "distance", 0.9, strict=True),
-        Quantile("fare_per_km", "fare_rate", 0.5),
-    ]
+    sketch pass. ``keys_from`` has the same zone keys as ``trips`` and is cheaper to count, such as the trips
+    before a lookup join.
+    """
+    aggs = [F.count(F.lit(1)).alias("n_trips"), *(_mean(*m).alias(name) for name, m in MEANS.items())]
     measures = _measures(trips, cols)
     if approximate:
         rows = measures.na.drop(subset=[cols.zone])
-        return rows.groupBy(cols.zone).agg(*aggs, *(q.approximate() for q in quantiles))
-    return summarise(measures, [cols.zone], aggs, quantiles, max_group)
+        return rows.groupBy(cols.zone).agg(*aggs, *(q.approximate() for q in QUANTILES))
+    keys = None if keys_from is None else keys_from.select(F.col(cols.zone).cast("int").alias(cols.zone))
+    return summarise(measures, [cols.zone], aggs, QUANTILES, max_group, keys)
+
+
+def percentile_ranks(trips: DataFrame, features: DataFrame, cols: TripColumns = TAXI) -> DataFrame:
+    """How far ``p90_distance`` and ``fare_per_km`` of given features are off, per zone, in shares of the zone's rows.
+
+    The rank error is the distance of the wanted fraction from the range of shares that the value covers
+    (rows below it to rows not above it); an exact element has none.
+    """
+    values = features.select(cols.zone, *(F.col(q.name).alias(f"__{q.name}") for q in QUANTILES))
+    rows = _measures(trips, cols).join(values, cols.zone)
+
+    def error(q: Quantile) -> Column:
+        v, at = F.col(q.column), F.col(f"__{q.name}")
+        below, upto = F.count_if(v < at) / F.count(v), F.count_if(v <= at) / F.count(v)
+        return F.greatest(F.lit(0.0), below - q.fraction, q.fraction - upto)
+
+    return rows.groupBy(cols.zone).agg(F.count(F.lit(1)).alias("n_trips"), *(error(q).alias(f"{q.name}_off") for q in QUANTILES))
 
 
 def zone_features_grouped(
@@ -108,23 +129,14 @@ def zone_features_grouped(
     key = cols.zone
     measures = _measures(trips, cols).na.drop(subset=[key])
 
-    def features(pdf: pd.DataFrame) -> pd.DataFrame:
-        distance = pdf["distance"].to_numpy(dtype=float)
-        row = {
-            key: int(pdf[key].iat[0]),
-            "n_trips": len(pdf),
-            "mean_fare": pdf["fare"].mean(),
-            "mean_tip_ratio": pdf["tip_ratio"].mean(skipna=False),
-            "p90_distance": np.nan if np.isnan(distance).any() else np.quantile(distance, 0.9),
-            "fare_per_km": pdf["fare_rate"].median(),
-        }
-        return pd.DataFrame({k: [v] for k, v in row.items()})
-
-    schema = (
-        f"`{key}` int, n_trips long, mean_fare double, mean_tip_ratio double, "
-        "p90_distance double, fare_per_km double"
-    )
-    by_frame = lambda d: d.groupBy(key).applyInPandas(features, schema)
+    def of_zone(zone: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        whole = frame.notna().all()
+        means = {n: frame[m].mean() if whole[m] or not strict else None for n, (m, strict) in MEANS.items()}
+        cuts = {q.name: frame[q.column].quantile(q.fraction) if whole[q.column] or not q.strict else None for q in QUANTILES}
+        return pd.DataFrame([{key: zone[0], "n_trips": len(frame), **means, **cuts}])
+
+    schema = ", ".join([f"`{key}` int", "n_trips long", *(f"{n} double" for n in [*MEANS, *(q.name for q in QUANTILES)])])
+    by_frame = lambda d: d.groupBy(key).applyInPandas(of_zone, schema)
     hot = hot_keys(measures, [key], max_frame)
     if hot is None:
         return by_frame(measures)

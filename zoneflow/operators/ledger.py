@@ -16,9 +16,9 @@ LEDGER_ROWS = 5
 
 
 def with_predictions(ledger: DataFrame, predictions: DataFrame, keys: Sequence[str] = PREDICTION_KEYS) -> DataFrame:
-    """Measured rows that have a prediction, with it in ``predicted_s``."""
+    """All measured rows, with their prediction in ``predicted_s``; null where there is none."""
     measured = ledger.drop("predicted_s")
-    return measured.join(predictions.select(*keys, "predicted_s"), list(keys))
+    return measured.join(predictions.select(*keys, "predicted_s"), list(keys), "left")
 
 
 def ledger_complete(ledger: DataFrame, by: Sequence[str] = ("resource_id",), rows: int = LEDGER_ROWS) -> DataFrame:
@@ -34,7 +34,10 @@ def ledger_complete(ledger: DataFrame, by: Sequence[str] = ("resource_id",), row
 def compare_nodes(
     ledger: DataFrame, by: Sequence[str] = ("resource_id", "phase"), small: int = 2, large: int = 4
 ) -> DataFrame:
-    """Predicted and measured time at two node counts, and the measured ratio between them."""
+    """Predicted and measured time at two node counts, and the measured ratio between them.
+
+    ``n_small`` and ``n_large`` count the rows behind each side; above one the largest value is shown.
+    """
 
     def at(value: str, nodes: int) -> Column:
         return F.max(F.when(F.col("nodes") == nodes, F.col(value).cast("double")))
@@ -45,6 +48,8 @@ def compare_nodes(
         at("wall_s", small).alias("wall_small_s"),
         at("wall_s", large).alias("wall_large_s"),
         F.try_divide(at("wall_s", small), at("wall_s", large)).alias("speedup"),
+        F.count_if(F.col("nodes") == small).alias("n_small"),
+        F.count_if(F.col("nodes") == large).alias("n_large"),
     )
 
 
@@ -59,9 +64,9 @@ def with_cost(ledger: DataFrame, prices: DataFrame, on: str = "instance_type") -
     """Cost of a row: its seconds (wait and work) times hourly rate times billed nodes.
 
     ``prices`` has one row per instance type with the hourly ``rate_usd``. A cluster row
-    (``nodes`` > 1) also pays for the primary node.
+    (``nodes`` > 1) also pays for the primary node. A row whose type has no price keeps a null cost.
     """
     num = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(0.0))
     billed = F.col("nodes") + F.when(F.col("nodes") > 1, 1).otherwise(0)
     cost = (num("startup_s") + num("wall_s")) / 3600 * F.col("rate_usd") * billed
-    return ledger.drop("cost_usd").join(broadcast_if_small(prices.select(on, "rate_usd")), on).withColumn("cost_usd", cost)
+    return ledger.drop("cost_usd").join(broadcast_if_small(prices.select(on, "rate_usd")), on, "left").withColumn("cost_usd", cost)

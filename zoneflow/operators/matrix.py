@@ -49,8 +49,13 @@ def model_matrix(trips: DataFrame, start: str, end: str, cols: TripColumns = TAX
 
 
 def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row with the number of missing values per column, all columns in one pass."""
-    return df.agg(*(F.count_if(F.col(c).isNull()).alias(f"nulls_{c}") for c in columns))
+    """One row with the number of missing values (null or NaN) per column, all columns in one pass."""
+
+    def missing(c: str) -> Column:
+        null = F.col(c).isNull()
+        return null | F.isnan(c) if df.schema[c].dataType.typeName() in ("float", "double") else null
+
+    return df.agg(*(F.count_if(missing(c)).alias(f"nulls_{c}") for c in columns))
 
 
 def matrix_profile(trips: DataFrame, start: str, end: str, cols: TripColumns = TAXI) -> DataFrame:

@@ -63,13 +63,11 @@ class Quantile:
 def hot_keys(df: DataFrame, keys: Sequence[str], max_group: int) -> DataFrame | None:
     """Keys with more than ``max_group`` rows as a stored table, or None when there are none.
 
-    Reads the key columns only and counts map-side.
+    Reads the key columns only, once, and counts map-side.
     """
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    largest = sizes.agg(F.max("__n")).first()[0]
-    if largest is None or largest <= max_group:
-        return None
-    return materialise(sizes.filter(F.col("__n") > max_group).select(*keys))
+    hot = materialise(sizes.filter(F.col("__n") > max_group).select(*keys))
+    return hot if hot.take(1) else None
 
 
 def summarise(
@@ -78,16 +76,22 @@ def summarise(
     aggs: Sequence[Column],
     quantiles: Sequence[Quantile],
     max_group: int = MAX_GROUP_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
-    """``groupBy(keys)`` with ordinary aggregates and exact quantiles. Null keys are dropped."""
+    """``groupBy(keys)`` with ordinary aggregates and exact quantiles. Null keys are dropped.
+
+    The source is read for the key counts (``counted`` may name a cheaper table with the same keys), once for
+    the groups of bounded size, and once to store the rows of the others, which the narrowing then reads.
+    """
     keys = list(keys)
     df = df.na.drop(subset=keys)
     one_pass = lambda d: d.groupBy(*keys).agg(*aggs, *(q.native() for q in quantiles))
-    hot = hot_keys(df, keys, max_group) if quantiles else None
+    hot = hot_keys((df if counted is None else counted).na.drop(subset=keys), keys, max_group) if quantiles else None
     if hot is None:
         return one_pass(df)
     cold = one_pass(df.join(hot, keys, "left_anti"))
-    return cold.unionByName(_summarise_hot(df.join(hot, keys, "left_semi"), keys, aggs, quantiles, max_group))
+    stored = materialise(df.join(hot, keys, "left_semi"))
+    return cold.unionByName(_summarise_hot(stored, keys, aggs, quantiles, max_group))
 
 
 def _inside(v: Column, lo: Column, hi: Column) -> Column:
@@ -230,6 +234,8 @@ def _summarise_hot(
         else:
             at = F.lit(q.fraction) * (F.col(f"__n_{q.column}") - 1)
             x, y = F.col(f"__x{j}"), F.col(f"__x{j + 1}")
-            out.append((x + (y - x) * (at - F.floor(at))).alias(q.name))
+            # the built-in percentile's own weights, so a value does not depend on its group's size
+            mixed = (F.ceil(at) - at) * x + (at - F.floor(at)) * y
+            out.append(F.when(F.ceil(at) == F.floor(at), x).otherwise(mixed).alias(q.name))
             j += 2
     return df.groupBy(*keys).agg(*aggs).join(state.select(*keys, *out), keys)

@@ -94,12 +94,13 @@ def line_counts(lines: DataFrame, markers: Mapping[str, str], by: Sequence[str]
     )
 
 
-def lines_with_prefix(lines: DataFrame, prefixes: Sequence[str], width: int = 260) -> DataFrame:
-    """Lines that start with one of the prefixes, for display cut to ``width`` characters."""
+def lines_with_prefix(lines: DataFrame, prefixes: Sequence[str], display_width: int | None = None) -> DataFrame:
+    """Whole lines that start with one of the prefixes; ``display_width`` cuts them for a screen."""
     starts = F.lit(False)
     for p in prefixes:
         starts = starts | F.col("line").startswith(p)
-    return lines.filter(starts).withColumn("line", F.substring("line", 1, width))
+    found = lines.filter(starts)
+    return found if display_width is None else found.withColumn("line", F.substring("line", 1, display_width))
 
 
 def _all_true(c: Column) -> Column:
@@ -107,8 +108,11 @@ def _all_true(c: Column) -> Column:
     return F.coalesce(F.every(c), F.lit(True))
 
 
-def run_checks(blocks: DataFrame, executors: DataFrame | None = None, expected_executors: int = 4) -> DataFrame:
-    """Per log: is the run complete and comparable?
+def run_checks(runs: DataFrame, blocks: DataFrame, executors: DataFrame | None = None) -> DataFrame:
+    """Per log of ``runs``: is the run complete and comparable? A log without any block is a failed run.
+
+    ``runs`` has one row per log: ``path``, and where they are known ``nodes`` (executors the run should
+    have gained) and ``pin`` (its pinned partition count); a null or absent pin is the usual one.
 
     ``blocks_ok``  the number of blocks the kind of run prints: 1 for a single-machine scan, else 2
     ``mode_ok``    Spark blocks read ``mode=rest`` and name the host that answered
@@ -116,18 +120,24 @@ def run_checks(blocks: DataFrame, executors: DataFrame | None = None, expected_e
     ``pin_ok``     the pinned partition count reached phase A's ``partitions``
     ``bytes_ok``   ``0 < bytes_needed < bytes_on_disk`` in a scan block
     ``rate_ok``    a scan block's read rate is below the network's advertised rate
-    ``executors_ok`` the driver log names the expected number of executors (when given)
+    ``executors_ok`` the driver log names one executor per node; null (not asked) of scans and where
+    ``nodes`` is not known
     """
     kv = F.col("kv")
     num = lambda k: kv[k].try_cast("double")
     scan = F.coalesce(kv["mode"] == "duckdb", F.lit(False))
     when_spark = lambda c: F.when(~scan, F.coalesce(c, F.lit(False)))
     when_scan = lambda c: F.when(scan, F.coalesce(c, F.lit(False)))
-    pin = num("shuffle_partitions") == PINNED_PARTITIONS
-    pin_a = F.when(kv["phase"] == "A_aggregate", num("partitions") == PINNED_PARTITIONS).otherwise(F.lit(True))
+    given = lambda c, kind: F.col(c).cast(kind) if c in runs.columns else F.lit(None).cast(kind)
+    runs = runs.select("path", given("nodes", "long").alias("nodes"), F.coalesce(given("pin", "double"), F.lit(PINNED_PARTITIONS)).alias("pin"))
+    # the executor log is asked of runs, so it joins their list and not their blocks
+    blocks = blocks.select("path", "kv").join(runs.select("path", "pin"), "path")
+    pin = num("shuffle_partitions") == F.col("pin")
+    pin_a = F.when(kv["phase"] == "A_aggregate", num("partitions") == F.col("pin")).otherwise(F.lit(True))
     gbit_per_s = num("bytes_needed") * 8 / F.lit(1e9) / F.greatest(num("t_read_s"), F.lit(1e-9))
     flags = blocks.groupBy("path").agg(
         F.count(F.lit(1)).alias("n_blocks"),
+        F.every(scan).alias("scan"),
         (F.count(F.lit(1)) == F.when(F.every(scan), 1).otherwise(2)).alias("blocks_ok"),
         _all_true(when_spark((kv["mode"] == "rest") & (kv["rest_target"] != "none"))).alias("mode_ok"),
         _all_true(when_spark(kv["retried"] == "0")).alias("retried_ok"),
@@ -138,13 +148,21 @@ def run_checks(blocks: DataFrame, executors: DataFrame | None = None, expected_e
         _all_true(when_scan(gbit_per_s < LINK_GBIT_PER_S)).alias("rate_ok"),
     )
     checks = ["blocks_ok", "mode_ok", "retried_ok", "pin_ok", "bytes_ok", "rate_ok"]
+    flags = runs.join(flags, "path", "left").withColumns(
+        {
+            "n_blocks": F.coalesce("n_blocks", F.lit(0).cast("long")),
+            "blocks_ok": F.coalesce("blocks_ok", F.lit(False)),
+            **{c: F.coalesce(c, F.lit(True)) for c in checks[1:]},
+        }
+    )
     if executors is not None:
-        seen = F.coalesce(F.col("n_executors"), F.lit(0)) == expected_executors
-        flags = flags.join(executors.select("path", "n_executors"), "path", "left").withColumn("executors_ok", seen)
+        seen = F.coalesce(F.col("n_executors"), F.lit(0)) == F.col("nodes")
+        flags = flags.join(executors.select("path", "n_executors"), "path", "left")
+        flags = flags.withColumn("executors_ok", F.when(~F.coalesce("scan", F.lit(False)), seen))
         checks.append("executors_ok")
     ok = F.lit(True)
     for c in checks:
-        ok = ok & F.col(c)
+        ok = ok & F.coalesce(c, F.lit(True))
     return flags.select("path", "n_blocks", *checks, ok.alias("valid"))
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from zoneflow.functions.exprs import HASH_BUCKETS, hash_bucket, row_hash
+from zoneflow.functions.exprs import HASH_BITS, key_hash
 from zoneflow.sources.workdir import broadcast_if_small
 
 # Target rows and seed of the model sample.
@@ -28,23 +28,22 @@ def sample_rows(
     method: str = "hash",
     seed: int = SAMPLE_SEED,
 ) -> DataFrame:
-    """Sample by a hash of integer row keys, or ``method="bernoulli"`` for Spark's seeded draw.
+    """Sample by a hash of row keys of any type, or ``method="bernoulli"`` for Spark's seeded draw.
 
     Without ``fraction`` the rows are counted once and about ``target`` of them are kept. The keys
-    should identify a row: rows that share all of them are kept or dropped together.
+    should identify a row: rows that share all of them are kept or dropped together. Null is a key like
+    any other. A row that is kept at one fraction is kept at every larger one.
     """
     if fraction is None:
         fraction = sample_fraction(df.count(), target)
     if method == "bernoulli":
         return df.sample(fraction=fraction, seed=seed)
-    if fraction >= 1.0:
-        return df
-    return df.filter(hash_bucket(keys) < int(fraction * HASH_BUCKETS))
+    return df.filter(key_hash(keys, f"sample{seed}") < int(min(1.0, fraction) * 2**HASH_BITS))
 
 
 def fold_of(keys: Sequence[str | Column], folds: int) -> Column:
-    """Fold label in [0, folds) from row keys."""
-    return F.pmod(row_hash(keys), F.lit(folds)).cast("int")
+    """Fold label in [0, folds) from row keys, independent of the sample's hash."""
+    return F.pmod(key_hash(keys, "fold"), F.lit(folds)).cast("int")
 
 
 def with_folds(df: DataFrame, keys: Sequence[str | Column], folds: int = 5, name: str = "fold") -> DataFrame:

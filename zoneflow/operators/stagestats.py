@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zoneflow.operators.quantiles import MAX_GROUP_ROWS, Quantile, summarise
+from zoneflow.operators.runlog import block_text
 from zoneflow.sources.workdir import materialise
 
 RUN_STAGE = ["run", "stage_id"]
@@ -160,13 +161,22 @@ def phase_rollup(latest: DataFrame, quantiles: DataFrame) -> DataFrame:
 
 
 def with_degraded(phases: DataFrame, rollup: DataFrame, keys: Sequence[str] = PHASE_KEYS) -> DataFrame:
-    """Every phase gets a row: zeros and ``mode=degraded`` where no stage metrics could be read."""
-    measured = [c for c in rollup.columns if c not in keys]
-    out = phases.join(rollup.withColumn("__seen", F.lit(True)), list(keys), "left")
+    """Every phase gets a row: zeros and ``mode=degraded`` where no stage metrics could be read.
+
+    Work outside any named phase has a null phase, which is a phase like the others. Measured phases without a
+    job in the log (it may have been rolled) keep their numbers and have no span.
+    """
+    measured, given = [c for c in rollup.columns if c not in keys], [c for c in phases.columns if c not in keys]
+    left, right = phases.withColumn("__known", F.lit(True)).alias("l"), rollup.withColumn("__seen", F.lit(True)).alias("r")
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}"))
+    out = left.join(right, same, "full")
     return out.select(
-        *phases.columns,
+        *(F.when(F.col("__known"), F.col(f"l.{k}")).otherwise(F.col(f"r.{k}")).alias(k) for k in keys),
+        *(F.col(f"l.{c}").alias(c) for c in given),
         F.when(F.col("__seen"), "rest").otherwise("degraded").alias("mode"),
-        *(F.coalesce(F.col(c), F.lit(0).cast(rollup.schema[c].dataType)).alias(c) for c in measured),
+        *(F.coalesce(F.col(f"r.{c}"), F.lit(0).cast(rollup.schema[c].dataType)).alias(c) for c in measured),
     )
 
 
@@ -174,6 +184,32 @@ def rollup_events(events: DataFrame, max_group: int = MAX_GROUP_ROWS) -> DataFra
     """Event log to phase rows. The events are stored once, so the log text is parsed once."""
     events = materialise(events)
     jobs = event_jobs(events)
-    latest = latest_attempts(event_attempts(events).join(stage_phases(jobs), RUN_STAGE))
+    latest = latest_attempts(event_attempts(events).join(stage_phases(jobs), RUN_STAGE, "left"))
     rollup = phase_rollup(latest, task_quantiles(event_tasks(events), max_group))
     return with_degraded(phase_spans(jobs), rollup)
+
+
+# What a phase's metrics block holds, in order, and where a rollup row has it.
+PHASE_BLOCK = {
+    "wall_s": "job_span_s",
+    "shuffle_write_bytes": "shuffle_write_bytes",
+    "partitions": "partitions",
+    "tasks": "tasks",
+    "retried": "retried",
+    "task_min_s": "task_min_s",
+    "task_med_s": "task_med_s",
+    "task_max_s": "task_max_s",
+    "ended_at_epoch_s": "ended_at_epoch_s",
+    "rest_target": "rest_target",
+    "shuffle_partitions": "shuffle_partitions",
+}
+
+
+def phase_blocks(rollup: DataFrame, platform: str, stage: str, shuffle_partitions: int, rest_target: str = "event-log") -> DataFrame:
+    """``run, text``: the metrics block of every rolled-up phase, as run logs hold it.
+
+    The wall time is the job span; a phase without a span, or without a name, says ``None``.
+    """
+    known = rollup.withColumns({"rest_target": F.lit(rest_target), "shuffle_partitions": F.lit(shuffle_partitions)})
+    header = {"mode": F.col("mode"), "platform": F.lit(platform), "stage": F.lit(stage), "phase": F.col("phase")}
+    return known.select("run", block_text(header, {k: F.col(c) for k, c in PHASE_BLOCK.items()}).alias("text"))

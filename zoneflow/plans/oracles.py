@@ -9,8 +9,7 @@ KEYS = ", ".join(ROW_KEYS)
 
 
 def r(expr: str, digits: int, name: str | None = None) -> str:
-    """Rounded expression with the same shift off decimal ties as the queries use."""
-    return f"round({expr} + CAST({0.0123 * 10.0**-digits!r} AS DOUBLE), {digits}) AS {name or expr}"
+    return f"round({expr}, {digits}) AS {name or expr}"
 
 
 TRIPS = f"""
@@ -40,15 +39,13 @@ SELECT PULocationID AS zone, n_trips, {r('mean_fare', 6)}, {r('mean_tip_ratio',
        {r('p90_distance', 6)}, {r('fare_per_km', 6)} FROM feat"""
 
 
-def _hash() -> str:
-    h = "0"
-    for k in ROW_KEYS:
-        h = f"(({h} * 1000003 + {k} % 1000000007) % 1000000007)"
-    return h
+def _hash(seed: str) -> str:
+    keys = " || '/' || ".join(f"CAST({k} AS VARCHAR)" for k in ROW_KEYS)
+    return f"CAST('0x' || substr(md5('{seed}/' || {keys}), 1, 15) AS BIGINT)"
 
 
-BUCKET = f"({_hash()} * 2654435761) % 1000000"
-FOLD = f"CAST({_hash()} % 5 AS INTEGER)"
+BUCKET = _hash("sample436")
+FOLD = f"CAST({_hash('fold')} % 5 AS INTEGER)"
 
 SAMPLE = f"""
 s AS (SELECT m.*, f.mean_fare, f.mean_tip_ratio, f.p90_distance, f.fare_per_km, {FOLD} AS fold
@@ -58,25 +55,19 @@ _ROUNDED = ", ".join(r(c, 6) for c in FEATURES[2:])
 
 
 def _moments() -> dict[str, str]:
-    out = {"y": "y", "yy": "y * y"}
     p = len(FEATURES)
-    for i in range(p):
-        out[f"x{i}"] = f"x{i}"
-        out[f"x{i}y"] = f"x{i} * y"
-        for k in range(i, p):
-            out[f"x{i}x{k}"] = f"x{i} * x{k}"
-    return out
+    out = {"my": "avg(y)", "vyy": "var_pop(y)"} | {f"m{i}": f"avg(x{i})" for i in range(p)}
+    out |= {f"v{i}y": f"covar_pop(y, x{i})" for i in range(p)}
+    return out | {f"v{i}x{k}": f"covar_pop(x{k}, x{i})" for i in range(p) for k in range(i, p)}
 
 
 def _moment_sql(per: str) -> str:
-    digits = lambda c: -4 if c == "yy" else 1 if c.endswith("y") else 4
-    centred = ", ".join(
-        f"({c} - (SELECT avg({c}) FROM s)) / (SELECT stddev_pop({c}) FROM s) AS x{i}" for i, c in enumerate(FEATURES)
-    )
-    z = f"z AS (SELECT fold, {centred}, fare_amount - (SELECT avg(fare_amount) FROM s) AS y FROM s)"
-    sums = ", ".join(f"round(sum({e}), {digits(c)}) + 0.0 AS {c}" for c, e in _moments().items())
+    digits = lambda c: 1 if c == "vyy" else 3 if c.endswith("y") else 5
+    named = ", ".join(f"{c} AS x{i}" for i, c in enumerate(FEATURES))
+    sums = ", ".join(f"round({e}, {digits(c)}) + 0.0 AS {c}" for c, e in _moments().items())
     source = "z" if per == "fold" else "(SELECT h.fold, z.* EXCLUDE (fold) FROM z JOIN (SELECT DISTINCT fold FROM z) h ON h.fold <> z.fold)"
-    return f"WITH {TRIPS}, {FEATS}, {SAMPLE}, {z} SELECT fold, CAST(count(*) AS BIGINT) AS n, {sums} FROM {source} GROUP BY fold"
+    return f"""WITH {TRIPS}, {FEATS}, {SAMPLE}, z AS (SELECT fold, {named}, fare_amount AS y FROM s)
+SELECT fold, CAST(count(*) AS BIGINT) AS n, {sums} FROM {source} GROUP BY fold"""
 
 
 ZONE_FARE = """zf AS (SELECT CAST(l_orderkey % 265 AS INTEGER) AS zone,
@@ -87,16 +78,17 @@ BY_ZONE = f"WITH {ZONE_FARE} SELECT zone, count(*) AS n, {r('avg(fare)', 6, 'avg
 PATH = "concat_ws('/', l_orderkey, l_partkey, l_suppkey, l_linenumber, CAST(floor(l_extendedprice) AS BIGINT))"
 BLOCKS = f"""
 li AS (SELECT *, {PATH} AS path, CAST(floor(l_quantity) AS BIGINT) AS q, CAST(floor(l_extendedprice) AS BIGINT) AS price,
-              CAST(floor(l_discount * 100 + 0.5) AS BIGINT) AS d, l_linenumber % 2 = 1 AS odd FROM lineitem),
+              CAST(floor(l_discount * 100 + 0.5) AS BIGINT) AS d, l_linenumber % 2 = 1 AS odd,
+              CAST(floor(l_discount * 100 + 0.5) AS BIGINT) = 10 AS died FROM lineitem),
 blocks AS (
   SELECT path, l_orderkey, CAST(0 AS INTEGER) AS block, 'duckdb' AS mode, '1_duckdb' AS stage, 'scan' AS phase, q AS wall,
          CAST(NULL AS BIGINT) AS bytes, CAST(NULL AS VARCHAR) AS rest_target, CAST(NULL AS VARCHAR) AS note, 9 AS n_keys
-  FROM li WHERE NOT odd
+  FROM li WHERE NOT odd AND NOT died
   UNION ALL
-  SELECT path, l_orderkey, 0, 'rest', '2_emr', 'A_aggregate', q, price, 'advertised', 'a=b=' || l_suppkey, 12 FROM li WHERE odd
+  SELECT path, l_orderkey, 0, 'rest', '2_emr', 'A_aggregate', q, price, 'advertised', 'a=b=' || l_suppkey, 12 FROM li WHERE odd AND NOT died
   UNION ALL
   SELECT path, l_orderkey, 1, CASE WHEN l_returnflag = 'R' THEN 'degraded' ELSE 'rest' END, '2_emr', 'B_fit', q + 7,
-         NULL, 'advertised', NULL, 12 FROM li WHERE odd)"""
+         NULL, 'advertised', NULL, 12 FROM li WHERE odd AND NOT died)"""
 
 
 def _ledger_sql(resource: str, nodes: int, startup: str) -> str:
@@ -106,18 +98,18 @@ def _ledger_sql(resource: str, nodes: int, startup: str) -> str:
 
 
 STAGES = """
-jobs AS (SELECT o_custkey AS run, o_orderkey AS stage_id, o_orderpriority AS phase, o_orderkey * 1000 AS t0,
-                o_orderkey * 1000 + CAST(floor(o_totalprice) AS BIGINT) * 100 AS t1 FROM orders),
+jobs AS (SELECT o_custkey AS run, o_orderkey AS stage_id, CASE WHEN o_orderkey % 7 <> 0 THEN o_orderpriority END AS phase, o_orderkey * 1000 AS t0,
+                o_orderkey * 1000 + CAST(floor(o_totalprice) AS BIGINT) * 100 AS t1 FROM orders WHERE o_orderkey % 11 <> 0),
 tasks AS (
   SELECT o_custkey AS run, o_orderkey AS stage_id, CAST(l_linenumber % 2 AS BIGINT) AS attempt_id,
          l_returnflag <> 'R' AS ok, CAST(l_quantity * 1000 AS DOUBLE) AS ms,
          CAST(floor(l_extendedprice) AS BIGINT) AS w,
          CASE WHEN l_discount > 0.05 THEN CAST(floor(l_extendedprice) AS BIGINT) ELSE 0 END AS r
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_orderkey % 17 <> 0),
 ended AS (
   SELECT o_custkey AS run, o_orderkey AS stage_id, CAST(a AS BIGINT) AS attempt_id, o_custkey % 50 + 1 AS num_tasks,
          CASE WHEN o_orderstatus = 'F' AND a = 0 THEN 'FAILED' ELSE 'COMPLETE' END AS status
-  FROM orders, (VALUES (0), (1)) v(a) WHERE a = 0 OR o_orderkey % 3 = 0),
+  FROM orders, (VALUES (0), (1)) v(a) WHERE (a = 0 OR o_orderkey % 3 = 0) AND o_orderkey % 13 <> 0),
 sums AS (
   SELECT run, stage_id, attempt_id, count(*) FILTER (ok) AS done, count(*) FILTER (NOT ok) AS failed,
          sum(w) AS w, sum(r) AS r FROM tasks GROUP BY ALL),
@@ -129,7 +121,7 @@ per_stage AS (
   FROM attempts GROUP BY run, stage_id),
 latest AS (
   SELECT a.*, p.n_attempts, j.phase, (p.n_attempts > 1 OR p.bad OR a.failed > 0) AS retried
-  FROM attempts a JOIN per_stage p USING (run, stage_id, attempt_id) JOIN jobs j USING (run, stage_id)),
+  FROM attempts a JOIN per_stage p USING (run, stage_id, attempt_id) LEFT JOIN jobs j USING (run, stage_id)),
 q AS (
   SELECT run, stage_id, attempt_id, min(ms) AS min_ms, max(ms) AS max_ms,
          list_sort(list(ms))[least(CAST(floor(count(*) * 0.5) AS BIGINT), count(*) - 1) + 1] AS med_ms
@@ -137,6 +129,25 @@ q AS (
 
 TASK_QUANTILES = f"WITH {STAGES} SELECT run, stage_id, attempt_id, min_ms, max_ms, med_ms FROM q"
 
+ROLLUP = """
+span AS (SELECT run, phase, round((max(t1) - min(t0)) / 1000, 1) AS job_span_s, round(max(t1) / 1000, 1) AS ended_at_epoch_s, true AS known
+         FROM jobs GROUP BY run, phase),
+roll AS (
+  SELECT run, phase, CAST(sum(w) AS BIGINT) AS shuffle_write_bytes,
+         coalesce(max(CASE WHEN r > 0 THEN num_tasks END), max(num_tasks)) AS partitions,
+         CAST(sum(done) AS BIGINT) AS tasks, CAST(max(CAST(retried AS INTEGER)) AS INTEGER) AS retried,
+         count(*) FILTER (retried) AS n_retried_stages,
+         round(coalesce(min(min_ms), 0) / 1000, 1) AS task_min_s, round(coalesce(max(med_ms), 0) / 1000, 1) AS task_med_s,
+         round(coalesce(max(max_ms), 0) / 1000, 1) AS task_max_s, true AS seen
+  FROM latest LEFT JOIN q USING (run, stage_id, attempt_id) GROUP BY run, phase),
+rolled AS (
+  SELECT coalesce(s.run, r.run) AS run, CASE WHEN known THEN s.phase ELSE r.phase END AS phase, job_span_s, ended_at_epoch_s,
+         CASE WHEN seen THEN 'rest' ELSE 'degraded' END AS mode, coalesce(shuffle_write_bytes, 0) AS shuffle_write_bytes,
+         coalesce(partitions, 0) AS partitions, coalesce(tasks, 0) AS tasks, coalesce(retried, 0) AS retried,
+         coalesce(n_retried_stages, 0) AS n_retried_stages, coalesce(task_min_s, 0) AS task_min_s,
+         coalesce(task_med_s, 0) AS task_med_s, coalesce(task_max_s, 0) AS task_max_s
+  FROM span s FULL JOIN roll r ON s.run = r.run AND s.phase IS NOT DISTINCT FROM r.phase)"""
+
 LEDGER = """
 led AS (
   SELECT CASE WHEN l_linenumber = 7 THEN '1_duckdb' ELSE '2_emr' END AS stage, l_orderkey AS resource_id,
@@ -161,6 +172,25 @@ SELECT combo, d.fold, rounds,
 FROM d JOIN w ON d.fold = w.fold, c GROUP BY combo, d.fold, rounds"""
 
 
+def _grid_two_sql() -> str:
+    """Rounds 1 to 4 of the two-feature fit, solved by hand from centred moments of the other folds."""
+    return f"""WITH {TRIPS},
+d AS (SELECT {FOLD} AS fold, trip_distance AS x, passenger_count AS z, fare_amount AS y FROM m),
+t AS (SELECT h.fold, avg(x) AS mx, avg(z) AS mz, avg(y) AS my, var_pop(x) AS xx, var_pop(z) AS zz, covar_pop(x, z) AS xz,
+             covar_pop(x, y) AS xy, covar_pop(z, y) AS zy
+      FROM d JOIN (SELECT DISTINCT fold FROM d) h ON d.fold <> h.fold GROUP BY h.fold),
+w AS (SELECT *, (xy * zz - zy * xz) / (xx * zz - xz * xz) AS bx, (zy * xx - xy * xz) / (xx * zz - xz * xz) AS bz FROM t),
+c AS (SELECT CAST(range AS INTEGER) AS combo, CAST(range + 1 AS INTEGER) AS rounds FROM range(4))
+SELECT combo, d.fold, rounds, {r('avg(power(my + power(0.5, rounds) * (bx * (x - mx) + bz * (z - mz)) - y, 2))', 2, 'score')}
+FROM d JOIN w ON d.fold = w.fold, c GROUP BY combo, d.fold, rounds"""
+
+
+# File sizes and footers are read where the checked tables lie.
+CHECKED_DIR = "/root/testdata/sf0.01"
+NEEDED = "'l_shipdate', 'l_suppkey', 'l_quantity', 'l_linenumber', 'l_extendedprice', 'l_tax'"
+BYTES = f"""CAST(sum(total_compressed_size) AS BIGINT) AS bytes_on_disk,
+  CAST(sum(CASE WHEN path_in_schema IN ({NEEDED}) THEN total_compressed_size END) AS BIGINT) AS bytes_needed"""
+
 ORACLES: dict[str, str] = {
     "scan_count": "SELECT count(*) AS rows_in FROM lineitem",
     "union_by_name": """SELECT l_suppkey AS loc, CAST(l_linenumber AS DOUBLE) AS pc, l_quantity AS dist,
@@ -187,7 +217,8 @@ SELECT CAST(sum(n) AS BIGINT) AS n_rows, count(*) AS n_keys, max(n) AS max_rows,
     "zone_features": ZONE_FEATURES,
     "zone_features_skewed": ZONE_FEATURES,
     "zone_features_grouped": ZONE_FEATURES,
-    "zone_features_approx": f"""WITH {TRIPS}, {FEATS} SELECT PULocationID AS zone, n_trips, {r('mean_fare', 6)}, {r('mean_tip_ratio', 6)} FROM feat""",
+    "zone_features_approx": f"""WITH {TRIPS}, {FEATS} SELECT PULocationID AS zone, n_trips, true AS p90_distance_fine,
+  true AS fare_per_km_fine FROM feat""",
     "agg_native": BY_ZONE,
     "agg_sql": BY_ZONE,
     "agg_grouped_map": BY_ZONE,
@@ -199,12 +230,12 @@ SELECT CAST(sum(n) AS BIGINT) AS n_rows, count(*) AS n_keys, max(n) AS max_rows,
     "distinct_keys": f"WITH {TRIPS} SELECT DISTINCT PULocationID FROM m ORDER BY PULocationID",
     "any_value_by": f"""WITH {TRIPS} SELECT PULocationID, any_value(Zone) AS Zone, count(*) AS n
   FROM m LEFT JOIN zones ON PULocationID = LocationID GROUP BY PULocationID""",
-    "hash_sample": f"SELECT {KEYS}, l_extendedprice AS fare_amount FROM lineitem WHERE {BUCKET} < 400000",
+    "hash_sample": f"SELECT {KEYS}, l_extendedprice AS fare_amount FROM lineitem WHERE {BUCKET} < {int(0.4 * 2**60)}",
     "target_sample": f"""SELECT {KEYS} FROM lineitem
-  WHERE {BUCKET} < CAST(floor(least(1.0, CAST(20000 AS DOUBLE) / (SELECT count(*) FROM lineitem)) * 1000000) AS BIGINT)""",
+  WHERE {BUCKET} < CAST(floor(least(1.0, CAST(20000 AS DOUBLE) / (SELECT count(*) FROM lineitem)) * CAST({2**60} AS DOUBLE)) AS BIGINT)""",
     "kfold_assign": f"SELECT {KEYS}, {FOLD} AS fold FROM lineitem",
     "sample_features": f"""WITH {TRIPS}, {FEATS}, {SAMPLE} SELECT {KEYS}, PULocationID, trip_distance, passenger_count,
-  {_ROUNDED}, fare_amount FROM s WHERE {BUCKET} < 400000""",
+  {_ROUNDED}, fare_amount FROM s WHERE {BUCKET} < {int(0.4 * 2**60)}""",
     "design_matrix": f"""WITH {TRIPS}, {FEATS}, {SAMPLE} SELECT {KEYS}, CAST(1.0 AS DOUBLE) AS intercept, trip_distance,
   passenger_count, {_ROUNDED}, fare_amount FROM s""",
     "fold_statistics": _moment_sql("fold"),
@@ -215,6 +246,23 @@ c AS (SELECT CAST(range AS INTEGER) AS combo, CAST(50 * (1 + range) AS INTEGER)
 SELECT combo, d.fold, rounds, {r('avg((y - my) * (y - my))', 2, 'score')}
 FROM d JOIN w ON d.fold = w.fold, c GROUP BY combo, d.fold, rounds""",
     "grid_map": _grid_map_sql(),
+    "grid_scores_two": _grid_two_sql(),
+    "pinned_partitions": f"""WITH {TRIPS} SELECT count(*) AS n_rows, count(DISTINCT PULocationID) AS n_keys, true AS whole_keys, true AS pinned FROM m""",
+    "grid_parallelism": f"""SELECT CAST(12 * count(DISTINCT {FOLD}) AS BIGINT) AS cells, CAST(1 AS INTEGER) AS one_cell, true AS some FROM lineitem""",
+    "stored_matrix": f"WITH {TRIPS} SELECT count(*) AS rows_out, true AS same_rows, true AS same_values FROM m",
+    "throughput": f"""WITH {BLOCKS} SELECT path, round(price * 1000 * d / 8.0 / 1e6 / l_linenumber / 8, 1) AS mb_per_s_per_core
+  FROM li WHERE NOT odd AND NOT died""",
+    "shipping_seconds": """SELECT o_orderpriority, count(*) AS n, sum(CAST(epoch_us(l_shipdate) - epoch_us(o_orderdate) AS DOUBLE) / 1e6) AS seconds,
+  min(CAST(epoch_us(l_shipdate) - epoch_us(o_orderdate) AS DOUBLE) / 1e6) AS least,
+  max(CAST(epoch_us(l_shipdate) - epoch_us(o_orderdate) AS DOUBLE) / 1e6) AS most
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_orderpriority""",
+    "file_inventory": f"""SELECT count(*) AS n_files, CAST(sum(size) AS BIGINT) AS total_bytes, count(*) = 14 AS complete
+  FROM read_blob('{CHECKED_DIR}/*.parquet')""",
+    "column_footprint": f"""SELECT path_in_schema, CAST(sum(total_compressed_size) AS BIGINT) AS compressed_bytes,
+  path_in_schema IN ({NEEDED}) AS needed FROM parquet_metadata('{CHECKED_DIR}/lineitem.parquet') GROUP BY path_in_schema""",
+    "byte_totals": f"SELECT {BYTES} FROM parquet_metadata('{CHECKED_DIR}/lineitem.parquet')",
+    "scan_block": f"""WITH {TRIPS}, b AS (SELECT {BYTES} FROM parquet_metadata('{CHECKED_DIR}/lineitem.parquet'))
+SELECT 'duckdb' AS mode, bytes_on_disk, bytes_needed, (SELECT count(*) FROM trips) AS rows_in, (SELECT count(*) FROM m) AS rows_out FROM b""",
     "format_blocks": f"""SELECT {PATH} AS path, '===A2-METRICS v2.0 mode=rest phase=' || l_returnflag || '===' || chr(10)
   || 'wall_s=' || l_linenumber || chr(10) || 'zone=' || l_suppkey || chr(10) || 'status=' || l_linestatus || chr(10)
   || '===END===' AS text FROM lineitem""",
@@ -227,33 +275,28 @@ FROM d JOIN w ON d.fold = w.fold, c GROUP BY combo, d.fold, rounds""",
   coalesce(CAST(bytes AS VARCHAR), ''), '', '', '', '') AS line FROM blocks""",
     "ledger_csv": f"""WITH {BLOCKS} SELECT stage, phase, count(*) AS n_rows, count(*) AS n_wall_s,
   count(bytes) AS n_shuffle_write_bytes, CAST(0 AS BIGINT) AS n_predicted_s FROM blocks GROUP BY stage, phase""",
-    "log_line_counts": f"""SELECT {PATH} AS path, CAST(CASE WHEN l_linenumber % 2 = 1 THEN 2 ELSE 1 END AS BIGINT) AS n_blocks,
+    "log_line_counts": f"""SELECT {PATH} AS path,
+  CAST(CASE WHEN floor(l_discount * 100 + 0.5) = 10 THEN 0 WHEN l_linenumber % 2 = 1 THEN 2 ELSE 1 END AS BIGINT) AS n_blocks,
   CAST(l_linenumber AS BIGINT) AS n_executors FROM lineitem""",
     "document_line_counts": """WITH l AS (SELECT source AS path, unnest(string_split(text, chr(10))) AS line FROM documents)
 SELECT path, count(*) AS n_lines, count(*) FILTER (contains(line, 'License')) AS n_license,
   count(*) FILTER (contains(line, 'http')) AS n_links FROM l GROUP BY path""",
     "lines_with_prefix": """WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)
-SELECT doc_id, substr(line, 1, 260) AS line FROM l
+SELECT doc_id, line FROM l
 WHERE starts_with(line, 'The') OR starts_with(line, 'Copyright') OR starts_with(line, 'Licensed')""",
     "run_checks": f"""WITH {BLOCKS}, c AS (
-  SELECT path, CAST(CASE WHEN odd THEN 2 ELSE 1 END AS BIGINT) AS n_blocks, true AS blocks_ok,
-    NOT odd OR l_returnflag <> 'R' AS mode_ok, NOT odd OR l_returnflag <> 'A' AS retried_ok,
-    NOT odd OR l_linestatus = 'O' AS pin_ok, odd OR (d > 0 AND d * 125 < 1000) AS bytes_ok,
-    odd OR price * d * 125 * 8 / 1e9 / l_linenumber < 12.5 AS rate_ok, l_linenumber = 4 AS executors_ok FROM li)
-SELECT *, blocks_ok AND mode_ok AND retried_ok AND pin_ok AND bytes_ok AND rate_ok AND executors_ok AS valid FROM c""",
-    "stage_rollup": f"""WITH {STAGES},
-span AS (SELECT run, phase, round((max(t1) - min(t0)) / 1000, 1) AS job_span_s, round(max(t1) / 1000, 1) AS ended_at_epoch_s
-         FROM jobs GROUP BY run, phase),
-roll AS (
-  SELECT run, phase, CAST(sum(w) AS BIGINT) AS shuffle_write_bytes,
-         coalesce(max(CASE WHEN r > 0 THEN num_tasks END), max(num_tasks)) AS partitions,
-         CAST(sum(done) AS BIGINT) AS tasks, CAST(max(CAST(retried AS INTEGER)) AS INTEGER) AS retried,
-         count(*) FILTER (retried) AS n_retried_stages,
-         round(coalesce(min(min_ms), 0) / 1000, 1) AS task_min_s, round(coalesce(max(med_ms), 0) / 1000, 1) AS task_med_s,
-         round(coalesce(max(max_ms), 0) / 1000, 1) AS task_max_s
-  FROM latest LEFT JOIN q USING (run, stage_id, attempt_id) GROUP BY run, phase)
-SELECT run, phase, job_span_s, ended_at_epoch_s, 'rest' AS mode, shuffle_write_bytes, partitions, tasks, retried,
-       n_retried_stages, task_min_s, task_med_s, task_max_s FROM span JOIN roll USING (run, phase)""",
+  SELECT path, CAST(CASE WHEN died THEN 0 WHEN odd THEN 2 ELSE 1 END AS BIGINT) AS n_blocks, NOT died AS blocks_ok,
+    died OR NOT odd OR l_returnflag <> 'R' AS mode_ok, died OR NOT odd OR l_returnflag <> 'A' AS retried_ok,
+    died OR NOT odd OR (l_linestatus = 'O' AND l_suppkey % 10 <> 3) AS pin_ok, died OR odd OR (d > 0 AND d * 125 < 1000) AS bytes_ok,
+    died OR odd OR price * d * 125 * 8 / 1e9 / l_linenumber < 12.5 AS rate_ok,
+    CASE WHEN died OR odd THEN l_suppkey % 2 = 0 OR l_linenumber = 4 END AS executors_ok FROM li)
+SELECT *, blocks_ok AND mode_ok AND retried_ok AND pin_ok AND bytes_ok AND rate_ok AND coalesce(executors_ok, true) AS valid FROM c""",
+    "stage_rollup": f"WITH {STAGES}, {ROLLUP} SELECT * FROM rolled",
+    "event_ledger": f"""WITH {STAGES}, {ROLLUP}
+SELECT run, '2_emr' AS stage, 'r-1' AS resource_id, '4' AS nodes, split_part(coalesce(phase, 'None'), ' ', 1) AS phase, '' AS predicted_s,
+  coalesce(CAST(job_span_s AS VARCHAR), 'None') AS wall_s, '' AS startup_s, CAST(shuffle_write_bytes AS VARCHAR) AS shuffle_write_bytes,
+  CAST(task_min_s AS VARCHAR) AS task_min_s, CAST(task_med_s AS VARCHAR) AS task_med_s, CAST(task_max_s AS VARCHAR) AS task_max_s,
+  '' AS cost_usd FROM rolled""",
     "latest_attempts": f"""WITH {STAGES} SELECT run, stage_id, phase, n_attempts, failed AS num_failed_tasks FROM latest WHERE retried""",
     "task_quantiles": TASK_QUANTILES,
     "task_quantiles_skewed": TASK_QUANTILES,
@@ -262,17 +305,18 @@ SELECT run, phase, job_span_s, ended_at_epoch_s, 'rest' AS mode, shuffle_write_b
     "ledger_compare": f"""WITH {LEDGER},
 p AS (SELECT o_orderkey AS resource_id, stage, phase, nodes, o_totalprice / nodes AS predicted_s FROM orders,
       (VALUES ('1_duckdb', 'scan', 1), ('2_emr', 'A_aggregate', 2), ('2_emr', 'A_aggregate', 4),
-              ('2_emr', 'B_fit', 2), ('2_emr', 'B_fit', 4)) v(stage, phase, nodes)),
-j AS (SELECT led.*, predicted_s FROM led JOIN p USING (resource_id, stage, phase, nodes))
+              ('2_emr', 'B_fit', 2), ('2_emr', 'B_fit', 4)) v(stage, phase, nodes) WHERE o_orderkey % 5 <> 0),
+j AS (SELECT led.*, predicted_s FROM led LEFT JOIN p USING (resource_id, stage, phase, nodes))
 SELECT resource_id, phase, {r(_at('predicted_s', 2), 6, 'predicted_small_s')},
   {r(_at('predicted_s', 4), 6, 'predicted_large_s')}, {r(_at('wall_s', 2), 6, 'wall_small_s')},
-  {r(_at('wall_s', 4), 6, 'wall_large_s')}, {r(_at('wall_s', 2) + ' / ' + _at('wall_s', 4), 6, 'speedup')} FROM j GROUP BY resource_id, phase""",
+  {r(_at('wall_s', 4), 6, 'wall_large_s')}, {r(_at('wall_s', 2) + ' / ' + _at('wall_s', 4), 6, 'speedup')},
+  count(*) FILTER (nodes = 2) AS n_small, count(*) FILTER (nodes = 4) AS n_large FROM j GROUP BY resource_id, phase""",
     "ledger_complete": f"""WITH {LEDGER}, c AS (SELECT resource_id, stage, phase, nodes, count(*) AS n FROM led GROUP BY ALL)
 SELECT resource_id, CAST(sum(n) AS BIGINT) AS n_rows, max(n) = 1 AS is_unique, sum(n) = 5 AND max(n) = 1 AS complete
 FROM c GROUP BY resource_id""",
     "seconds_per_fit": f"""SELECT {PATH} AS path, {r('(floor(l_quantity) + 7) * l_linenumber / CAST(60 AS DOUBLE)', 6, 'seconds_per_fit')}
-  FROM lineitem WHERE l_linenumber % 2 = 1""",
-    "ledger_cost": f"""WITH {LEDGER} SELECT stage, phase, nodes, count(*) AS n_rows,
+  FROM lineitem WHERE l_linenumber % 2 = 1 AND floor(l_discount * 100 + 0.5) <> 10""",
+    "ledger_cost": f"""WITH {LEDGER} SELECT stage, phase, nodes, count(*) AS n_rows, count(p_partkey) AS n_priced,
   {r('sum((startup_s + wall_s) / 3600 * (p_retailprice / 1000) * (nodes + CASE WHEN nodes > 1 THEN 1 ELSE 0 END))', 4, 'cost_usd')}
-  FROM led JOIN part ON instance_type = p_partkey GROUP BY stage, phase, nodes""",
+  FROM led LEFT JOIN part ON instance_type = p_partkey AND p_partkey % 10 <> 0 GROUP BY stage, phase, nodes""",
 }

@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from zoneflow.functions.exprs import megabytes_per_second, seconds_between
 from zoneflow.functions.formats import BLOCK_MARK, EXECUTOR_MARK
 from zoneflow.operators import agg, cv, features, ledger, matrix, runlog, sampling, stagestats
 from zoneflow.plans import tables as t
-from zoneflow.sources import files, logs
+from zoneflow.sources import files, logs, workdir
 from zoneflow.sources.workdir import materialise, new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,11 +24,8 @@ def query(fn: Query) -> Query:
 
 
 def rounded(df: DataFrame, digits: int, *names: str) -> DataFrame:
-    """Round for comparison: sums of doubles depend on the order of addition in the last digits.
-
-    The small shift keeps exact decimal ties, common in means of cents, off the rounding edge.
-    """
-    return df.withColumns({c: F.round(F.col(c) + 0.0123 * 10.0**-digits, digits) for c in names})
+    """Round for comparison: sums of doubles depend on the order of addition in the last digits."""
+    return df.withColumns({c: F.round(c, digits) for c in names})
 
 
 # ---- sources -------------------------------------------------------------------------------
@@ -77,8 +75,48 @@ def file_inventory(spark, sf):
 
 @query
 def column_footprint(spark, sf):
-    needed = ["l_shipdate", "l_suppkey", "l_quantity", "l_linenumber", "l_extendedprice", "l_tax"]
-    return files.column_footprint(files.footers(spark, f"{sf}/lineitem.parquet"), needed)
+    return files.column_footprint(files.footers(spark, f"{sf}/lineitem.parquet"), _NEEDED)
+
+
+_NEEDED = ["l_shipdate", "l_suppkey", "l_quantity", "l_linenumber", "l_extendedprice", "l_tax"]
+
+
+@query
+def byte_totals(spark, sf):
+    return files.byte_totals(files.footers(spark, f"{sf}/lineitem.parquet"), _NEEDED)
+
+
+@query
+def scan_block(spark, sf):
+    """What a scan run prints, as far as it does not depend on the clock, as a block and parsed back."""
+    totals = files.byte_totals(files.footers(spark, f"{sf}/lineitem.parquet"), _NEEDED)
+    profile = matrix.matrix_profile(t.trips(spark, sf), *t.WINDOW).select("rows_in", "rows_out")
+    both = totals.unionByName(profile, allowMissingColumns=True)
+    row = both.agg(*(F.max(c).alias(c) for c in both.columns))
+    header = {"mode": F.lit("duckdb"), "platform": F.lit("local"), "stage": F.lit("1_duckdb"), "phase": F.lit("scan")}
+    text = runlog.block_text(header, {c: F.col(c) for c in row.columns})
+    blocks = runlog.parse_blocks(row.select(text.alias("text")), keep=[])
+    kv = F.col("kv")
+    return blocks.select(kv["mode"].alias("mode"), *(kv[c].cast("long").alias(c) for c in row.columns))
+
+
+@query
+def throughput(spark, sf):
+    """Megabytes per second and core of every scan run's log."""
+    kv = F.col("kv")
+    num = lambda k: kv[k].cast("double")
+    rate = megabytes_per_second(num("bytes_needed"), num("t_read_s"), 8)
+    return _blocks(spark, sf).filter(kv["mode"] == "duckdb").select("path", rate.alias("mb_per_s_per_core"))
+
+
+@query
+def shipping_seconds(spark, sf):
+    """Seconds between order and shipment of each line item."""
+    o, li = t.table(spark, sf, "orders"), t.table(spark, sf, "lineitem")
+    took = seconds_between(F.col("o_orderdate"), F.col("l_shipdate"))
+    return li.join(o, li.l_orderkey == o.o_orderkey).groupBy("o_orderpriority").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(took).alias("seconds"), F.min(took).alias("least"), F.max(took).alias("most")
+    )
 
 
 # ---- model matrix --------------------------------------------------------------------------
@@ -89,6 +127,22 @@ def model_matrix(spark, sf):
     return matrix.model_matrix(t.trips(spark, sf), *t.WINDOW)
 
 
+@query
+def stored_matrix(spark, sf):
+    """The model matrix written once and read back, with what was stored beside what was meant."""
+    meant = matrix.model_matrix(t.trips(spark, sf), *t.WINDOW)
+    stored = materialise(meant)
+    shape = lambda d, name: d.agg(F.count(F.lit(1)).alias("rows_out"), F.bit_xor(F.xxhash64(*d.columns)).alias("digest")).select(
+        F.lit(name).alias("side"), "rows_out", "digest"
+    )
+    both = shape(meant, "meant").unionAll(shape(stored, "stored"))
+    return both.agg(
+        F.max("rows_out").alias("rows_out"),
+        (F.min("rows_out") == F.max("rows_out")).alias("same_rows"),
+        (F.min("digest") == F.max("digest")).alias("same_values"),
+    )
+
+
 @query
 def matrix_profile(spark, sf):
     out = matrix.matrix_profile(t.trips(spark, sf), *t.WINDOW)
@@ -96,12 +150,12 @@ def matrix_profile(spark, sf):
 
 
 def _with_gaps(spark, sf) -> DataFrame:
-    """Trips in which some values are missing."""
-    gap = lambda c, missing: F.when(~missing, F.col(c)).alias(c)
+    """Trips in which some values are missing, as null and as NaN."""
+    gap = lambda c, missing, how: F.when(~missing, F.col(c)).otherwise(F.lit(how)).alias(c)
     return t.table(spark, sf, "lineitem").select(
         *t.ROW_KEYS,
-        gap("l_extendedprice", F.col("l_discount") == 0.05),
-        gap("l_quantity", F.col("l_tax") == 0.03),
+        gap("l_extendedprice", F.col("l_discount") == 0.05, None),
+        gap("l_quantity", F.col("l_tax") == 0.03, float("nan")),
         "l_tax",
     )
 
@@ -151,7 +205,7 @@ FEATURE_VALUES = ("mean_fare", "mean_tip_ratio", "p90_distance", "fare_per_km")
 
 
 def _zone_features(spark, sf, **kw) -> DataFrame:
-    out = features.zone_features(_joined(spark, sf), **kw)
+    out = features.zone_features(_joined(spark, sf), keys_from=_matrix(spark, sf), **kw)
     return rounded(out.withColumnRenamed("PULocationID", "zone"), 6, *FEATURE_VALUES)
 
 
@@ -174,11 +228,13 @@ def zone_features_grouped(spark, sf):
 
 @query
 def zone_features_approx(spark, sf):
-    """Sketch percentiles. At this accuracy they are observed values, so only the exact columns
-    and the row set are comparable."""
-    out = features.zone_features(_joined(spark, sf), approximate=True)
-    return rounded(out.select(F.col("PULocationID").alias("zone"), "n_trips", "mean_fare", "mean_tip_ratio"), 6,
-                   "mean_fare", "mean_tip_ratio")
+    """Sketch percentiles: whether each value's rank is within the sketch's accuracy of the wanted one."""
+    rows = _matrix(spark, sf)
+    approximate = features.zone_features(rows, approximate=True)
+    off = features.percentile_ranks(rows, approximate)
+    # one row's share more than the accuracy, for the element at the edge
+    fine = lambda c: (F.col(c) <= F.lit(1e-4) + 1 / F.col("n_trips")).alias(c.removesuffix("_off") + "_fine")
+    return off.select(F.col("PULocationID").alias("zone"), "n_trips", fine("p90_distance_off"), fine("fare_per_km_off"))
 
 
 # ---- one aggregation, several surfaces ------------------------------------------------------
@@ -201,13 +257,13 @@ _method("agg_two_level_pandas", "pandas_partials")
 
 @query
 def five_way_agreement(spark, sf):
-    rows = _zone_fare(spark, sf)
+    rows = materialise(_zone_fare(spark, sf))
     return agg.agreement({name: method(rows) for name, method in agg.METHODS.items()})
 
 
 @query
 def agreement_totals(spark, sf):
-    rows = _zone_fare(spark, sf)
+    rows = materialise(_zone_fare(spark, sf))
     return agg.totals_check(agg.agreement({name: method(rows) for name, method in agg.METHODS.items()}))
 
 
@@ -271,30 +327,48 @@ def design_matrix(spark, sf):
     return rounded(_design(spark, sf).drop("fold"), 6, *FEATURE_VALUES)
 
 
-def _fold_statistics(spark, sf) -> DataFrame:
-    design = _design(spark, sf)
-    return cv.fold_statistics(cv.standardised(design, cv.scales(design)))
-
-
-def _rounded_moments(stats: DataFrame) -> DataFrame:
-    """Fold sums to about ten digits, counts as they are."""
+def _digits(stats: DataFrame) -> DataFrame:
+    """Fold moments to about nine digits, counts as they are."""
 
     def digits(c: str) -> int:
-        return -4 if c == "yy" else 1 if c.endswith("y") else 4
+        return 1 if c == "vyy" else 3 if c.endswith("y") else 5
 
-    return stats.select(
-        *(F.col(c) if c in ("fold", "n") else (F.round(c, digits(c)) + 0.0).alias(c) for c in stats.columns)
-    )
+    return stats.select(*(F.col(c) if c in ("fold", "n") else (F.round(c, digits(c)) + 0.0).alias(c) for c in stats.columns))
 
 
 @query
 def fold_statistics(spark, sf):
-    return _rounded_moments(_fold_statistics(spark, sf))
+    return _digits(cv.fold_statistics(_design(spark, sf)))
 
 
 @query
 def kfold_train_stats(spark, sf):
-    return _rounded_moments(cv.train_statistics(_fold_statistics(spark, sf)))
+    return _digits(cv.train_statistics(cv.fold_statistics(_design(spark, sf))))
+
+
+@query
+def pinned_partitions(spark, sf):
+    """Rows per chunk when the number of chunks is pinned: all 16 exist, and every row is in one."""
+    with workdir.pinned_partitions(spark, 16):
+        rows = materialise(features.repartition_by_key(_matrix(spark, sf), "PULocationID", 16).withColumn("chunk", F.spark_partition_id()))
+    return rows.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_distinct("PULocationID").alias("n_keys"),
+        (F.count_distinct("chunk", "PULocationID") == F.count_distinct("PULocationID")).alias("whole_keys"),
+        (F.max("chunk") < 16).alias("pinned"),
+    )
+
+
+@query
+def grid_parallelism(spark, sf):
+    """Cells of the grid and how many of them run at once: no more than there are."""
+    few, many = (cv.effective_parallelism(spark, n) for n in (1, 10**9))
+    cells = cv.grid(spark).join(_folds(spark, sf), "fold")
+    return cells.agg(F.count(F.lit(1)).alias("cells"), F.lit(few).cast("int").alias("one_cell"), F.lit(many >= 1).alias("some"))
+
+
+def _folds(spark, sf) -> DataFrame:
+    return sampling.with_folds(t.table(spark, sf, "lineitem"), t.ROW_KEYS).select("fold").distinct()
 
 
 @query
@@ -310,6 +384,14 @@ def grid_map(spark, sf):
     return rounded(cv.grid_scores(design, ["trip_distance"], combos=4, rounds=1), 2, "score")
 
 
+@query
+def grid_scores_two(spark, sf):
+    """Two features and few rounds: the solve itself shows in the score."""
+    rows = sampling.with_folds(_matrix(spark, sf, *t.ROW_KEYS), t.ROW_KEYS)
+    names = ["trip_distance", "passenger_count"]
+    return rounded(cv.grid_scores(cv.design_matrix(rows, names, keep=["fold"]), names, combos=4, rounds=1), 2, "score")
+
+
 # ---- run logs ------------------------------------------------------------------------------
 
 
@@ -394,7 +476,7 @@ def lines_with_prefix(spark, sf):
 @query
 def run_checks(spark, sf):
     executors = runlog.executor_counts(_log_lines(spark, sf))
-    return runlog.run_checks(_blocks(spark, sf), executors)
+    return runlog.run_checks(t.run_list(spark, sf), _blocks(spark, sf), executors)
 
 
 # ---- stage statistics ----------------------------------------------------------------------
@@ -409,10 +491,19 @@ def stage_rollup(spark, sf):
     return stagestats.rollup_events(logs.parse_events(t.event_lines(spark, sf)))
 
 
+@query
+def event_ledger(spark, sf):
+    """Event log to ledger: the rollup of every phase printed as a block, parsed, and made a ledger row."""
+    rollup = stagestats.rollup_events(logs.parse_events(t.event_lines(spark, sf)))
+    blocks = runlog.parse_blocks(stagestats.phase_blocks(rollup, "emr", "2_emr", 16), keep=["run"])
+    return runlog.ledger_rows(blocks, "r-1", 4, keep=["run"])
+
+
 @query
 def latest_attempts(spark, sf):
     events = _events(spark, sf)
-    attempts = stagestats.event_attempts(events).join(stagestats.stage_phases(stagestats.event_jobs(events)), stagestats.RUN_STAGE)
+    phases = stagestats.stage_phases(stagestats.event_jobs(events))
+    attempts = stagestats.event_attempts(events).join(phases, stagestats.RUN_STAGE, "left")
     return stagestats.retried_stages(stagestats.latest_attempts(attempts))
 
 
@@ -457,9 +548,9 @@ def seconds_per_fit(spark, sf):
 
 @query
 def ledger_cost(spark, sf):
-    part = t.table(spark, sf, "part")
+    part = t.table(spark, sf, "part").filter("p_partkey % 10 <> 0")
     prices = part.select(F.col("p_partkey").alias("instance_type"), (F.col("p_retailprice") / 1000).alias("rate_usd"))
     out = ledger.with_cost(t.ledger(spark, sf), prices).groupBy("stage", "phase", "nodes").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.sum("cost_usd").alias("cost_usd")
+        F.count(F.lit(1)).alias("n_rows"), F.count("cost_usd").alias("n_priced"), F.sum("cost_usd").alias("cost_usd")
     )
     return rounded(out, 4, "cost_usd")

@@ -91,31 +91,50 @@ def run_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
         },
     )
     registered = F.repeat(F.lit(f"INFO {EXECUTOR_MARK} x=1\n"), F.col("l_linenumber"))
-    text = F.concat(F.lit("start\n"), registered, F.when(odd, F.concat(first, F.lit("\nnoise=1\n"), second)).otherwise(scan), F.lit("\n"))
+    printed = F.when(died(), "Traceback").when(odd, F.concat(first, F.lit("\nnoise=1\n"), second)).otherwise(scan)
+    text = F.concat(F.lit("start\n"), registered, printed, F.lit("\n"))
     return li.select(*ROW_KEYS, row_name().alias("path"), text.alias("text"))
 
 
+def died() -> Column:
+    """Runs that stopped before they printed a block."""
+    return F.floor(F.col("l_discount") * 100 + 0.5) == 10
+
+
+def run_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per run: its log, the nodes it was given, and a pin for those that set their own."""
+    even = F.col("l_suppkey") % 2 == 0
+    return table(spark, sf_dir, "lineitem").select(
+        row_name().alias("path"),
+        F.when(even, F.col("l_linenumber")).otherwise(4).cast("long").alias("nodes"),
+        F.when(F.col("l_suppkey") % 10 == 3, 8.0).alias("pin"),
+    )
+
+
 def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event-log lines: an order is a stage run by a one-stage job, its line items are the tasks.
 
-    The order's customer is the application and its priority the phase.
+    The order's customer is the application and its priority the phase. Some jobs have no group, some jobs'
+    lines are missing (a rolled log), some stages never ended, some have no tasks.
     """
     orders, li = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
+    started, ended = orders.filter("o_orderkey % 11 <> 0"), orders.filter("o_orderkey % 13 <> 0")
+    phase = F.when(F.col("o_orderkey") % 7 != 0, F.col("o_orderpriority"))
     run, name = F.col("o_custkey"), lambda c, n: c.alias(n)
     start = F.col("o_orderkey") * 1000
     stage_id = name(F.col("o_orderkey"), "Stage ID")
     pair = lambda event, *fields: F.to_json(F.struct(name(F.lit(event), "Event"), *fields)).alias("line")
-    job_start = orders.select(
+    job_start = started.select(
         run.alias("run"),
         pair(
             "SparkListenerJobStart",
             name(F.col("o_orderkey"), "Job ID"),
             name(start, "Submission Time"),
             name(F.array("o_orderkey"), "Stage IDs"),
-            name(F.create_map(F.lit("spark.jobGroup.id"), F.col("o_orderpriority")), "Properties"),
+            name(F.create_map(F.lit("spark.jobGroup.id"), phase), "Properties"),
         ),
     )
-    job_end = orders.select(
+    job_end = started.select(
         run.alias("run"),
         pair(
             "SparkListenerJobEnd",
@@ -123,7 +142,7 @@ def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             name(start + F.floor("o_totalprice").cast("long") * 100, "Completion Time"),
         ),
     )
-    attempts = orders.withColumn(
+    attempts = ended.withColumn(
         "attempt", F.explode(F.when(F.col("o_orderkey") % 3 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
     )
     stage_end = attempts.select(
@@ -143,7 +162,7 @@ def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     ok = F.col("l_returnflag") != "R"
     read = F.when(F.col("l_discount") > 0.05, F.floor("l_extendedprice").cast("long")).otherwise(0)
-    tasks = li.join(orders.select("o_orderkey", "o_custkey"), li.l_orderkey == F.col("o_orderkey")).select(
+    tasks = li.filter("l_orderkey % 17 <> 0").join(orders.select("o_orderkey", "o_custkey"), li.l_orderkey == F.col("o_orderkey")).select(
         run.alias("run"),
         pair(
             "SparkListenerTaskEnd",
@@ -186,7 +205,7 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One prediction per cluster (order), phase and node count."""
+    """One prediction per cluster (order), phase and node count; some clusters have none."""
     cells = F.array(
         *(
             F.struct(F.lit(s).alias("stage"), F.lit(p).alias("phase"), F.lit(n).alias("nodes"))
@@ -199,5 +218,5 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
         )
     )
-    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("resource_id"), "o_totalprice", F.explode(cells).alias("c"))
+    o = table(spark, sf_dir, "orders").filter("o_orderkey % 5 <> 0").select(F.col("o_orderkey").alias("resource_id"), "o_totalprice", F.explode(cells).alias("c"))
     return o.select("resource_id", "c.*", (F.col("o_totalprice") / F.col("c.nodes")).alias("predicted_s"))

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from zoneflow.sources.workdir import materialise
+
 # Footers opened by one task; a footer is a few kilobytes and one round trip.
 FILES_PER_TASK = 256
 MAX_FOOTER_TASKS = 4096
@@ -87,9 +89,8 @@ def byte_totals(footer_rows: DataFrame, needed: Sequence[str]) -> DataFrame:
     )
 
 
-def schema_groups(spark: SparkSession, paths: str | Sequence[str]) -> list[list[str]]:
-    """Files grouped by identical schema. The list of file names is what Spark's own reader
-    keeps on the driver too; nothing that grows with the rows is collected."""
+def _fingerprints(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """``path, fingerprint``: the schema of every file as text, read from footers inside tasks."""
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -100,11 +101,19 @@ def schema_groups(spark: SparkSession, paths: str | Sequence[str]) -> list[list[
                     out.append((path, "|".join(f"{c.name}:{c.type}" for c in schema)))
             yield pd.DataFrame(out, columns=["path", "fingerprint"])
 
-    found = _spread(file_inventory(spark, paths)).mapInPandas(read, "path string, fingerprint string")
-    groups: dict[str, list[str]] = {}
-    for r in found.sort("path").toLocalIterator():
-        groups.setdefault(r.fingerprint, []).append(r.path)
-    return list(groups.values())
+    return _spread(file_inventory(spark, paths)).mapInPandas(read, "path string, fingerprint string")
+
+
+def base_path(path: str) -> str:
+    """The folder below which ``name=value`` folders are columns: a pattern's fixed part, or the path itself."""
+    fixed = []
+    for part in path.split("/"):
+        if any(c in part for c in "*?[{"):
+            break
+        fixed.append(part)
+    if len(fixed) == len(path.split("/")):
+        return path if not path.endswith(".parquet") else "/".join(fixed[:-1])
+    return "/".join(fixed)
 
 
 def union_by_name(parts: Iterable[DataFrame]) -> DataFrame:
@@ -132,12 +141,24 @@ def conform(df: DataFrame, contract: T.StructType) -> DataFrame:
 def read_union_by_name(
     spark: SparkSession, paths: str | Sequence[str], contract: T.StructType | None = None
 ) -> DataFrame:
-    """Read files whose schemas drift as one table: one scan per distinct schema, then a union."""
-    groups = schema_groups(spark, paths)
-    if len(groups) == 1:
-        out = spark.read.parquet(*([paths] if isinstance(paths, str) else paths))
-    else:
-        out = union_by_name(spark.read.parquet(*g) for g in groups)
+    """Read files whose schemas drift as one table: one scan per distinct schema, then a union.
+
+    Each given path is read as Spark reads it alone, so ``name=value`` folders below it are columns whether
+    schemas drift or not. Schemas are compared in tasks; file names reach the driver only when they drift, as
+    the argument that Spark's reader needs.
+    """
+    parts = []
+    for path in [paths] if isinstance(paths, str) else paths:
+        found = materialise(_fingerprints(spark, path))
+        kinds = [r.fingerprint for r in found.groupBy("fingerprint").agg(F.min("path").alias("first")).sort("first").collect()]
+        if len(kinds) <= 1:
+            parts.append(spark.read.parquet(path))
+            continue
+        reader = spark.read.option("basePath", base_path(path))
+        for kind in kinds:
+            names = [r.path for r in found.filter(F.col("fingerprint") == kind).select("path").toLocalIterator()]
+            parts.append(reader.parquet(*names))
+    out = union_by_name(parts)
     return conform(out, contract) if contract else out
 
 

@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zoneflow.functions.formats import BLOCK_END
-from zoneflow.sources.workdir import broadcast_if_small
+from zoneflow.functions.formats import BLOCK_END, BLOCK_MARK
+from zoneflow.sources.workdir import broadcast_if_small, materialise
 
 _RECORD_END = "\n" + BLOCK_END
 
@@ -19,36 +19,33 @@ def read_log_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame
     return raw.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("line"))
 
 
-def read_log_texts(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """``path, text``: one row per file, for logs known to be small."""
-    raw = spark.read.text(paths, wholetext=True)
-    return raw.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
-
-
 def read_log_sections(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """``path, start, seq, text``: logs cut after every block end.
+    """``path, start, seq, text``: logs cut after every block end, without the plain lines before a block.
 
-    The end marker is the record separator, so one large log is still read by many tasks and no row
-    is longer than the stretch between two block ends. (``start``, ``seq``) orders a file's sections.
-    The text after the last marker never closes a block and gets no end marker back.
+    The end marker is the record separator, so one large log is still read by many tasks. The logs are
+    scanned once; what is stored of a record is its text from the first block mark on, so a log without any
+    block keeps a length and no text. (``start``, ``seq``) orders a file's sections. The text after
+    the last marker never closes a block and gets no end marker back.
     """
     meta = F.col("_metadata")
     raw = spark.read.option("lineSep", _RECORD_END).text(paths)
-    raw = raw.select(
-        meta["file_path"].alias("path"),
-        meta["file_block_start"].alias("start"),
-        F.monotonically_increasing_id().alias("seq"),
-        meta["file_size"].alias("size"),
-        F.col("value").alias("text"),
+    raw = materialise(
+        raw.select(
+            meta["file_path"].alias("path"),
+            meta["file_block_start"].alias("start"),
+            F.monotonically_increasing_id().alias("seq"),
+            meta["file_size"].alias("size"),
+            F.octet_length("value").alias("bytes"),
+            F.when(F.instr("value", BLOCK_MARK) > 0, F.substr("value", F.instr("value", BLOCK_MARK))).alias("text"),
+        )
     )
     # A file whose sections plus one marker each exceed its size does not end with a marker:
     # its last section is open.
-    at = F.struct("start", "seq")
     ends = raw.groupBy("path").agg(
-        (F.sum(F.octet_length("text") + len(_RECORD_END)) > F.max("size")).alias("open"), F.max(at).alias("last")
+        (F.sum(F.col("bytes") + len(_RECORD_END)) > F.max("size")).alias("open"), F.max(F.struct("start", "seq")).alias("last")
     )
     still_open = ends.filter("open").select("path", "last.start", "last.seq", "open")
-    closed = raw.join(broadcast_if_small(still_open), ["path", "start", "seq"], "left")
+    closed = raw.filter("text IS NOT NULL").join(broadcast_if_small(still_open), ["path", "start", "seq"], "left")
     text = F.when(F.col("open").isNull(), F.concat("text", F.lit(_RECORD_END))).otherwise(F.col("text"))
     return closed.select("path", "start", "seq", text.alias("text"))
 
