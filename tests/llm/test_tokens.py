@@ -119,6 +119,19 @@ def test_lexicon(tmp_path):
     assert Lexicon(str(path)).find([b"a", b""]) == [None, None]
 
 
+def test_frequent_words_are_not_lost(spark, monkeypatch):
+    """Many rare words overflow the counters again and again; a frequent one that comes late stays."""
+    monkeypatch.setattr(bpe, "RUN_CHARS", 500)
+    r = random.Random(9)
+    rare = [f"x{i}y" for i in range(3000)]
+    texts = [" ".join(r.choice(rare) + "z" for _ in range(40)) for _ in range(100)]
+    texts += [" ".join(r.choice(["late", *rare]) if r.random() > 0.2 else "late" for _ in range(40)) for _ in range(100)]
+    with open(BYTES, encoding="utf-8") as f:
+        spec = f.read()
+    got = bpe.frequent_words(rows_of(spark, texts).coalesce(1), spec, "text", 0.01, 50)
+    assert " late" in got and len(got) <= 50
+
+
 def test_round_trip_of_a_table(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     with open(BYTES, encoding="utf-8") as f:

@@ -69,7 +69,7 @@ class Lexicon:
     """The compiled automaton, read in place from a file."""
 
     def __init__(self, path: str):
-        data = np.memmap(path, "u1", "r")
+        data = np.asarray(np.memmap(path, "u1", "r"))  # still the mapped pages, with cheap slices
         magic, self.root, states, n_arcs, n_words, n_ids = (int(x) for x in data[:48].view("<i8"))
         if magic != _MAGIC:
             raise ValueError(f"{path} is no lexicon")
@@ -84,6 +84,7 @@ class Lexicon:
         self.keys, self.starts = part(n_arcs, "<i8"), part(n_words + 1, "<i8")
         self.targets, self.outputs = part(n_arcs, "<i4"), part(n_arcs, "<i4")
         self.ids, self.final = part(n_ids, "<u4"), part(states, "u1")
+        self._bytes = memoryview(self.ids.view("u1"))
 
     def find(self, words: Sequence[bytes]) -> list[bytes | None]:
         """Ids (little-endian 32-bit) of each word, None for words that are not in the lexicon.
@@ -107,7 +108,9 @@ class Lexicon:
             state, place = self.targets[arc].astype("i8"), place + self.outputs[arc]
             step += 1
             ends = sizes[live] == step
-            for i, p in zip(live[ends & (self.final[state] == 1)], place[ends & (self.final[state] == 1)]):
-                found[i] = self.ids[self.starts[p] : self.starts[p + 1]].tobytes()
+            hit = ends & (self.final[state] == 1)
+            p = place[hit]
+            for i, a, b in zip(live[hit].tolist(), (4 * self.starts[p]).tolist(), (4 * self.starts[p + 1]).tolist()):
+                found[i] = self._bytes[a:b].tobytes()
             live, state, place = live[~ends], state[~ends], place[~ends]
         return found
