@@ -263,8 +263,9 @@ def five_way_agreement(spark, sf):
 
 @query
 def agreement_totals(spark, sf):
-    rows = materialise(_zone_fare(spark, sf))
-    return agg.totals_check(agg.agreement({name: method(rows) for name, method in agg.METHODS.items()}))
+    """The rows are cached once for all five methods and freed when the one result row is stored."""
+    with workdir.cached(_zone_fare(spark, sf)) as rows:
+        return materialise(agg.totals_check(agg.agreement({name: method(rows) for name, method in agg.METHODS.items()})))
 
 
 @query
