@@ -1,6 +1,7 @@
 """Token counts and BPE against the libraries, on odd texts and on a whole small table."""
 
 import hashlib
+import json
 import os
 import random
 
@@ -75,11 +76,19 @@ def test_encoder_equals_the_library(vocabulary, tmp_path):
     path = tmp_path / "lex"
     path.write_bytes(compile_lexicon((w.encode(), np.frombuffer(i, "<u4").tolist()) for w, i in zip(words, plain._merge(words))))
     want = [tok.encode(t, add_special_tokens=False).ids for t in texts]
-    for enc in (plain, bpe.WordEncoder(spec, Lexicon(str(path)))):
+    assert bpe.merges_by_rank(spec)
+    for enc in (plain, bpe.WordEncoder(spec, Lexicon(str(path))), bpe.WordEncoder(spec, ranked=True)):
         for t, got, ids in zip(texts, enc.encode(texts), want):
             assert np.frombuffer(got, "<u4").tolist() == ids, repr(t)
 
 
+def test_merging_by_rank_is_refused_without_proof():
+    with open(BYTES, encoding="utf-8") as f:
+        spec = json.loads(f.read())
+    spec["model"]["merges"][0], spec["model"]["merges"][1] = spec["model"]["merges"][1], spec["model"]["merges"][0]
+    assert not bpe.merges_by_rank(json.dumps(spec))
+
+
 def test_encoder_with_a_tiny_cache(monkeypatch):
     monkeypatch.setattr(bpe, "CACHE_ENTRIES", 5)
     monkeypatch.setattr(bpe, "RUN_CHARS", 50)

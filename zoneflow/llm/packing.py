@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from zoneflow.llm.bpe import WordEncoder, _runs
+from zoneflow.llm.bpe import WordEncoder, _runs, merges_by_rank
 from zoneflow.llm.common import cell, per_process, rows_and_bytes, text_or_empty
 
 # Text that one group holds on average. A group is packed in one task's memory, and what it leaves in its last,
@@ -125,7 +125,8 @@ def pack_documents(
         spec = f.read()
     _, size = rows_and_bytes(docs, text_col)
     groups = max(1, -(-size // group_bytes))
-    sent, key = docs.sparkSession.sparkContext.broadcast(spec), ("words", hashlib.sha256(spec.encode()).hexdigest())
+    sent, key = docs.sparkSession.sparkContext.broadcast(spec), ("ranked words", hashlib.sha256(spec.encode()).hexdigest())
+    ranked = merges_by_rank(spec)
     rows = docs.select(cell(id_col).alias("id"), text_or_empty(text_col).alias("t"))
     place = F.xxhash64(F.lit("group"), F.monotonically_increasing_id())
     dealt = rows.withColumn("g", F.pmod(place, F.lit(groups))).repartition(groups, "g")
@@ -138,7 +139,7 @@ def pack_documents(
     end = np.array([end_id], "<u4").tobytes()
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = per_process(key, lambda: WordEncoder(sent.value))
+        enc = per_process(key, lambda: WordEncoder(sent.value, ranked=ranked))
         held, names = defaultdict(list), []  # a task holds a few groups of bounded size
         at = 0
         for b in batches:
