@@ -21,7 +21,7 @@ COVER_ORDER = 8
 PART_BYTES, BUCKET_RANKS = 24 * 1024 * 1024, 1_000_000
 MAX_TABLE_BUCKETS = 50_000
 _SLICE = 1 << 20
-NARROW, WIDE, SHIFTS = 0, 1, 2  # kinds of ranks
+NARROW, WIDE, SHIFTS, KEPT = 0, 1, 2, 3  # kinds of ranks; KEPT is no rank but what a part found out, for itself
 
 
 @cache
@@ -105,6 +105,15 @@ def _merged(start: np.ndarray, stop: np.ndarray, limit: np.ndarray | None = None
     return start[first], np.concatenate([reach[first[1:] - 1], reach[-1:]])
 
 
+def _by_rank(high: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """Order by both parts of a rank. One fast sort does unless two ranks agree in their first part only."""
+    order = np.argsort(high)
+    same = high[order][1:] == high[order][:-1]
+    if np.any(low[order][1:][same] != low[order][:-1][same]):
+        order = np.lexsort((low, high))
+    return order
+
+
 class Ranks:
     """Ranks of some positions of a part, reduced to distinct ones in sorted order.
 
@@ -118,7 +127,7 @@ class Ranks:
         high = part.hashes(at, length, per_process("rolling", Rolling))
         low = part.hashes(at, length, per_process("second rolling", _second)) if wide else np.zeros(len(at), "u8")
         low &= np.uint64(0xFFFFFFFF)
-        order = np.lexsort((low, high)) if wide else np.argsort(high, kind="stable")
+        order = _by_rank(high, low)
         high, low = high[order], low[order]
         new = np.concatenate([[True], (high[1:] != high[:-1]) | (low[1:] != low[:-1])]) if len(at) else np.empty(0, bool)
         self.place = np.empty(len(at), "i8")
@@ -152,6 +161,8 @@ class Ranks:
         b = self.bucket(buckets).astype("i8")
         out = np.tile(np.array([255, 0], "u1"), (len(b), 1))
         for bucket, raw in answers.items():
+            if bucket < 0:
+                continue
             lo, hi = np.searchsorted(b, [bucket, bucket + 1])
             out[lo:hi] = np.frombuffer(raw, "u1").reshape(-1, 2)
         out = out[self.place].astype("i8") if len(b) else np.empty((0, 2), "i8")
@@ -162,6 +173,8 @@ class Ranks:
         b = self.bucket(buckets).astype("i8")
         flags = np.zeros(len(b), bool)
         for bucket, bits in answers.items():
+            if bucket < 0:
+                continue
             lo, hi = np.searchsorted(b, [bucket, bucket + 1])
             flags[lo:hi] = np.unpackbits(np.frombuffer(bits, "u1"), count=hi - lo).astype(bool)
         return self.at[flags[self.place]] if len(flags) else self.at
@@ -172,6 +185,13 @@ def _widest(low: np.ndarray, high: np.ndarray, first: np.ndarray) -> np.ndarray:
     return np.stack([np.minimum.reduceat(low, first), np.maximum.reduceat(high, first)], axis=1).astype("u1")
 
 
+def _chosen(at: np.ndarray, some: np.ndarray) -> bytes:
+    """Bits that tell which of the sorted positions ``at`` are in ``some``."""
+    bits = np.zeros(len(at), bool)
+    bits[np.searchsorted(at, some)] = True
+    return np.packbits(bits).tobytes()
+
+
 def _second() -> Rolling:
     return Rolling(values=byte_values(2))
 
@@ -179,7 +199,10 @@ def _second() -> Rolling:
 def sort_bucket(table: pa.Table) -> pa.Table:
     """One bucket of ranks, sorted. For every part: which of its ranks occur more than once anywhere, or the
     widest range of shifts that an equal rank asks for."""
-    sent, kind = [np.frombuffer(x.as_py(), "u1") for x in table.column("ranks")], table.column("kind")[0].as_py()
+    kind = table.column("kind")[0].as_py()
+    if kind == KEPT:
+        return pa.table({"part": table.column("part"), "bucket": table.column("bucket"), "answer": table.column("ranks")})
+    sent = [np.frombuffer(x.as_py(), "u1") for x in table.column("ranks")]
     raw = np.concatenate(sent).reshape(-1, 12 if kind == WIDE else 5)
     sizes = [len(s) // raw.shape[1] for s in sent]
 
@@ -189,8 +212,8 @@ def sort_bucket(table: pa.Table) -> pa.Table:
         return out.view("u8").ravel()
 
     high = number(raw[:, :8] if kind == WIDE else raw)
-    low = number(raw[:, 8:]) if kind == WIDE else None
-    order = np.lexsort((low, high)) if kind == WIDE else np.argsort(high, kind="stable")
+    low = number(raw[:, 8:]) if kind == WIDE else np.zeros(len(raw), "u8")
+    order = _by_rank(high, low)
     same = high[order][1:] == high[order][:-1]
     if kind == WIDE:
         same &= low[order][1:] == low[order][:-1]
@@ -215,14 +238,26 @@ class Search:
 
     def __init__(self, texts: list[bytes], window: int, buckets: int, answers: dict[int, dict[int, bytes]]):
         self.part, self.window, self.buckets, self.answers = Part(texts, window), window, buckets, answers
+        self.keep: bytes | None = None
+
+    def _kept(self, step: int, at: np.ndarray) -> np.ndarray | None:
+        """Positions that an earlier pass over this part chose among ``at``."""
+        bits = self.answers.get(step, {}).get(-1)
+        return None if bits is None else at[np.unpackbits(np.frombuffer(bits, "u1"), count=len(at)).astype(bool)]
 
     def first(self) -> Ranks:
         """All cover samples by the bytes that any aligned repeat shares after them."""
         return Ranks(self.part, self.part.samples(), self.part.shared, False)
 
-    def second(self) -> Ranks:
+    def second(self) -> Ranks | None:
         """Samples that are not single, by a whole window: the inside of every long repeat."""
-        self.near = self.first().repeated(self.answers.get(1, {}), self.buckets)
+        samples = self.part.samples()
+        self.near = self._kept(2, samples)
+        if self.near is None:
+            self.near = self.first().repeated(self.answers.get(1, {}), self.buckets)
+            self.keep = _chosen(samples, self.near)
+        if -1 in self.answers.get(3, {}):
+            return None  # answered and kept
         at = self.near[self.near + self.window <= self.part.end_of(self.near)]
         return Ranks(self.part, at, self.window, True)
 
@@ -232,7 +267,11 @@ class Search:
         A start's partner may lie inside a longer repeat, where nothing is open. So the samples say how far before
         them starts are open, and all samples of one rank learn the widest answer.
         """
-        self.inside = self.second().repeated(self.answers.get(2, {}), self.buckets)
+        ranks = self.second()
+        self.inside = self._kept(3, self.near)
+        if self.inside is None:
+            self.inside = ranks.repeated(self.answers.get(2, {}), self.buckets)
+            self.keep = _chosen(self.near, self.inside)
         v, _ = difference_cover()
         near, part = self.near, self.part
         self.begin, self.last = part.starts[np.searchsorted(part.starts, near, "right") - 1], part.end_of(near) - self.window
@@ -339,19 +378,23 @@ def repeats(
         def asked(left: pa.Table, right: pa.Table) -> pa.Table:
             found = search(left, right)
             ranks = (found.first, found.second, found.third, found.fourth)[step - 1]()
-            rows = list(ranks.rows(left.column("part")[0].as_py(), buckets)) if left.num_rows else []
-            kinds = (("bucket", pa.int32()), ("part", pa.int64()), ("ranks", pa.binary()), ("more", pa.binary()))
-            columns = {c: pa.array([r[i] for r in rows], kind) for i, (c, kind) in enumerate(kinds)}
-            return pa.table(columns | {"kind": pa.array([ranks.kind] * len(rows), pa.int32())})
+            part = left.column("part")[0].as_py()
+            rows = [(*r, ranks.kind, 0) for r in ranks.rows(part, buckets)]
+            if found.keep is not None:  # spares later passes the sort of all samples
+                rows.append((-1, part, found.keep, b"", KEPT, part))
+            kinds = (
+                ("bucket", pa.int32()), ("part", pa.int64()), ("ranks", pa.binary()), ("more", pa.binary()), ("kind", pa.int32()), ("own", pa.int64())
+            )
+            return pa.table({c: pa.array([r[i] for r in rows], kind) for i, (c, kind) in enumerate(kinds)})
 
         return asked
 
     texts = stored.select("part", "t")
     for step in (1, 2, 3, 4):
         sent = texts.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(
-            ask(step), "bucket int, part long, ranks binary, more binary, kind int"
+            ask(step), "bucket int, part long, ranks binary, more binary, kind int, own long"
         )
-        got = sent.groupBy("bucket").applyInArrow(sort_bucket, "part long, bucket int, answer binary")
+        got = sent.groupBy("bucket", "own").applyInArrow(sort_bucket, "part long, bucket int, answer binary")
         got = got.select(F.lit(step).alias("step"), "part", "bucket", "answer")
         answers = materialise(answers.unionAll(got))
 
