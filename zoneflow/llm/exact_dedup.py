@@ -78,12 +78,13 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     prints = materialise(fingerprints(docs, id_col, text_col))
     maybe, single = split_by_filter(prints)
     first = F.min(F.struct(F.isnull("id").alias("no_id"), F.col("id"), F.col("row_no"))).alias("first")
-    groups = maybe.groupBy("fp").agg(first, F.count(F.lit(1)).alias("group_size"))
-    grouped = maybe.join(groups, "fp").select(
+    # stored, so that the join below has a table of its own to meet and can split a hot group
+    groups = materialise(maybe.groupBy("fp").agg(first, F.count(F.lit(1)).alias("n")).filter("n > 1"))
+    grouped = maybe.join(broadcast_if_small(groups), "fp", "left").select(
         "id",
-        F.col("first.id").alias("keep_id"),
-        "group_size",
-        (F.col("row_no") == F.col("first.row_no")).alias("kept"),
+        F.when(F.col("n").isNull(), F.col("id")).otherwise(F.col("first.id")).alias("keep_id"),
+        F.coalesce("n", F.lit(1).cast("long")).alias("group_size"),
+        (F.col("n").isNull() | (F.col("row_no") == F.col("first.row_no"))).alias("kept"),
         F.lower(F.hex("fp")).alias("text_sha256"),
     )
     return single.select(
