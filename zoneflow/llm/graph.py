@@ -19,8 +19,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     Each round hooks the larger neighbours of every node to its smallest one (large star), then the
     smaller ones (small star); the number of rounds is logarithmic in the longest path. Minima are
-    combined before the shuffle, so a hub costs one row per task; the join back to a hub's edges is a
-    plain equi-join that adaptive execution splits. Each round is a written table, so no lineage grows
+    combined before the shuffle, so a hub costs one row per task; they are stored, so the join back to a hub's
+    edges is a plain equi-join of two tables, which adaptive execution splits. Each round is a written table, so no lineage grows
     and a lost executor repeats one round at most. Nothing but a count and a digest reaches the driver.
 
     Edges with a null end are ignored; a self-loop makes a component of one; no edges give no rows.
@@ -33,12 +33,12 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     before = _state(real)
     while before[0]:
         both = real.unionAll(real.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        low = materialise(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))
         # large star: every neighbour above a node joins the node's smallest neighbour
         large = both.join(low, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = materialise(large.distinct())
         # small star: the neighbours below a node, and the node, join the smallest of them
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
+        low = materialise(large.groupBy("a").agg(F.min("b").alias("m")))
         small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionAll(
             low.select("a", F.col("m").alias("b"))
         )
