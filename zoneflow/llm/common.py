@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zoneflow.sources.workdir import materialise, new_path, work_root
 
-__all__ = ["cell", "materialise", "new_path", "per_process", "rows_and_bytes", "text_or_empty", "work_root"]
+__all__ = ["cell", "give_back", "map_batches", "materialise", "new_path", "per_process", "rows_and_bytes", "text_or_empty", "work_root"]
 
 
 def cell(name: str) -> Column:
@@ -39,3 +41,34 @@ def per_process(key, make: Callable):
     if key not in store:
         store[key] = make()
     return store[key]
+
+
+# Bytes of rows that Spark hands to Python at once; its own default is four times that, held on both sides.
+BATCH_BYTES, SPARK_BATCH_BYTES = 16 * 1024 * 1024, "67108864b"
+
+
+def give_back() -> None:
+    """Return freed memory to the machine: worker processes outlive tasks and would keep each one's peak."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library; nothing is lost but the memory until the process ends
+
+
+def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``mapInArrow`` with batches of bounded bytes, and memory given back after each task.
+
+    Sets the session's batch size where it is still the engine's default.
+    """
+    name, conf = "spark.sql.execution.arrow.maxBytesPerBatch", df.sparkSession.conf
+    if conf.get(name) == SPARK_BATCH_BYTES:
+        conf.set(name, f"{BATCH_BYTES}b")
+
+    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from fn(batches)
+        finally:
+            give_back()
+
+    return df.mapInArrow(mapped, schema)

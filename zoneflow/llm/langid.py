@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from zoneflow.llm.common import cell, text_or_empty
+from zoneflow.llm.common import cell, map_batches, text_or_empty
 
 # Fitted on at most this many documents of each language, chosen by a hash of their id.
 TRAIN_ROWS_PER_LANGUAGE = 1_000
@@ -227,4 +227,4 @@ def predict_language(
             cols = [b.column(0), b.column(1), pa.array(names, pa.string()), pa.array(score, pa.float64()), pa.array(low, pa.bool_())]
             yield pa.RecordBatch.from_arrays(cols, schema.names)
 
-    return rows.mapInArrow(predicted, schema)
+    return map_batches(rows, predicted, schema)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from zoneflow.llm.common import cell, materialise, per_process, text_or_empty
+from zoneflow.llm.common import cell, give_back, map_batches, materialise, per_process, text_or_empty
 from zoneflow.llm.graph import components
 from zoneflow.llm.hashing import LOWER, Rolling, mix, shingle_hashes, word_hashes
 from zoneflow.sources.workdir import broadcast_if_small
@@ -81,7 +81,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, k: int, hashes: int)
             cols = [*b.columns[:4], pa.array(n, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64())]
             yield pa.RecordBatch.from_arrays([*cols, pa.array(subs, pa.list_(pa.int64()))], schema.names)
 
-    return rows.mapInArrow(sign, schema)
+    return map_batches(rows, sign, schema)
 
 
 def candidate_edges(sets: DataFrame) -> DataFrame:
@@ -125,7 +125,7 @@ def _full_sets(docs: DataFrame, text_col: str, wanted: DataFrame, k: int) -> Dat
                     out.append(shingle_set(t.as_py(), k, rolling).tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(out, pa.binary())], ["node", "s"])
 
-    return rows.mapInArrow(sets, "node long, s binary").dropDuplicates(["node"])
+    return map_batches(rows, sets, "node long, s binary").dropDuplicates(["node"])
 
 
 def _verified(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -138,7 +138,7 @@ def _verified(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             keep = [_linked(np.frombuffer(x.as_py(), "u8"), np.frombuffer(y.as_py(), "u8"), percent) for x, y in cols]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["node", "rep"]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.mapInArrow(check, "node long, rep long")
+    return map_batches(pairs, check, "node long, rep long")
 
 
 def join_components(
@@ -216,6 +216,7 @@ def _remaining_links(edges: DataFrame, links: DataFrame, sets: DataFrame, percen
         for node, comp, asks, s in zip(*(table.column(c).to_pylist() for c in ("node", "comp", "asks", "s"))):
             sides[asks].append((node, comp, np.frombuffer(s, "u8")))
         links = join_components(sides[True], sides[False], percent) if sides[True] and sides[False] else []
+        give_back()
         return pa.table({"node": pa.array([a for a, _ in links], pa.int64()), "rep": pa.array([b for _, b in links], pa.int64())})
 
     return rows.groupBy("cluster", "i", "j").applyInArrow(compare, "node long, rep long")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from zoneflow.llm.bpe import WordEncoder, _runs, merges_by_rank
-from zoneflow.llm.common import cell, per_process, rows_and_bytes, text_or_empty
+from zoneflow.llm.common import cell, map_batches, per_process, rows_and_bytes, text_or_empty
 
 # Text that one group holds on average. A group is packed in one task's memory, and what it leaves in its last,
 # partly filled sequence is its only loss, so the number of groups grows with the input.
@@ -175,7 +175,7 @@ def pack_documents(
                     schema.names,
                 )
 
-    return dealt.mapInArrow(packed, schema)
+    return map_batches(dealt, packed, schema)
 
 
 def piece_digests(pieces: DataFrame) -> DataFrame:

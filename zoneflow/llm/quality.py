@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from zoneflow.llm.common import cell, text_or_empty
+from zoneflow.llm.common import cell, map_batches, text_or_empty
 from zoneflow.sources.workdir import broadcast_if_small
 
 # The model is fitted on at most this many labelled rows, chosen by a hash of their id.
@@ -233,7 +233,7 @@ def train(
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(x, pa.list_(pa.float64()))], ["id", "y", "x"])
 
     schema = T.StructType([rows.schema["id"], T.StructField("y", T.IntegerType()), T.StructField("x", T.ArrayType(T.DoubleType()))])
-    got = sorted((str(r.id), r.y, tuple(r.x)) for r in rows.mapInArrow(features, schema).toLocalIterator())[:max_rows]
+    got = sorted((str(r.id), r.y, tuple(r.x)) for r in map_batches(rows, features, schema).toLocalIterator())[:max_rows]
     return fit(np.array([x for _, _, x in got], "f8").reshape(-1, len(FEATURES)), np.array([y for _, y, _ in got], "f8"))
 
 
@@ -254,7 +254,7 @@ def score_documents(
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(s, pa.float64())], ["id", "held_out", "score"])
 
     schema = T.StructType([rows.schema["id"], T.StructField("held_out", T.BooleanType()), T.StructField("score", T.DoubleType())])
-    return rows.mapInArrow(scored, schema).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    return map_batches(rows, scored, schema).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
 def keep_good(docs: DataFrame, model: AdditiveModel, text_col: str = "text", threshold: float = 0.3) -> DataFrame:
@@ -267,4 +267,4 @@ def keep_good(docs: DataFrame, model: AdditiveModel, text_col: str = "text", thr
             x = np.array([text_features(t.as_py() or "") for t in b.column(at)], "f8").reshape(-1, len(FEATURES))
             yield b.filter(pa.array(sent.value.score(x) >= threshold))
 
-    return docs.mapInArrow(kept, schema)
+    return map_batches(docs, kept, schema)

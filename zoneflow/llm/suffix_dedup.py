@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from zoneflow.llm.common import cell, materialise, new_path, per_process, rows_and_bytes, text_or_empty
+from zoneflow.llm.common import cell, give_back, map_batches, materialise, new_path, per_process, rows_and_bytes, text_or_empty
 from zoneflow.llm.hashing import Rolling, byte_values, mix
 
 # Sample period q*q + q + 1 for this q: of any 73 neighbouring positions 9 are samples.
@@ -333,7 +333,7 @@ def _stored_parts(docs: DataFrame, text_col: str, size: int) -> DataFrame:
 
     spark, name = docs.sparkSession, f"zoneflow_parts_{uuid.uuid4().hex}"
     buckets = min(MAX_TABLE_BUCKETS, max(1, -(-size // PART_BYTES)))
-    made = rows.mapInArrow(cut, schema).write.option("compression", "zstd").option("path", new_path(spark, "parts"))
+    made = map_batches(rows, cut, schema).write.option("compression", "zstd").option("path", new_path(spark, "parts"))
     made.bucketBy(buckets, "part").saveAsTable(name, format="parquet")
     text = F.coalesce(F.col("row").getField(text_col).cast("string"), F.lit(""))
     return spark.table(name).select("part", "row", text.alias("t"))
@@ -385,7 +385,10 @@ def repeats(
             kinds = (
                 ("bucket", pa.int32()), ("part", pa.int64()), ("ranks", pa.binary()), ("more", pa.binary()), ("kind", pa.int32()), ("own", pa.int64())
             )
-            return pa.table({c: pa.array([r[i] for r in rows], kind) for i, (c, kind) in enumerate(kinds)})
+            out = pa.table({c: pa.array([r[i] for r in rows], kind) for i, (c, kind) in enumerate(kinds)})
+            del found, ranks, rows
+            give_back()
+            return out
 
         return asked
 
@@ -399,7 +402,9 @@ def repeats(
         answers = materialise(answers.unionAll(got))
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
-        return make(left, search(left, right).spans())
+        out = make(left, search(left, right).spans())
+        give_back()
+        return out
 
     return stored.select("part", "row").groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(finish, schema)
 

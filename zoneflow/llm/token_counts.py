@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from zoneflow.llm.common import cell, per_process, text_or_empty
+from zoneflow.llm.common import cell, map_batches, per_process, text_or_empty
 
 MARK = "▁"  # how the library writes a blank
 # Unseen pre-tokens kept per worker process; longer ones are merged each time they come.
@@ -107,4 +107,4 @@ def count_tokens(
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64())], ["id", "n_bytes", "n_tokens"])
 
     schema = T.StructType([rows.schema["id"], T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType())])
-    return rows.mapInArrow(counted, schema).withColumn("over_limit", F.col("n_tokens") > limit)
+    return map_batches(rows, counted, schema).withColumn("over_limit", F.col("n_tokens") > limit)

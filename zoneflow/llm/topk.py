@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from zoneflow.llm.common import cell, materialise
+from zoneflow.llm.common import cell, map_batches, materialise
 
 SLICES = 2  # parts of a vector that are scored apart
 QUERY_BLOCK, CANDIDATE_BLOCK = 512, 8192  # a block pair's score table has at most 32 MB
@@ -52,7 +52,7 @@ def _blocks(rows: DataFrame, width: int, size: int, with_cut: bool) -> DataFrame
                     ["slice", "uids", "m", "cut"],
                 )
 
-    return rows.select("uid", "v", *(["cut"] if with_cut else [])).mapInArrow(build, "slice int, uids binary, m binary, cut binary")
+    return map_batches(rows.select("uid", "v", *(["cut"] if with_cut else [])), build, "slice int, uids binary, m binary, cut binary")
 
 
 def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -84,7 +84,7 @@ def _meet(queries: DataFrame, candidates: DataFrame, parts: int, pick: Callable)
                     cols = [pa.array(qu[x]), pa.array(cu[y]), pa.array(np.full(len(x), s, "i4")), pa.array(table[x, y])]
                     yield pa.RecordBatch.from_arrays(cols, ["q", "c", "slice", "score"])
 
-    return pairs.select("slice", "qu", "qm", "cut", "uids", "m").mapInArrow(score, "q long, c long, slice int, score long")
+    return map_batches(pairs.select("slice", "qu", "qm", "cut", "uids", "m"), score, "q long, c long, slice int, score long")
 
 
 def _exact(pairs: DataFrame, queries: DataFrame, distinct: DataFrame) -> DataFrame:
