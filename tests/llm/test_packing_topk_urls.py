@@ -122,6 +122,68 @@ def test_top_k_of_few_rows(spark):
     assert top_of(df.filter("vec_id = 100")) == {}
 
 
+def test_top_k_of_large_components(spark, monkeypatch):
+    monkeypatch.setattr(topk, "CANDIDATE_BLOCK", 60)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 3)
+    r = random.Random(9)
+    # 1e5: squares fit a long; 1e9 and 1e30 meet only vectors that keep their scores small; the last ones differ beyond 65,536
+    rows = [(i, [r.uniform(-1, 1) * r.choice([1, 1e5]) for _ in range(64)]) for i in range(700)]
+    rows += [(800, [100000.0] * 64), (801, [100000.0] * 64), (802, [70000.0] * 64), (803, [80000.0] * 64), (804, [80000.0] * 63)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(5)
+    rows = [(i, [float(np.float32(x)) for x in v]) for i, v in rows]
+    for k in (1, 10):
+        got = top_of(df, k)
+        assert got == plain_top(rows, k)
+    assert got[800][:1] == [(801, 64 * 102_400_000**2)]
+
+
+def test_top_k_of_copies_and_odd_vectors_beside_long_ones(spark, monkeypatch):
+    monkeypatch.setattr(topk, "CANDIDATE_BLOCK", 150)
+    r = random.Random(8)
+    vector = lambda: [r.uniform(-1, 1) for _ in range(7)]
+    hot, few = vector(), [vector() for _ in range(30)]
+    far = [[1e5 * x for x in v] for v in few[:3]]
+    rows = [(i, r.choice([hot, r.choice(few), vector(), [0.0] * 7, r.choice(far)])) for i in range(600)]
+    rows += [(1300, None), (1400, [None] * 7), (1500, [float("nan")] * 7), (1601, [float("inf")] * 7), (None, hot), (1700, []), (1800, [1.0])]
+    rows += [(1900, [3e5] * 7), (1901, [-70000.0] * 7)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(5)
+    rows = [(i, None if v is None else [None if x is None else float(np.float32(x)) for x in v]) for i, v in rows]
+    assert top_of(df) == plain_top(rows, 10)
+
+
+def test_top_k_of_scores_around_the_end_of_longs(spark):
+    big = 2.0**100
+    rows = [(0, [big, big, 0.0]), (1, [big, -big, 1.0]), (2, [0.0, 0.0, 5.0]), (3, [-1.0, 1.0, 0.0]), (100, [0.0, 0.0, -2.0]), (101, [0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = [(i, v + [0.0] * (3 - len(v))) for i, v in rows]
+    assert top_of(df) == plain_top(whole, 10)  # sums beyond 64 bits that cancel
+    edge = [(0, [2.0**30, -(2.0**30)]), (1, [-(2.0**13), 0.0]), (2, [2.0**13 - 2.0**-10, 0.0])]  # -2^63 is a long, and 2^63 - 2^40
+    edge_df = spark.createDataFrame(edge, "vec_id long, embedding array<double>")
+    assert top_of(edge_df) == plain_top(edge, 10) == {0: [(2, 2**63 - 2**40), (1, -(2**63))]}
+    for other in ([2.0**13, 0.0], [0.0, 2.0**13 + 1]):  # 2^63 and below -2^63
+        with pytest.raises(Exception, match="does not fit a long"):
+            top_of(edge_df.filter("vec_id = 0").unionAll(spark.createDataFrame([(5, other)], edge_df.schema)))
+    # of no answer: the vector's own score, and low ones behind k others
+    assert top_of(edge_df.filter("vec_id <> 1").unionAll(spark.createDataFrame([(5, [-(2.0**40), 0.0])], edge_df.schema)), 1) == {0: [(2, 2**63 - 2**40)]}
+    with pytest.raises(Exception, match="does not fit a double"):
+        top_of(spark.createDataFrame([(0, [1e307]), (1, [1.0])], edge_df.schema))
+
+
+@pytest.mark.parametrize("size", [1.0, 1e6, 1e200])
+def test_pairs_left_out_are_proven(size):
+    r = np.random.default_rng(3)
+    a = np.floor(r.standard_normal((20, 9)) * size * 1000)
+    c = np.floor(r.standard_normal((300, 9)) * size * r.choice([1.0, 1e-3, 1e50], (300, 1)))
+    c[:40] = c[40:80] + np.spacing(c[40:80]) * r.integers(-1, 2, (40, 9))
+    c = np.floor(c)
+    exact = [[sum(int(x) * int(y) for x, y in zip(p, q)) for q in c] for p in a]
+    i, j = topk.may_lead(a, c, 11)
+    assert topk.whole_scores(a, c, i, j).tolist() == [exact[x][y] for x, y in zip(i, j)]
+    for x in range(len(a)):
+        bound = sorted(exact[x])[-11]
+        assert set(j[i == x]) >= {y for y in range(len(c)) if exact[x][y] >= bound}
+
+
 RULES = [
     ("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block"),
 ]
