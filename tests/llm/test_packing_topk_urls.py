@@ -247,3 +247,21 @@ def test_no_pages_and_no_rules(spark):
     assert [tuple(r) for r in url_filter.judge_urls(df, []).collect()] == [(1, "a.com", "/", None, "allow")] * 2
     with pytest.raises(ValueError):
         url_filter.judge_urls(df, RULES * 1000)
+
+
+def test_rules_as_a_long_table(spark):
+    r = random.Random(5)
+    hosts = ["com", "a.com", "b.a.com", "net", "x.net", "É.net", ""]
+    paths = ["/", "/a", "/a/", "/a/b", "/é", "", "/a/b/c"]
+    short = [(r.choice(hosts), r.choice(paths), r.choice(["allow", "block"])) for _ in range(25)]
+    hosts_seen = ["a.com", "www.b.a.com", "xcom", "com.", "y.x.net", "É.net", "org"]
+    rows = [page(i, f"http://{r.choice(hosts_seen)}{r.choice(paths)}{r.choice(['', 'q', '?x'])}") for i in range(150)] + [page(900, None)]
+    rows += [page(901, "http://org/1", canonical("http://no7.test/p/x")), page(902, "http://no2999.test/p"), page(902, "http://z.no2999.test/p/1")]
+    df = spark.createDataFrame(rows, "page_id int, url string, html string, verdict string")
+    table = lambda rules: spark.createDataFrame(rules, "host string, path string, verdict string")
+    got = lambda rules, df: sorted(map(str, url_filter.judge_urls(df, rules).collect()))
+    assert got(table(short), df) == got(short, df)
+    long = [(f"no{i}.test", "/p", "block") for i in range(3000)] + [(None, "/", "block")]
+    found = {r.id: (r.rule, r.verdict) for r in url_filter.judge_urls(df.filter("page_id > 900"), table(long)).collect()}
+    assert found == {901: (None, "block"), 902: ("no2999.test/p", "block")}
+    assert {r.verdict for r in url_filter.judge_urls(df, table([])).collect()} == {"allow"}

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from zoneflow.llm.common import cell, materialise
 from zoneflow.llm.graph import components
+from zoneflow.sources.workdir import broadcast_if_small
 
-# (host, path, verdict); the list is part of the plan, so it is meant for policy lists, not for feeds.
+# (host, path, verdict); a list is part of the plan, so it is meant for policy lists. Longer ones are given as a table.
 Rule = tuple[str, str, str]
 MAX_RULES = 1000
 
@@ -36,7 +37,7 @@ def path_of(url: Column) -> Column:
 def matched_rule(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
     """Struct ``(size, allow, rule, verdict)`` of the longest rule that fits, allow first at equal length; else null."""
     if len(rules) > MAX_RULES:
-        raise ValueError(f"{len(rules)} rules; at most {MAX_RULES} fit into one plan")
+        raise ValueError(f"{len(rules)} rules; at most {MAX_RULES} fit into one plan, give longer lists as a DataFrame")
     fits = []
     for rule_host, rule_path, verdict in rules:
         on_host = (host == rule_host) | host.endswith("." + rule_host)
@@ -50,6 +51,35 @@ def matched_rule(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
     return F.array_max(F.array_compact(F.array(*fits))) if fits else F.lit(None)
 
 
+def _join_rules(rows: DataFrame, rules: DataFrame) -> DataFrame:
+    """``rows`` with ``found`` as ``matched_rule`` gives it, for a table ``(host, path, verdict)`` of any length.
+
+    Hosts are cut into their suffixes and paths into starts of just those lengths that rules of the suffix have, so
+    that both meet their rules by equality. Rules with a null cell take no part.
+    """
+    rules = rules.select(F.col("host").alias("rhost"), F.col("path").alias("rpath"), "verdict").dropna()
+    rules = rules.groupBy("rhost", "rpath").agg(F.max(F.struct((F.col("verdict") == "allow").alias("allow"), "verdict")).alias("says"))
+    rules = materialise(rules)
+    sizes = materialise(rules.groupBy("rhost").agg(F.collect_set(F.length("rpath")).alias("sizes")))
+    labels = F.split("host", r"\.", -1)
+    ends = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    names = rows.select("host", "path").distinct().select("host", "path", F.explode(ends).alias("rhost"))
+    names = names.join(broadcast_if_small(sizes), "rhost")
+    fitting = F.explode(F.filter("sizes", lambda n: n <= F.length("path")))
+    starts = names.select("host", "path", "rhost", fitting.alias("n")).withColumn("rpath", F.expr("substring(path, 1, n)"))
+    rule = F.concat("rhost", "rpath")
+    found = F.struct(F.length(rule).alias("size"), F.col("says.allow").alias("allow"), rule.alias("rule"), F.col("says.verdict").alias("verdict"))
+    fits = starts.join(broadcast_if_small(rules), ["rhost", "rpath"]).groupBy("host", "path").agg(F.max(found).alias("found"))
+    return rows.join(broadcast_if_small(materialise(fits)), ["host", "path"], "left")
+
+
+def with_rule(rows: DataFrame, rules: Sequence[Rule] | DataFrame) -> DataFrame:
+    """``rows`` with columns ``host`` and ``path``, and ``found``: the longest rule that fits, else null."""
+    if isinstance(rules, DataFrame):
+        return _join_rules(rows, rules)
+    return rows.withColumn("found", matched_rule(F.col("host"), F.col("path"), rules))
+
+
 def link_edges(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
     """Edges ``(a, b)`` between host-and-path names: canonical links and immediate redirects found in pages.
 
@@ -77,7 +107,7 @@ def link_edges(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
 
 def judge_urls(
     pages: DataFrame,
-    rules: Sequence[Rule],
+    rules: Sequence[Rule] | DataFrame,
     id_col: str = "page_id",
     url_col: str = "url",
     html_col: str = "html",
@@ -85,6 +115,8 @@ def judge_urls(
 ) -> DataFrame:
     """Per page ``(id, host, path, rule, verdict)``; ``rule`` and its verdict win wherever a rule fits.
 
+    ``rules`` is a list of at most ``MAX_RULES``, which costs no join, or a table ``(host, path, verdict)`` of any length.
+
     A page without a rule follows its aliases: pages and link targets joined by canonical links and
     redirects (found in ``html``, plus ``redirects`` with columns ``a`` and ``b`` of URLs) form a
     component. It is blocked when a member is blocked by a rule and no member is allowed by one, because an
@@ -101,7 +133,7 @@ def judge_urls(
         edges = edges.unionAll(redirects.select(name("a").alias("a"), name("b").alias("b")).filter("a <> '' AND b <> ''"))
     edges = materialise(edges.distinct())
     judged = pages.select(cell(id_col).alias("id"), host_of(url).alias("host"), path_of(url).alias("path"))
-    judged = judged.withColumn("found", matched_rule(F.col("host"), F.col("path"), rules))
+    judged = with_rule(judged, rules)
     own = lambda *more: judged.select(
         "id", "host", "path", F.col("found.rule").alias("rule"), F.coalesce("found.verdict", *more, F.lit("allow")).alias("verdict")
     )
@@ -112,7 +144,7 @@ def judge_urls(
     members = materialise(components(edges))
     # a name's first slash ends its host
     node_host, node_path = F.regexp_extract("node", r"^[^/]*", 0), F.regexp_extract("node", r"^[^/]*(.*)$", 1)
-    ruled = members.withColumn("v", matched_rule(node_host, node_path, rules)["verdict"])
+    ruled = with_rule(members.withColumns({"host": node_host, "path": node_path}), rules).withColumn("v", F.col("found.verdict"))
     blocked = ruled.groupBy("component").agg(
         F.coalesce(F.bool_or(F.col("v") == "block"), F.lit(False)).alias("block"),
         F.coalesce(F.bool_or(F.col("v") == "allow"), F.lit(False)).alias("allow"),
