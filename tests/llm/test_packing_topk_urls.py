@@ -3,6 +3,7 @@
 import random
 import zlib
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from zoneflow.llm import packing, topk, url_filter
+from zoneflow.llm.oracles import ORACLES
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 
@@ -265,3 +267,17 @@ def test_rules_as_a_long_table(spark):
     found = {r.id: (r.rule, r.verdict) for r in url_filter.judge_urls(df.filter("page_id > 900"), table(long)).collect()}
     assert found == {901: (None, "block"), 902: ("no2999.test/p", "block")}
     assert {r.verdict for r in url_filter.judge_urls(df, table([])).collect()} == {"allow"}
+
+
+def test_first_link_of_each_kind_counts_as_in_the_sql(spark):
+    free, shut = "http://org/free", "http://c.net/fr/3"
+    rows = [
+        page(1, "http://a.org/1", canonical(free) + canonical(shut)), page(2, "http://a.org/2", canonical(shut) + canonical(free)),
+        page(3, "http://a.org/3", refresh(free) + refresh(shut)), page(4, "http://a.org/4", refresh("http://org/other") + canonical(shut)),
+    ]
+    got = {i: v[3] for i, v in verdicts(spark, rows).items()}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages (page_id INT, url VARCHAR, html VARCHAR, verdict VARCHAR)")
+    con.executemany("INSERT INTO pages VALUES (?, ?, ?, ?)", rows)
+    sql = {r[0]: r[1] for r in con.execute(f"SELECT page_id, verdict FROM ({ORACLES['op6_url_filter']})").fetchall()}
+    assert got == sql == {1: "allow", 2: "block", 3: "allow", 4: "block"}

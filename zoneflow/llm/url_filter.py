@@ -83,6 +83,7 @@ def with_rule(rows: DataFrame, rules: Sequence[Rule] | DataFrame) -> DataFrame:
 def link_edges(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
     """Edges ``(a, b)`` between host-and-path names: canonical links and immediate redirects found in pages.
 
+    Of each kind a page's first one counts, as the SQL of the registered query defines it; later ones give no edge.
     Relative targets that start with ``/`` belong to the page's host; other relative targets are resolved
     against the page's folder.
     """
