@@ -133,3 +133,28 @@ def test_language_sample_is_bounded(docs, monkeypatch):
     langid.train(docs, per_language=20)
     counts = {k: seen[0].count(k) for k in set(seen[0])}
     assert len(counts) == 4 and all(5 <= n <= 20 for n in counts.values())
+
+
+def test_language_texts_stay_in_the_tasks(spark, docs, monkeypatch):
+    """Long texts and copies: the driver gets bounded features, and the model is the one of the texts themselves."""
+    few = docs.filter("lang IS NOT NULL").select("doc_id", "text", "lang").limit(150)
+    long = F.when(F.col("doc_id") % 20 == 0, F.repeat("text", 1000)).otherwise(F.col("text")).alias("text")
+    few = few.select("doc_id", long, "lang")
+    few = spark.createDataFrame([tuple(r) for r in few.unionAll(few.limit(10)).collect()], "doc_id long, text string, lang string")
+    place = F.shiftrightunsigned(F.xxhash64(F.lit("train"), "doc_id"), 2)
+    rows = few.filter("crc32(cast(cast(doc_id as string) as binary)) % 3 <> 1").withColumn("place", place).collect()
+    rows.sort(key=lambda r: (r.lang, r.place))
+    want = langid.fit([r.text for r in rows], [r.lang for r in rows])
+    received, whole = [], type(few).toLocalIterator
+
+    def counted(df, *more):
+        for r in whole(df, *more):
+            received.append(sum(len(v) if isinstance(v, (str, bytes, bytearray)) else 8 for v in r))
+            yield r
+
+    monkeypatch.setattr(type(few), "toLocalIterator", counted)
+    got = langid.train(few)
+    assert received and max(received) <= 6 << langid.BUCKET_BITS
+    assert max(len(r.text) for r in rows) > 6 << langid.BUCKET_BITS
+    assert got.languages == want.languages and (got.temperature, got.reject_below) == (want.temperature, want.reject_below)
+    assert np.array_equal(got.weights, want.weights) and np.array_equal(got.bias, want.bias)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -108,7 +109,69 @@ class LanguageModel:
         return names, np.where(known, p[np.arange(len(texts)), best], 0.0)
 
 
-def fit(texts: list[str], langs: list[str], epochs: int = 12, rate: float = 4.0, batch: int = 64, seed: int = 1) -> LanguageModel:
+Features = tuple[np.ndarray, np.ndarray]  # as _document gives them
+
+
+def _pieces(text: str, cuts: list[tuple[int, int]]) -> list[Features | None]:
+    """Features of a text and of its pieces ``(at, size)``; None for a piece that is the whole text or has no letter."""
+    parts = [text, *(text[at : at + size] for at, size in cuts)]
+    return [_document(p) if i == 0 or (len(p) < len(text) and _LETTER.search(p)) else None for i, p in enumerate(parts)]
+
+
+class Texts:
+    """What ``fit`` asks of its texts, here for texts in memory."""
+
+    def __init__(self, texts: list[str]):
+        self.texts = texts
+
+    def lengths(self) -> list[int]:
+        """Characters of each text; -1 for one without a letter."""
+        return [len(t) if _LETTER.search(t) else -1 for t in self.texts]
+
+    def features(self, cuts: dict[int, list[tuple[int, int]]]) -> dict[int, list[Features | None]]:
+        """``_pieces`` of each text named in ``cuts``."""
+        return {i: _pieces(self.texts[i], c) for i, c in cuts.items()}
+
+
+class TableTexts(Texts):
+    """Texts that stay in a table ``(lang, place, tie, t)``; their features are made in the tasks.
+
+    ``rows`` holds ``(lang, place, tie, length)`` of each text that takes part. Equal keys are equal texts.
+    """
+
+    def __init__(self, table: DataFrame, rows: list[tuple[str, int, int, int]]):
+        self.table, self.rows = table, rows
+
+    def lengths(self) -> list[int]:
+        return [r[3] for r in self.rows]
+
+    def features(self, cuts: dict[int, list[tuple[int, int]]]) -> dict[int, list[Features | None]]:
+        wanted = defaultdict(list)
+        for i, c in cuts.items():
+            wanted[self.rows[i][:3]].append((i, c))
+        sent = self.table.sparkSession.sparkContext.broadcast(dict(wanted))
+        # copies of a row would each send the features of all copies
+        table = self.table.dropDuplicates(["lang", "place", "tie"]) if any(len(w) > 1 for w in wanted.values()) else self.table
+
+        def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                for *key, t in zip(*(c.to_pylist() for c in b.columns)):
+                    for i, c in sent.value.get(tuple(key), ()):
+                        found = [(k, f) for k, f in enumerate(_pieces(t, c)) if f]
+                        cols = [
+                            pa.array([i] * len(found), pa.int32()), pa.array([k for k, _ in found], pa.int32()),
+                            pa.array([f[0].astype("<u2").tobytes() for _, f in found], pa.binary()),
+                            pa.array([f[1].astype("<f4").tobytes() for _, f in found], pa.binary()),
+                        ]
+                        yield pa.RecordBatch.from_arrays(cols, ["i", "k", "ids", "share"])
+
+        out: dict[int, list[Features | None]] = {i: [None] * (1 + len(c)) for i, c in cuts.items()}
+        for r in map_batches(table, made, "i int, k int, ids binary, share binary").toLocalIterator():
+            out[r.i][r.k] = np.frombuffer(r.ids, "<u2").astype("u4"), np.frombuffer(r.share, "<f4")
+        return out
+
+
+def fit(texts: list[str] | Texts, langs: list[str], epochs: int = 12, rate: float = 4.0, batch: int = 64, seed: int = 1) -> LanguageModel:
     """Stochastic gradient descent over whole texts and short pieces of them.
 
     A fifth of the texts is left out of the descent to set the temperature (smallest log loss) and the
@@ -120,18 +183,16 @@ def fit(texts: list[str], langs: list[str], epochs: int = 12, rate: float = 4.0,
         return LanguageModel([], np.zeros((1 << BUCKET_BITS, 0), "f4"), np.zeros(0), 1.0, 0.0)
     r = np.random.default_rng(seed)
     place = {k: i for i, k in enumerate(languages)}
-    spare = np.arange(len(texts)) % 5 == 4 if len(texts) >= 50 else np.zeros(len(texts), bool)
+    source = texts if isinstance(texts, Texts) else Texts(texts)
+    lengths = source.lengths()
+    spare = np.arange(len(lengths)) % 5 == 4 if len(lengths) >= 50 else np.zeros(len(lengths), bool)
     r.shuffle(spare)
     made: dict[bool, list] = {False: [], True: []}
-    for text, lang, out in zip(texts, langs, spare):
-        if not _LETTER.search(text):
-            continue
-        made[bool(out)].append((*_document(text), place[lang]))
-        for size in (25, 120):  # short texts have to be told apart as well
-            at = int(r.integers(0, max(1, len(text) - size)))
-            piece = text[at : at + size]
-            if len(piece) < len(text) and _LETTER.search(piece):
-                made[bool(out)].append((*_document(piece), place[lang]))
+    # short texts have to be told apart as well
+    cuts = {i: [(int(r.integers(0, max(1, n - size))), size) for size in (25, 120)] for i, n in enumerate(lengths) if n >= 0}
+    features = source.features(cuts)
+    for i in cuts:
+        made[bool(spare[i])] += [(*f, place[langs[i]]) for f in features[i] if f]
     rows, k = made[False], len(languages)
     e = (r.standard_normal((1 << BUCKET_BITS, WIDTH)) * 0.3).astype("f4")
     w, bias = np.zeros((WIDTH, k), "f4"), np.zeros(k, "f4")
@@ -183,7 +244,8 @@ def train(
     """Fit on rows with a language whose fold is not ``out``: at most ``per_language`` texts of each.
 
     Rows are chosen by a hash of their id within each language, so a rare language is not lost and the choice
-    does not depend on partitions. Rows with a null id are not used. Only the chosen texts reach the driver.
+    does not depend on partitions. Rows with a null id are not used. No text reaches the driver: one pass sends
+    the lengths of the chosen ones, a second at most 2^15 numbers for each text and for two short pieces of it.
     """
     rows = docs.select(cell(id_col).alias("id"), text_or_empty(text_col).alias("t"), cell(lang_col).alias("lang")).filter(
         F.col("lang").isNotNull() & (_fold(F.col("id"), folds) != out)
@@ -198,11 +260,18 @@ def train(
     for lang, n in sizes.items():
         share = 1.0 if n <= per_language else 0.9 * per_language / n
         below = F.when(F.col("lang") == lang, F.lit(int(share * 2**62))).otherwise(below)
-    chosen = rows.filter(place < below).withColumn("place", place)
-    got = sorted((r.lang, r.place, r.t) for r in chosen.toLocalIterator())
+    chosen = rows.filter(place < below).select("lang", place.alias("place"), F.xxhash64("t").alias("tie"), "t")
+
+    def outlines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(Texts(b.column(3).to_pylist()).lengths(), pa.int64())], names)
+
+    names = ["lang", "place", "tie", "n"]
+    got = sorted(tuple(r) for r in map_batches(chosen, outlines, "lang string, place long, tie long, n long").toLocalIterator())
     taken: dict[str, int] = {}
     keep = [taken.__setitem__(g[0], taken.get(g[0], 0) + 1) or taken[g[0]] <= per_language for g in got]
-    return fit([g[2] for g, k in zip(got, keep) if k], [g[0] for g, k in zip(got, keep) if k])
+    got = [g for g, k in zip(got, keep) if k]
+    return fit(TableTexts(chosen, got), [g[0] for g in got])
 
 
 def predict_language(
