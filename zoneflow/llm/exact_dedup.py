@@ -31,8 +31,8 @@ def _slots(fp: Column, words: int) -> list[Column]:
 def repeated_filter(prints: DataFrame, fp: str, words: int) -> DataFrame:
     """First pass: Bloom filter ``(word, bits)`` of the slots that two or more rows hit.
 
-    A row adds one to each of its distinct slots (a counting filter, combined before the shuffle); only
-    counts above one leave a bit. A fingerprint held by two rows therefore always has all its bits set.
+    A row adds one to each of its distinct slots (a counting filter). With so many slots the counts hardly combine
+    before the shuffle, so up to two narrow rows a document move; only counts above one leave a bit. A fingerprint held by two rows therefore always has all its bits set.
     """
     hit = prints.select(*_slots(F.col(fp), words)).select(
         "word", F.explode(F.array_distinct(F.array("bit1", "bit2"))).alias("bit")
@@ -71,9 +71,10 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     as empty. ``keep_id`` is the smallest id of the group (null only if all its ids are null); exactly one
     row of a group has ``kept``, also when several rows share the smallest id. Empty input gives no rows.
 
-    Texts never move: a first pass stores fingerprints and builds the filter, and rows that fail it pass
-    straight through. Only possibly repeated rows (id and fingerprint) are shuffled; their minima and
-    counts are combined before that, so a group holding a third of all rows is a few rows per task.
+    Texts never move: a first pass stores fingerprints and builds the filter, which shuffles its slots (see
+    ``repeated_filter``); rows that fail it pass straight through, unless the filter is too large to be sent and is
+    joined. After that only possibly repeated rows (id and fingerprint) are shuffled; their minima and counts
+    are combined before that, so a group holding a third of all rows is a few rows per task.
     """
     prints = materialise(fingerprints(docs, id_col, text_col))
     maybe, single = split_by_filter(prints)
