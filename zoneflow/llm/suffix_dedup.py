@@ -1,4 +1,7 @@
-"""Repeated byte strings, found by sorting difference-cover samples of suffixes, one bucket at a time."""
+"""Repeated byte strings, found by hashes of fixed windows at difference-cover samples, sorted one bucket at a time.
+
+Suffixes themselves are not sorted, and equal hashes of 96 bits count as equal strings.
+"""
 
 from __future__ import annotations
 
