@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zoneflow.llm import bpe, exact_dedup, langid, near_dedup, packing, quality, suffix_dedup, token_counts, topk, url_filter
+from zoneflow.llm import bpe, exact_dedup, langid, near_dedup, packing, prefix_trie, quality, suffix_dedup, token_counts, topk, turn_repair, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -107,3 +107,15 @@ def op10_topk(spark, sf):
     """Ten best inner products over all vectors for every hundredth one."""
     vectors = table(spark, sf, "embeddings")
     return topk.top_k(vectors, F.col("vec_id") % 100 == 0).withColumnRenamed("id", "vec_id")
+
+
+@query
+def op11_prefix_trie(spark, sf):
+    """Every distinct prefix of the rebuilt conversations, with its members and what its subtree holds."""
+    return prefix_trie.prefix_trie(table(spark, sf, "conversations"))
+
+
+@query
+def op12_turn_repair(spark, sf):
+    """Faults and the cheapest repair of every damaged conversation."""
+    return turn_repair.damage_and_repair(table(spark, sf, "conversations"))
