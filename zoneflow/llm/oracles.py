@@ -151,9 +151,9 @@ WITH RECURSIVE {CRC}, marked AS (
   SELECT *, row_number() OVER w AS pos, left(role, 1) AS initial, lag(left(role, 1)) OVER w || left(role, 1) AS pair
   FROM damaged WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, tie, copy)
 ), faults AS (
-  SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'b'
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'b'
                  WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'd'
-                 WHEN NOT regexp_matches(text, '[.!?][ 	-]*\z') THEN 't' ELSE 'n' END AS fault
+                 WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 't' ELSE 'n' END AS fault
   FROM placed
 ), conv AS (
   SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count_if(fault = 'b') AS blank, count_if(fault = 'd') AS duplicate,
