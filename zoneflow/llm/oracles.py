@@ -84,7 +84,7 @@ def crc32(text: str) -> str:
 ORACLES["op11_prefix_trie"] = rf"""
 WITH RECURSIVE {CRC}, turns AS (
   SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words,
-         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS pos
   FROM conversations WHERE conv_id IS NOT NULL
 ), own AS (
   SELECT conv_id, list(struct_pack(role := role, text := text, words := words) ORDER BY pos) AS l FROM turns GROUP BY conv_id

@@ -38,7 +38,7 @@ def turn_ids(conversations: DataFrame, conv: str = "conv_id", turn: str = "turn"
     """``conv_id, pos, id``: the turns of every conversation in order, from 0, without their texts.
 
     Null turns come first, null role or text counts as empty, rows without a conversation are left out. Rows with the
-    same turn are ordered by role and then by the digest of role and text.
+    same turn are ordered by the digest of role and text.
     """
     blank = lambda name: F.coalesce(cell(name).cast("string"), F.lit(""))
     said = F.concat(F.length(blank(role)).cast("string"), F.lit(":"), blank(role), blank(text))
@@ -46,17 +46,16 @@ def turn_ids(conversations: DataFrame, conv: str = "conv_id", turn: str = "turn"
     rows = conversations.filter(cell(conv).isNotNull()).select(
         cell(conv).cast("long").alias("conv_id"),
         cell(turn).cast("long").alias("turn"),
-        blank(role).alias("role"),
         F.concat(F.unhex(F.sha2(said.cast("binary"), 256)), F.unhex(F.lpad(F.hex(words), 16, "0"))).alias("id"),
     )
-    return with_places(rows, ["conv_id"], [F.col("turn").asc_nulls_first(), "role", "id"], "pos").select("conv_id", "pos", "id")
+    return with_places(rows, ["conv_id"], [F.col("turn").asc_nulls_first(), "id"], "pos").select("conv_id", "pos", "id")
 
 
 def rebuilt_heads(turns: DataFrame, modulus: int = 20, heads: int = 4, width: int = WIDTHS[0]) -> DataFrame:
     """``conv_id, shift, len, first``: every conversation after its head is taken from the first of its twenty.
 
     Its first ``h = crc32(conv_id) % heads`` turns are replaced by those of conversation ``conv_id - conv_id % modulus``
-    (as many as there are). ``first`` holds the ids of the first ``width`` rebuilt turns; an own turn from ``h`` on
+    (as many as there are; ``%`` has the sign of the id, as in SQL). ``first`` holds the ids of the first ``width`` rebuilt turns; an own turn from ``h`` on
     stands ``shift`` places further on than before.
     """
     own = turns.groupBy("conv_id").agg(

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zoneflow.llm import bpe, exact_dedup, langid, near_dedup, packing, prefix_trie, quality, suffix_dedup, token_counts, topk, turn_repair, url_filter
+from zoneflow.llm import bpe, exact_dedup, langid, near_dedup, packing, prefix_trie, quality, suffix_dedup, token_counts, topk, toxicity, turn_repair, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -119,3 +119,11 @@ def op11_prefix_trie(spark, sf):
 def op12_turn_repair(spark, sf):
     """Faults and the cheapest repair of every damaged conversation."""
     return turn_repair.damage_and_repair(table(spark, sf, "conversations"))
+
+
+@query
+def op13_toxicity(spark, sf):
+    """Every document scored for abuse by a lexicon and a model that are learnt outside the held-out fold."""
+    docs = table(spark, sf, "documents")
+    model = toxicity.train(docs, table(spark, sf, "labels"))
+    return toxicity.score_documents(docs, model).withColumnRenamed("id", "doc_id")
