@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 import ctypes
+import pickle
 import sys
 import types
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zoneflow.sources.workdir import materialise, new_path, work_root
 
-__all__ = ["cell", "give_back", "map_batches", "materialise", "new_path", "per_process", "rows_and_bytes", "text_or_empty", "work_root"]
+__all__ = ["cell", "give_back", "latest_per_process", "map_batches", "materialise", "new_path", "per_process", "rows_and_bytes", "send", "text_or_empty", "work_root"]
 
 
 def cell(name: str) -> Column:
@@ -43,6 +46,25 @@ def per_process(key, make: Callable):
     return store[key]
 
 
+def latest_per_process(name: str, key, make: Callable):
+    """Like ``per_process``, but only the last ``key`` asked for under ``name`` is kept."""
+    held = per_process(("latest", name), dict)
+    if key not in held:
+        held.clear()
+        held[key] = make()
+    return held[key]
+
+
+def send(df: DataFrame, value) -> Callable:
+    """Broadcast an object of one of our own classes; returns what gives it back, in a task or on the driver.
+
+    A broadcast pickles classes by name, which only works where the package is installed, so it is sent as bytes that
+    hold the class as well.
+    """
+    sent, key = df.sparkSession.sparkContext.broadcast(cloudpickle.dumps(value)), uuid.uuid4().hex
+    return lambda: latest_per_process("sent", key, lambda: pickle.loads(sent.value))
+
+
 # Bytes of rows that Spark hands to Python at once; its own default is four times that, held on both sides.
 BATCH_BYTES, SPARK_BATCH_BYTES = 16 * 1024 * 1024, "67108864b"
 

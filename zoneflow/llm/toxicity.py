@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from zoneflow.llm.common import cell, map_batches, materialise, per_process, text_or_empty
+from zoneflow.llm.common import cell, latest_per_process, map_batches, materialise, text_or_empty
 from zoneflow.sources.workdir import broadcast_if_small
 
 # Labelled rows of each class that the model is fitted on, chosen by a hash of their id.
@@ -404,10 +404,10 @@ def score_documents(docs: DataFrame, model: dict, id_col: str = "doc_id", text_c
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(cell(id_col).alias("id"), _held_out(cell(id_col), folds).alias("held_out"), text_or_empty(text_col).alias("t"))
-    name = ("toxicity", uuid.uuid4().hex)
+    key = uuid.uuid4().hex
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        score = per_process(name, lambda: make_scorer(sent.value))
+        score = latest_per_process("toxicity", key, lambda: make_scorer(sent.value))
         for b in batches:
             s = [score(t.as_py()) for t in b.column(2)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(s, pa.float64())], ["id", "held_out", "score"])
