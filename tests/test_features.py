@@ -28,14 +28,14 @@ def same(got, want):
             assert g is None if w is None else g == pytest.approx(w, rel=1e-12), k
 
 
-@pytest.mark.parametrize("max_group", [1, 100_000])
+@pytest.mark.parametrize("tasks", [1, 20])
 @pytest.mark.parametrize("nan", [False, True])
-def test_null_matrix(spark, max_group, nan):
+def test_null_matrix(spark, tasks, nan):
     gap = lambda v: math.nan if nan and v is None else v
     df = spark.createDataFrame([tuple(gap(v) for v in r) for r in NULL_MATRIX], SCHEMA)
-    same(as_dict(ft.zone_features(df, max_group=max_group)), EXPECTED)
+    same(as_dict(ft.zone_features(df, tasks=tasks)), EXPECTED)
     same(as_dict(ft.zone_features_grouped(df)), EXPECTED)
-    same(as_dict(ft.zone_features_grouped(df, max_frame=1, max_group=max_group)), EXPECTED)
+    same(as_dict(ft.zone_features_grouped(df, max_frame=1)), EXPECTED)
 
 
 def test_single_row_all_null_and_empty(spark):
@@ -57,8 +57,8 @@ def test_large_group_split_between_frames_and_builtin(spark):
     rows = [(i % 3 if i % 2 else 0, float(i % 50 + 1), float(i % 7), float(i % 23 + 1)) for i in range(600)]
     df = spark.createDataFrame(rows, SCHEMA)
     want = as_dict(ft.zone_features(df))
-    same(as_dict(ft.zone_features_grouped(df, max_frame=150, max_group=50)), want)
-    same(as_dict(ft.zone_features(df, max_group=50)), want)
+    same(as_dict(ft.zone_features_grouped(df, max_frame=150)), want)
+    same(as_dict(ft.zone_features(df, tasks=30)), want)
 
 
 def test_lookup_join_keeps_unmatched_and_reports_duplicates(spark):

@@ -160,3 +160,39 @@ def test_run_checks_with_executors(spark):
 def test_the_pin_is_the_runs_own(spark):
     assert checked(spark, [("good", None, 8.0)])["good"][1] == {"pin_ok"}
     assert checked(spark, [("good", None, 16.0)])["good"][0].valid
+
+
+def in_order(df):
+    got = {}
+    for r in runlog.parse_blocks(df, keep=["path", "start", "seq"]).orderBy("path", "start", "seq", "block").collect():
+        got.setdefault(r.path.split("/")[-1].removesuffix(".log"), []).append(r.kv)
+    return got
+
+
+def test_blocks_over_many_splits(spark, tmp_path, monkeypatch):
+    """Sections that begin in one split, run through others without any mark, and end, or never do, in a later one."""
+    monkeypatch.setattr(logs, "PIECE_CHARS", 30)
+    long = "\n".join(f"k{i}=v{i}\nplain {i}" for i in range(40))
+    texts = {
+        "spans": f"noise\n{block(long)}\nx=1\n{block('a=1', 'phase=B_fit')}\n",
+        "inner": f"===A2-METRICS v2.0 phase=X===\n{long}\n{block('b=2')}\n{block('c=3')}\n",
+        "open": f"{block('a=1')}\n===A2-METRICS v2.0 phase=Y===\n{long}\n",
+        "orphan": f"{long}\n===END===\n{block('d=4')}===A2-METRICS v2.0 phase=Z===\n\n\n===END===",
+        "plain": f"{long}\n" * 3,
+    }
+    for name, text in texts.items():
+        (tmp_path / f"{name}.log").write_text(text)
+    whole = {n: [x + "\n===END===" for x in t.split("\n===END===")[:-1]] for n, t in texts.items()}
+    rows = [(n, 0, i, x) for n, l in whole.items() for i, x in enumerate(l) if "===A2-METRICS" in x]
+    want = in_order(spark.createDataFrame(rows, "path string, start int, seq int, text string"))
+    names = ["spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"]
+    old = {n: spark.conf.get(n) for n in names}
+    try:
+        for size in ("150", "128m"):
+            spark.conf.set(names[0], size)
+            spark.conf.set(names[1], "0")
+            assert in_order(logs.read_log_sections(spark, str(tmp_path))) == want
+    finally:
+        for n, v in old.items():
+            spark.conf.set(n, v)
+    assert set(want) == {"spans", "inner", "open", "orphan"} and len(want["inner"]) == 2 and len(want["open"]) == 1

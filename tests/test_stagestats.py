@@ -73,12 +73,12 @@ def test_stage_without_times_is_skipped_in_times_only(spark):
     assert (r.tasks, r.task_min_s, r.task_med_s, r.task_max_s) == (10, 0.2, 0.3, 0.4)
 
 
-@pytest.mark.parametrize("max_group", [3, 100_000])
-def test_middle_task_is_not_interpolated(spark, max_group):
+@pytest.mark.parametrize("chunks", [1, 9])
+def test_middle_task_is_not_interpolated(spark, chunks):
     rows = [("r", 1, 0, True, ms) for ms in (40, 10, 30, 20)] + [("r", 2, 0, True, ms) for ms in (5, 1, 9)]
     rows += [("r", 1, 0, False, 1), ("r", 3, 0, True, 8)]
     tasks = spark.createDataFrame(rows, "run string, stage_id long, attempt_id long, ok boolean, run_ms long")
-    out = {r.stage_id: (r.min_ms, r.med_ms, r.max_ms) for r in ss.task_quantiles(tasks, max_group).collect()}
+    out = {r.stage_id: (r.min_ms, r.med_ms, r.max_ms) for r in ss.task_quantiles(tasks, chunks).collect()}
     assert out == {1: (10.0, 30.0, 40.0), 2: (1.0, 5.0, 9.0), 3: (8.0, 8.0, 8.0)}
 
 
@@ -103,7 +103,6 @@ import sys
 from pyspark.sql import SparkSession
 s = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
      .config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", sys.argv[1])
-     .config("spark.eventLog.compress", "false").config("spark.eventLog.rolling.enabled", "false")
      .config("spark.sql.shuffle.partitions", "16")
      .config("spark.sql.adaptive.coalescePartitions.enabled", "false").getOrCreate())
 s.sparkContext.setJobGroup("A_aggregate", "")
@@ -114,9 +113,18 @@ s.stop()
 """
 
 
-def test_real_event_log(spark, tmp_path):
-    subprocess.run([sys.executable, "-c", JOB, str(tmp_path)], check=True, capture_output=True, timeout=300)
-    out = {r.phase: r for r in ss.rollup_events(logs.read_event_log(spark, str(tmp_path))).collect()}
+@pytest.fixture(scope="module")
+def real_log(tmp_path_factory):
+    """A folder with a log as the engine writes it by default: rolled and compressed."""
+    folder = tmp_path_factory.mktemp("events")
+    subprocess.run([sys.executable, "-c", JOB, str(folder)], check=True, capture_output=True, timeout=300)
+    return folder
+
+
+def test_real_event_log(spark, real_log):
+    events = logs.read_event_log(spark, str(real_log))
+    assert {(r.run.split("/")[-1], r.app_id, r.part) for r in events.collect()} == {(f.name, f.name.removeprefix("eventlog_v2_"), 1) for f in real_log.iterdir()}
+    out = {r.phase: r for r in ss.rollup_events(events).collect()}
     a, b = out["A_aggregate"], out["B_fit"]
     assert a.partitions == 16 and a.tasks == 20 and a.shuffle_write_bytes > 0
     assert b.partitions == 60 and b.tasks == 60 and b.shuffle_write_bytes == 0
@@ -124,3 +132,36 @@ def test_real_event_log(spark, tmp_path):
         assert r["mode"] == "rest" and r.retried == 0 and r.job_span_s >= 0
         assert 0 <= r.task_min_s <= r.task_med_s <= r.task_max_s
     assert b.ended_at_epoch_s >= a.ended_at_epoch_s
+
+
+def test_parts_of_a_log_are_one_run(spark, real_log, tmp_path):
+    """The real lines dealt to parts, plain and compacted, beside another application's single file."""
+    lines = spark.read.text([str(p) for p in real_log.rglob("events_1_*")])
+    lines = [r.value for r in lines.collect()]
+    folder = tmp_path / "eventlog_v2_app-1"
+    folder.mkdir()
+    cut = [lines[i::3] for i in range(3)]
+    for i, part in enumerate(cut):
+        (folder / f"events_{i + 1}_app-1").write_text("\n".join(part))
+    (folder / "events_2_app-1.compact").write_text("\n".join(cut[0] + cut[1]))
+    (folder / "appstatus_app-1").write_text("")
+    (tmp_path / "app-2").write_text("\n".join(lines))
+    events = logs.read_event_log(spark, str(tmp_path))
+    by_run = {}
+    for r in ss.rollup_events(events).collect():
+        by_run.setdefault(r.run.split("/")[-1], []).append(tuple(r)[1:])
+    assert set(by_run) == {"eventlog_v2_app-1", "app-2"}
+    assert sorted(by_run["eventlog_v2_app-1"], key=str) == sorted(by_run["app-2"], key=str)
+    assert {(r.run.split("/")[-1], r.part) for r in events.select("run", "part").distinct().collect()} == {
+        ("eventlog_v2_app-1", 2), ("eventlog_v2_app-1", 3), ("app-2", 1)
+    }
+    assert events.filter("app_id IS NULL").count() == 0
+    assert {r.nodes for r in ss.run_nodes(events).collect()} == {1}
+
+
+def test_busy_time_leaves_gaps_out(spark):
+    rows = [("A", 0, 1000), ("A", 500, 700), ("A", 900, 2000), ("B", 2000, 5000), ("A", 5000, 6000), ("A", 6000, 6000), ("A", 7000, None), (None, 0, 100)]
+    jobs = spark.createDataFrame([("r", *x) for x in rows], "run string, phase string, started_ms long, ended_ms long")
+    out = {r.phase: (r.busy_s, r.idle_s, r.n_islands) for r in ss.busy_times(jobs).collect()}
+    assert out == {"A": (3.0, 3.0, 2), "B": (3.0, 0.0, 1), None: (0.1, 0.0, 1)}
+    assert ss.busy_times(jobs.limit(0)).collect() == []

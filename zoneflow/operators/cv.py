@@ -10,6 +10,7 @@ moments of each fold: one grouped aggregate over all rows serves every fit of th
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -23,6 +24,8 @@ TARGET = "fare_amount"
 COMBOS = 12
 FOLDS = 5
 FIT_ROUNDS = 50
+# Rows whose means the moments are shifted by.
+SHIFT_ROWS = 1000
 
 
 def design_matrix(
@@ -47,18 +50,28 @@ def fold_statistics(
 ) -> DataFrame:
     """Rows, means and population covariances per fold in one map-side combined aggregate.
 
-    ``n``, ``my``, ``m0..``, ``vyy``, ``v0y..`` (with the target) and ``v0x0..``. The built-in moments are
-    centred while they are summed, so large values lose no digits.
+    ``n``, ``my``, ``m0..``, ``vyy``, ``v0y..`` (with the target) and ``v0x0..``. Plain sums of products compile to straight
+    code. Every column is shifted by its mean over a few rows first, so large values lose no digits.
     """
-    y = F.col(target)
-    return rows.groupBy(fold).agg(
+    columns = [*features, target]
+    near = rows.limit(SHIFT_ROWS).agg(*(F.avg(c).alias(f"c{i}") for i, c in enumerate(columns))).first()
+    shift = [near[i] if near[i] is not None and math.isfinite(near[i]) else 0.0 for i in range(len(columns))]
+    moved = rows.select(fold, *((F.col(c) - F.lit(shift[i])).alias(f"d{i}") for i, c in enumerate(columns)))
+    p, d = len(features), lambda i: F.col(f"d{i}")
+    products = [(i, k) for i in range(p + 1) for k in range(i, p + 1)]
+    sums = moved.groupBy(fold).agg(
         F.count(F.lit(1)).alias("n"),
-        F.avg(y).alias("my"),
-        F.var_pop(y).alias("vyy"),
-        *(F.avg(f).alias(f"m{i}") for i, f in enumerate(features)),
-        *(F.covar_pop(F.col(f), y).alias(f"v{i}y") for i, f in enumerate(features)),
-        *(F.covar_pop(F.col(features[i]), F.col(features[k])).alias(f"v{i}x{k}") for i, k in _pairs(features)),
+        *(F.sum(d(i)).alias(f"s{i}") for i in range(p + 1)),
+        *(F.sum(d(i) * d(k)).alias(f"s{i}_{k}") for i, k in products),
     )
+    n = F.col("n")
+    mean = lambda i: F.lit(shift[i]) + F.col(f"s{i}") / n
+    cov = lambda i, k: F.col(f"s{i}_{k}") / n - (F.col(f"s{i}") / n) * (F.col(f"s{k}") / n)
+    return sums.select(
+        fold, "n", mean(p).alias("my"), F.greatest(cov(p, p), F.lit(0.0)).alias("vyy"),
+        *(mean(i).alias(f"m{i}") for i in range(p)), *(cov(i, p).alias(f"v{i}y") for i in range(p)),
+        *((F.greatest(cov(i, k), F.lit(0.0)) if i == k else cov(i, k)).alias(f"v{i}x{k}") for i, k in _pairs(features)),
+    )
 
 
 def _moments(row: dict, p: int) -> tuple[float, np.ndarray, np.ndarray]:

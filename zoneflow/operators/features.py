@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from zoneflow.functions.exprs import at_least, avg_if_complete, nan_to_null
 from zoneflow.operators.matrix import TAXI, TripColumns
-from zoneflow.operators.quantiles import MAX_GROUP_ROWS, Quantile, hot_keys, summarise
-from zoneflow.sources.workdir import MAX_BROADCAST_BYTES, broadcast_if_small
+from zoneflow.operators.heavy import heavy_keys
+from zoneflow.operators.quantiles import Quantile, summarise
+from zoneflow.sources.workdir import MAX_BROADCAST_BYTES, broadcast_if_small, materialise
 
 MIN_FARE = 0.01
 MIN_DISTANCE = 0.1
@@ -81,24 +82,19 @@ def _mean(measure: str, strict: bool) -> Column:
     return avg_if_complete(F.col(measure)) if strict else F.avg(measure)
 
 
-def zone_features(
-    trips: DataFrame, cols: TripColumns = TAXI, approximate: bool = False, max_group: int = MAX_GROUP_ROWS,
-    keys_from: DataFrame | None = None,
-) -> DataFrame:
+def zone_features(trips: DataFrame, cols: TripColumns = TAXI, approximate: bool = False, tasks: int | None = None) -> DataFrame:
     """Trips, mean fare, mean tip ratio, 90th percentile distance and median fare rate per zone.
 
     A mean tip ratio or distance percentile is null when the zone misses any of its values; the
     mean fare and the median skip missing ones. ``approximate`` trades exact percentiles for one
-    sketch pass. ``keys_from`` has the same zone keys as ``trips`` and is cheaper to count, such as the trips
-    before a lookup join.
-    """
+    sketch pass. ``tasks``: ranges of (zone, value) that the exact ones are dealt to.
+    """
     aggs = [F.count(F.lit(1)).alias("n_trips"), *(_mean(*m).alias(name) for name, m in MEANS.items())]
     measures = _measures(trips, cols)
     if approximate:
         rows = measures.na.drop(subset=[cols.zone])
         return rows.groupBy(cols.zone).agg(*aggs, *(q.approximate() for q in QUANTILES))
-    keys = None if keys_from is None else keys_from.select(F.col(cols.zone).cast("int").alias(cols.zone))
-    return summarise(measures, [cols.zone], aggs, QUANTILES, max_group, keys)
+    return summarise(measures, [cols.zone], aggs, QUANTILES, tasks)
 
 
 def percentile_ranks(trips: DataFrame, features: DataFrame, cols: TripColumns = TAXI) -> DataFrame:
@@ -118,9 +114,7 @@ def percentile_ranks(trips: DataFrame, features: DataFrame, cols: TripColumns =
     return rows.groupBy(cols.zone).agg(F.count(F.lit(1)).alias("n_trips"), *(error(q).alias(f"{q.name}_off") for q in QUANTILES))
 
 
-def zone_features_grouped(
-    trips: DataFrame, cols: TripColumns = TAXI, max_frame: int = MAX_FRAME_ROWS, max_group: int = MAX_GROUP_ROWS
-) -> DataFrame:
+def zone_features_grouped(trips: DataFrame, cols: TripColumns = TAXI, max_frame: int = MAX_FRAME_ROWS) -> DataFrame:
     """The same features from a pandas function that sees a whole zone as one frame.
 
     Only zones of at most ``max_frame`` rows are handed over; larger ones take the built-in path,
@@ -137,9 +131,9 @@ def zone_features_grouped(
 
     schema = ", ".join([f"`{key}` int", "n_trips long", *(f"{n} double" for n in [*MEANS, *(q.name for q in QUANTILES)])])
     by_frame = lambda d: d.groupBy(key).applyInPandas(of_zone, schema)
-    hot = hot_keys(measures, [key], max_frame)
-    if hot is None:
+    hot = materialise(heavy_keys(measures, [key], min_rows=max_frame + 1).select(key))
+    if not hot.take(1):
         return by_frame(measures)
     large = trips.join(hot, trips[key].cast("int") == hot[key], "left_semi")
-    rest = zone_features(large, cols, max_group=max_group)
+    rest = zone_features(large, cols)
     return by_frame(measures.join(hot, [key], "left_anti")).unionByName(rest)

@@ -37,18 +37,22 @@ def _carried(ends: list) -> list[tuple[int, int]]:
     return out
 
 
-def with_places(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], name: str = "place") -> DataFrame:
+def with_places(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], name: str = "place", weight: str | None = None, tasks: int | None = None
+) -> DataFrame:
     """Add each row's place (from 0) among the rows with equal ``keys``, in the given order; no keys: in the whole table.
 
-    Equal to ``row_number() - 1`` over a window, but a key's rows may lie in many tasks: the rows are range
-    partitioned by keys and order, numbered within their task, and the result is stored. Only a task's first key
-    can go on from the task before, so one row per task (its first and last key and how many rows these have)
-    is all that the driver adds up. Null is a key like any other. Rows that are equal in keys and order take
-    their places in no stated order.
+    Equal to ``row_number() - 1`` over a window, or with ``weight`` (a whole number per row) to the sum of the weights before
+    the row. But a key's rows may lie in many tasks: the rows are range partitioned by keys and order, numbered within
+    their task, and the result is stored. Only a task's first key can go on from the task before, so one row per
+    task (its first and last key and how many rows these have) is all that the driver adds up. Null is a key like any
+    other. Rows that are equal in keys and order take their places in no stated order. ``tasks``: ranges to make
+    (default: the session's shuffle partitions).
     """
     spark, keys, columns = df.sparkSession, list(keys), df.columns
     by = [*(F.col(k) for k in keys), *(F.col(o) if isinstance(o, str) else o for o in order)]
-    rows = df.repartitionByRange(*by).sortWithinPartitions(*by)
+    rows = (df.repartitionByRange(tasks, *by) if tasks else df.repartitionByRange(*by)).sortWithinPartitions(*by)
+    heavy = None if weight is None else columns.index(weight)
     at = [columns.index(k) for k in keys]
 
     def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -61,11 +65,12 @@ def with_places(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
             new = _changes(cells, last) if cells else np.zeros(n, bool)
             last = [c[n - 1] for c in cells]
             # a row's place counts from its run's begin, which may lie in an earlier batch
-            index = np.arange(n)
-            begin = np.maximum.accumulate(np.where(new, index, -1))
-            place = np.where(begin < 0, index + done, index - begin)
+            w = np.ones(n, "i8") if heavy is None else b.column(heavy).to_numpy().astype("i8")
+            before = np.cumsum(w) - w
+            begin = np.maximum.accumulate(np.where(new, np.arange(n), -1))
+            place = np.where(begin < 0, before + done, before - before[np.maximum(begin, 0)])
             runs = run + np.cumsum(new)
-            done, run = int(place[-1]) + 1, int(runs[-1])
+            done, run = int(place[-1] + w[-1]), int(runs[-1])
             more = [pa.array(place, pa.int64()), pa.array(runs, pa.int64()), pa.array(np.full(n, part, "i4"))]
             yield pa.RecordBatch.from_arrays([*b.columns, *more], [*b.schema.names, name, "__run", "__part"])
 
@@ -76,11 +81,11 @@ def with_places(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
         F.any_value(F.when(F.col("__run") == 0, key), True).alias("first_key"),
         F.max_by(key, "__run").alias("last_key"),
         F.max("__run").alias("last_run"),
-        (F.max_by(name, F.struct("__run", name)) + 1).alias("last_rows"),
+        F.max_by(F.col(name) + (F.lit(1) if weight is None else F.col(weight)), F.struct("__run", name)).alias("last_rows"),
     )
     before = _carried(ends.collect())
     if not before:
         return stored.select(*columns, name)
-    shift = F.broadcast(spark.createDataFrame(before, "__part int, __before long"))
-    goes_on = F.when(F.col("__run") == 0, F.coalesce("__before", F.lit(0))).otherwise(F.lit(0))
+    shift = F.broadcast(spark.createDataFrame(before, "__part int, __carried long"))
+    goes_on = F.when(F.col("__run") == 0, F.coalesce("__carried", F.lit(0))).otherwise(F.lit(0))
     return stored.join(shift, "__part", "left").select(*columns, (F.col(name) + goes_on).alias(name))

@@ -1,33 +1,23 @@
 """Exact grouped quantiles that hold when one group has a large share of all rows.
 
-Groups of bounded size use the built-in exact aggregates. For a group above the bound those
-would gather all its values in one task, so its order statistics are found by narrowing: each
-scan counts, map-side, how many values lie below, on and inside a bracket around the wanted
-rank and sketches the inside, which gives the next bracket. The counts are exact, so a sketch
-that misses only costs another scan, never a wrong value. What reaches one task in the end is
-a bounded number of values per group and rank.
+Values are counted per group first, which combines in the tasks. The distinct ones are dealt by ranges of (group, value), so a
+hot group splits by value, and running sums of the counts tell which ranks each value has. The wanted ranks pick
+their values. That is two shuffles of rows whatever the groups' sizes; no group is in one task, nothing is
+repeated until it fits, and no bound decides between two ways.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from zoneflow.operators.places import with_places
 from zoneflow.sources.workdir import materialise
 
-# Groups up to this many rows are bounded work for one task (some tens of MB of values).
-MAX_GROUP_ROWS = 500_000
-# Narrowing goes on until at most this many values per rank are left to sort.
-MAX_SORT_ROWS = 50_000
-
-_SKETCH_K = 1000  # rank error about 0.3 %, 10 to 20 kB per sketch
-_GRID = 128  # bracket ends are read off the sketch in steps of 1 / 128
-_MERGE_WAYS = 64  # first merge level per hot key, so that no one task merges every partial sketch
-_MAX_ROUNDS = 64
-
 
 @dataclass(frozen=True)
 class Quantile:
@@ -44,198 +34,53 @@ class Quantile:
     strict: bool = False
     method: str = "linear"
 
-    def native(self) -> Column:
-        c = F.col(self.column)
-        if self.method == "linear":
-            value = F.percentile(c, F.lit(self.fraction))
-        else:
-            at = F.least(F.floor(F.count(c) * F.lit(self.fraction)), F.count(c) - 1)
-            value = F.get(F.sort_array(F.collect_list(c)), at.cast("int"))
-        return self._guard(value).alias(self.name)
-
     def approximate(self, accuracy: int = 10_000) -> Column:
-        return self._guard(F.percentile_approx(self.column, self.fraction, accuracy).cast("double")).alias(self.name)
-
-    def _guard(self, value: Column) -> Column:
-        return F.when(F.count(F.lit(1)) == F.count(self.column), value) if self.strict else value
-
-
-def hot_keys(df: DataFrame, keys: Sequence[str], max_group: int) -> DataFrame | None:
-    """Keys with more than ``max_group`` rows as a stored table, or None when there are none.
-
-    Reads the key columns only, once, and counts map-side.
-    """
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    hot = materialise(sizes.filter(F.col("__n") > max_group).select(*keys))
-    return hot if hot.take(1) else None
+        value = F.percentile_approx(self.column, self.fraction, accuracy).cast("double")
+        return (F.when(F.count(F.lit(1)) == F.count(self.column), value) if self.strict else value).alias(self.name)
+
+    def ranks(self, rows: Column, n: Column) -> tuple[Column, Column, Column]:
+        """Lower and upper rank of the quantile among ``n`` values of ``rows`` rows, and the upper one's weight."""
+        wanted = (n > 0) & ((n == rows) if self.strict else F.lit(True))
+        if self.method == "index":
+            at = F.least(F.floor(F.lit(self.fraction) * n), n - 1).cast("double")
+        else:
+            at = F.lit(self.fraction) * (n - 1)
+        rank = lambda r: F.when(wanted, r.cast("long"))
+        return rank(F.floor(at)), rank(F.ceil(at)), at - F.floor(at)
 
 
 def summarise(
-    df: DataFrame,
-    keys: Sequence[str],
-    aggs: Sequence[Column],
-    quantiles: Sequence[Quantile],
-    max_group: int = MAX_GROUP_ROWS,
-    counted: DataFrame | None = None,
+    df: DataFrame, keys: Sequence[str], aggs: Sequence[Column], quantiles: Sequence[Quantile], tasks: int | None = None
 ) -> DataFrame:
-    """``groupBy(keys)`` with ordinary aggregates and exact quantiles. Null keys are dropped.
+    """``groupBy(keys)`` with ordinary aggregates and exact quantiles of double columns. Null keys are dropped.
 
-    The source is read for the key counts (``counted`` may name a cheaper table with the same keys), once for
-    the groups of bounded size, and once to store the rows of the others, which the narrowing then reads.
+    The source is read twice: for the aggregates and for the counts of values. ``tasks``: ranges of (group, value)
+    to make (default: the session's shuffle partitions).
     """
-    keys = list(keys)
+    keys, columns = list(keys), sorted({q.column for q in quantiles})
     df = df.na.drop(subset=keys)
-    one_pass = lambda d: d.groupBy(*keys).agg(*aggs, *(q.native() for q in quantiles))
-    hot = hot_keys((df if counted is None else counted).na.drop(subset=keys), keys, max_group) if quantiles else None
-    if hot is None:
-        return one_pass(df)
-    cold = one_pass(df.join(hot, keys, "left_anti"))
-    stored = materialise(df.join(hot, keys, "left_semi"))
-    return cold.unionByName(_summarise_hot(stored, keys, aggs, quantiles, max_group))
-
-
-def _inside(v: Column, lo: Column, hi: Column) -> Column:
-    return (lo.isNull() | (v > lo)) & (hi.isNull() | (v < hi))
-
-
-def _probe(j: int, rank: Column, n: Column, lo: Column, hi: Column, sketch: Column) -> list[Column]:
-    """Bracket around relative position ``rank`` of the ``n`` sketched values, inside (lo, hi)."""
-    has = F.kll_sketch_get_n_double(sketch) > 0
-    steps = F.expr("array(" + ", ".join(f"{i / _GRID!r}D" for i in range(_GRID + 1)) + ")")
-    grid = F.when(has, F.kll_sketch_get_quantile_double(sketch, steps))
-    at = F.try_divide(rank + 0.5, n) * _GRID
-    below = (F.floor(at) - 1).cast("int")
-    above = (F.ceil(at) + 1).cast("int")
-    return [
-        F.coalesce(F.when(has & (n > 0) & (below >= 0), F.get(grid, below)), lo).alias(f"__p{j}"),
-        F.coalesce(F.when(has & (n > 0) & (above <= _GRID), F.get(grid, above)), hi).alias(f"__q{j}"),
-    ]
-
-
-def _counts(df: DataFrame, keys: list[str], counts: list[Column]) -> DataFrame:
-    """Plain counts per key: compiled, combined map-side, one small row per task and key."""
-    return df.groupBy(*keys).agg(*counts)
-
-
-def _sketches(df: DataFrame, keys: list[str], values: dict[str, Column]) -> DataFrame:
-    """One sketch per key and named value, merged over slices of the input partitions first."""
-    slice_ = F.pmod(F.spark_partition_id(), F.lit(_MERGE_WAYS)).alias("__slice")
-    part = df.groupBy(*keys, slice_).agg(*(F.kll_sketch_agg_double(v, F.lit(_SKETCH_K)).alias(c) for c, v in values.items()))
-    return part.groupBy(*keys).agg(*(F.kll_merge_agg_double(c).alias(c) for c in values))
-
-
-def _any(conditions: list[Column]) -> Column:
-    out = F.lit(False)
-    for c in conditions:
-        out = out | F.coalesce(c, F.lit(False))
-    return out
-
-
-def _state(df: DataFrame, keys: list[str], targets: Sequence[tuple[Quantile, bool]]) -> DataFrame:
-    """First scan: group sizes, wanted ranks and first brackets; the known interval is unbounded."""
-    columns = sorted({q.column for q, _ in targets})
+    if not quantiles:
+        return df.groupBy(*keys).agg(*aggs)
     sizes = [F.count(F.lit(1)).alias("__rows"), *(F.count(c).alias(f"__n_{c}") for c in columns)]
-    raw = _counts(df, keys, sizes).join(_sketches(df, keys, {f"__s_{c}": F.col(c) for c in columns}), keys)
-    out = [F.col("__rows"), *(F.col(f"__n_{c}") for c in columns)]
-    none = F.lit(None).cast("double")
-    for j, (q, upper) in enumerate(targets):
-        n = F.col(f"__n_{q.column}")
-        at = F.lit(q.fraction) * (n - 1)
-        if q.method == "index":
-            rank = F.least(F.floor(F.lit(q.fraction) * n), n - 1)
-        else:
-            rank = F.ceil(at) if upper else F.floor(at)
-        wanted = (n > 0) & ((n == F.col("__rows")) if q.strict else F.lit(True))
-        out += [none.alias(f"__a{j}"), none.alias(f"__b{j}"), n.alias(f"__n{j}")]
-        out += [F.when(wanted, rank.cast("long")).alias(f"__r{j}"), none.alias(f"__x{j}")]
-        out += _probe(j, rank, n, none, none, F.col(f"__s_{q.column}"))
-    return raw.select(*keys, *out)
-
-
-def _narrow(df: DataFrame, state: DataFrame, keys: list[str], targets: Sequence[tuple[Quantile, bool]]) -> DataFrame:
-    """Count the parts of each known interval (a, b) cut by its bracket [p, q]; sketch the middle.
-
-    The sketches are built in a branch of their own that only sees rows of some bracket's middle.
-    """
-    rows = df.join(state, keys)
-    counts, middles, sketches = [], [], {}
-    for j, (t, _) in enumerate(targets):
-        v, p, q = F.col(t.column), F.col(f"__p{j}"), F.col(f"__q{j}")
-        known = F.col(f"__r{j}").isNotNull() & F.col(f"__x{j}").isNull() & _inside(v, F.col(f"__a{j}"), F.col(f"__b{j}"))
-        middle = known & _inside(v, p, q)
-        counts += [
-            F.count_if(known & (v < p)).alias(f"__c{j}_0"),
-            F.count_if(known & (v == p)).alias(f"__c{j}_1"),
-            F.count_if(middle).alias(f"__c{j}_2"),
-            F.count_if(known & (v == q) & (p.isNull() | (v > p))).alias(f"__c{j}_3"),
-        ]
-        middles.append(middle)
-        sketches[f"__s{j}"] = F.when(middle, v)
-    sketched = _sketches(rows.filter(_any(middles)), keys, sketches)
-    seen = state.join(_counts(rows, keys, counts), keys, "left").join(sketched, keys, "left")
-    carried = [c for c in state.columns if c == "__rows" or c.startswith("__n_")]
-    out = [F.col(c) for c in carried]
-    for j in range(len(targets)):
-        a, b, n, r, x, p, q = (F.col(f"__{s}{j}") for s in "abnrxpq")
-        c0, c1, c2, c3 = (F.col(f"__c{j}_{i}") for i in range(4))
-        e1, e2, e3 = c0 + c1, c0 + c1 + c2, c0 + c1 + c2 + c3
-        case = (
-            F.when(r < c0, 0).when(r < e1, 1).when(r < e2, 2).when(r < e3, 3).otherwise(F.when(r.isNotNull(), 4))
-        )
-        case = F.when(x.isNull(), case)
-        lo = F.when(case == 2, p).when(case == 4, q).otherwise(a)
-        hi = F.when(case == 0, p).when(case == 2, q).otherwise(b)
-        left = F.when(case == 0, c0).when(case == 2, c2).when(case == 4, n - e3).otherwise(n)
-        rank = F.when(case == 2, r - e1).when(case == 4, r - e3).otherwise(r)
-        # The sketch covers the middle part only; after a miss the whole known interval is counted next.
-        p2, q2 = _probe(j, rank, left, lo, hi, F.when(case == 2, F.col(f"__s{j}")))
-        out += [lo.alias(f"__a{j}"), hi.alias(f"__b{j}"), left.alias(f"__n{j}"), rank.alias(f"__r{j}")]
-        out += [F.when(case == 1, p).when(case == 3, q).otherwise(x).alias(f"__x{j}"), p2, q2]
-    return seen.select(*keys, *out)
-
-
-def _finish(df: DataFrame, state: DataFrame, keys: list[str], targets: Sequence[tuple[Quantile, bool]]) -> DataFrame:
-    """Last scan: sort what is left of each open interval, a bounded number of values."""
-    picks, opens = [], []
-    for j, (t, _) in enumerate(targets):
-        v = F.col(t.column)
-        open_ = F.col(f"__r{j}").isNotNull() & F.col(f"__x{j}").isNull() & _inside(v, F.col(f"__a{j}"), F.col(f"__b{j}"))
-        opens.append(open_)
-        picks.append(F.sort_array(F.collect_list(F.when(open_, v))).alias(f"__l{j}"))
-    left = state.join(df.join(state, keys).filter(_any(opens)).groupBy(*keys).agg(*picks), keys, "left")
-    value = lambda j: F.coalesce(F.col(f"__x{j}"), F.get(F.col(f"__l{j}"), F.col(f"__r{j}").cast("int")))
-    return left.select(
-        *(c for c in state.columns if not c.startswith("__x")),
-        *(value(j).alias(f"__x{j}") for j in range(len(targets))),
-    )
-
-
-def _summarise_hot(
-    df: DataFrame, keys: list[str], aggs: Sequence[Column], quantiles: Sequence[Quantile], max_group: int
-) -> DataFrame:
-    targets = [(q, upper) for q in quantiles for upper in (False, True)[: 1 if q.method == "index" else 2]]
-    slim = df.select(*keys, *sorted({q.column for q in quantiles}))
-    state = materialise(_state(slim, keys, targets))
-    widest = F.greatest(
-        F.lit(0), *(F.when(F.col(f"__r{j}").isNotNull() & F.col(f"__x{j}").isNull(), F.col(f"__n{j}")) for j in range(len(targets)))
-    )
-    for _ in range(_MAX_ROUNDS):
-        if (state.agg(F.max(widest)).first()[0] or 0) <= min(max_group, MAX_SORT_ROWS):
-            break
-        state = materialise(_narrow(slim, state, keys, targets))
-    else:
-        raise RuntimeError("quantile brackets stopped narrowing")
-    state = materialise(_finish(slim, state, keys, targets))
-    out, j = [], 0
-    for q in quantiles:
-        if q.method == "index":
-            out.append(F.col(f"__x{j}").alias(q.name))
-            j += 1
-        else:
-            at = F.lit(q.fraction) * (F.col(f"__n_{q.column}") - 1)
-            x, y = F.col(f"__x{j}"), F.col(f"__x{j + 1}")
-            # the built-in percentile's own weights, so a value does not depend on its group's size
-            mixed = (F.ceil(at) - at) * x + (at - F.floor(at)) * y
-            out.append(F.when(F.ceil(at) == F.floor(at), x).otherwise(mixed).alias(q.name))
-            j += 2
-    return df.groupBy(*keys).agg(*aggs).join(state.select(*keys, *out), keys)
+    groups = materialise(df.groupBy(*keys).agg(*aggs, *sizes))
+    value = [F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("v")) for i, c in enumerate(columns)]
+    each = df.select(*keys, F.explode(F.array(*value)).alias("__x")).select(*keys, "__x.c", "__x.v").filter("v IS NOT NULL")
+    counted = each.groupBy(*keys, "c", "v").agg(F.count(F.lit(1)).alias("__k"))
+    placed = with_places(counted, [*keys, "c"], ["v"], "__before", weight="__k", tasks=tasks)
+    ranked = placed.join(groups.select(*keys, "__rows", *(f"__n_{c}" for c in columns)), keys)
+    picks, hits = [], []
+    for j, q in enumerate(quantiles):
+        low, high, _ = q.ranks(F.col("__rows"), F.col(f"__n_{q.column}"))
+        for side, r in (("low", low), ("high", high)):
+            hit = (F.col("c") == columns.index(q.column)) & (r >= F.col("__before")) & (r < F.col("__before") + F.col("__k"))
+            hits.append(hit)
+            picks.append(F.max(F.when(hit, F.col("v"))).alias(f"__{side}{j}"))
+    picked = ranked.filter(reduce(lambda a, b: a | b, hits)).groupBy(*keys).agg(*picks)
+    out = groups.join(picked, keys, "left")
+
+    def result(j: int, q: Quantile) -> Column:
+        low, high, share = F.col(f"__low{j}"), F.col(f"__high{j}"), q.ranks(F.col("__rows"), F.col(f"__n_{q.column}"))[2]
+        return F.when(share == 0, low).otherwise((1 - share) * low + share * high).alias(q.name)
+
+    named = [c for c in groups.columns if c not in ("__rows", *(f"__n_{c}" for c in columns))]
+    return out.select(*named, *(result(j, q) for j, q in enumerate(quantiles)))

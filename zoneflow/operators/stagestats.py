@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from zoneflow.operators.quantiles import MAX_GROUP_ROWS, Quantile, summarise
+from zoneflow.operators.quantiles import Quantile, summarise
 from zoneflow.operators.runlog import block_text
 from zoneflow.sources.workdir import materialise
 
@@ -86,6 +86,36 @@ def phase_spans(jobs: DataFrame) -> DataFrame:
     )
 
 
+def busy_times(jobs: DataFrame) -> DataFrame:
+    """``busy_s, idle_s, n_islands`` per phase: the time in which at least one of its jobs ran, and the gaps between.
+
+    Unlike the span, this leaves out time in which only other phases ran. Jobs are taken in order of their start; a job that
+    starts after all before it have ended begins a new island. Jobs without an end, or with one before their start, count
+    for nothing. Touching jobs are one island.
+    """
+    real = jobs.filter("ended_ms >= started_ms").select(*PHASE_KEYS, "started_ms", "ended_ms")
+    order = Window.partitionBy(*PHASE_KEYS).orderBy("started_ms", "ended_ms")
+    before = F.max("ended_ms").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    # what a job adds to the time covered by all that started earlier
+    rows = real.withColumn("before", before)
+    begins = F.col("before").isNull() | (F.col("started_ms") > F.col("before"))
+    adds = F.greatest(F.lit(0), F.col("ended_ms") - F.greatest("started_ms", F.coalesce("before", "started_ms")))
+    seconds = lambda ms: F.round(ms / 1000, 1)
+    return rows.select(*PHASE_KEYS, begins.alias("begins"), adds.alias("adds"), "started_ms", "ended_ms").groupBy(*PHASE_KEYS).agg(
+        seconds(F.sum("adds")).alias("busy_s"),
+        seconds(F.max("ended_ms") - F.min("started_ms") - F.sum("adds")).alias("idle_s"),
+        F.count_if("begins").alias("n_islands"),
+    )
+
+
+def run_nodes(events: DataFrame) -> DataFrame:
+    """``run, n_executors, nodes``: executors a run gained and the hosts they were on, from its event log."""
+    added = events.filter(F.col("Event") == "SparkListenerExecutorAdded").select("run", "Executor ID", F.col("Executor Info")["Host"].alias("host"))
+    # one row per executor and host first, so that a long log is not one group
+    each = added.groupBy("run", "host").agg(F.count_distinct("Executor ID").alias("n"))
+    return each.groupBy("run").agg(F.sum("n").alias("n_executors"), F.count("host").alias("nodes"))
+
+
 def with_defaults(attempts: DataFrame) -> DataFrame:
     """Attempt records with optional fields absent or null: attempt 0, COMPLETE, zero counts."""
     zeros = ["attempt_id", "num_failed_tasks", "num_complete_tasks", "num_tasks", "shuffle_write_bytes", "shuffle_read_bytes"]
@@ -119,17 +149,17 @@ def latest_attempts(attempts: DataFrame) -> DataFrame:
     return latest.select(*RUN_STAGE, "latest.*", "n_attempts", retried.alias("retried"))
 
 
-def task_quantiles(tasks: DataFrame, max_group: int = MAX_GROUP_ROWS) -> DataFrame:
+def task_quantiles(tasks: DataFrame, chunks: int | None = None) -> DataFrame:
     """Least, middle and greatest run time of the successful tasks of each stage attempt.
 
-    The middle is the sorted element at ``floor(n / 2)``; it is not interpolated.
+    The middle is the sorted element at ``floor(n / 2)``; it is not interpolated. ``chunks``: see ``summarise``.
     """
     return summarise(
         tasks.filter("ok").select(*RUN_STAGE, "attempt_id", F.col("run_ms").cast("double").alias("run_ms")),
         [*RUN_STAGE, "attempt_id"],
         [F.min("run_ms").alias("min_ms"), F.max("run_ms").alias("max_ms")],
         [Quantile("med_ms", "run_ms", 0.5, method="index")],
-        max_group,
+        chunks,
     )
 
 
@@ -180,12 +210,12 @@ def with_degraded(phases: DataFrame, rollup: DataFrame, keys: Sequence[str] = PH
     )
 
 
-def rollup_events(events: DataFrame, max_group: int = MAX_GROUP_ROWS) -> DataFrame:
+def rollup_events(events: DataFrame) -> DataFrame:
     """Event log to phase rows. The events are stored once, so the log text is parsed once."""
     events = materialise(events)
     jobs = event_jobs(events)
     latest = latest_attempts(event_attempts(events).join(stage_phases(jobs), RUN_STAGE, "left"))
-    rollup = phase_rollup(latest, task_quantiles(event_tasks(events), max_group))
+    rollup = phase_rollup(latest, task_quantiles(event_tasks(events)))
     return with_degraded(phase_spans(jobs), rollup)
 
 

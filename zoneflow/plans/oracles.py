@@ -155,6 +155,15 @@ led AS (
          CASE WHEN l_linenumber = 7 THEN 'scan' WHEN l_linenumber <= 3 THEN 'A_aggregate' ELSE 'B_fit' END AS phase,
          l_quantity AS wall_s, l_discount * 100 AS startup_s, l_partkey AS instance_type FROM lineitem)"""
 
+# The same stages under the names of twenty applications.
+APP_STAGES = STAGES.replace("o_custkey AS run", "'app-' || (o_custkey % 20) AS run")
+SKEWED = "k AS (SELECT CASE WHEN l_orderkey % 10 < 3 THEN 0 ELSE l_partkey END AS key FROM lineitem)"
+
+
+def _exact_hash() -> str:
+    keys = " || '/' || ".join(f"CAST({k} AS VARCHAR)" for k in [*ROW_KEYS, "l_extendedprice"])
+    return f"CAST('0x' || substr(md5('sample436/' || {keys}), 1, 15) AS BIGINT)"
+
 
 def _at(value: str, nodes: int) -> str:
     return f"max(CASE WHEN nodes = {nodes} THEN {value} END)"
@@ -291,6 +300,30 @@ WHERE starts_with(line, 'The') OR starts_with(line, 'Copyright') OR starts_with(
     died OR odd OR price * d * 125 * 8 / 1e9 / l_linenumber < 12.5 AS rate_ok,
     CASE WHEN died OR odd THEN l_suppkey % 2 = 0 OR l_linenumber = 4 END AS executors_ok FROM li)
 SELECT *, blocks_ok AND mode_ok AND retried_ok AND pin_ok AND bytes_ok AND rate_ok AND coalesce(executors_ok, true) AS valid FROM c""",
+    "rolled_event_logs": f"WITH {APP_STAGES}, {ROLLUP} SELECT * FROM rolled",
+    "run_nodes": """SELECT 'app-' || (o_custkey % 20) AS run, count(*) AS n_executors, count(DISTINCT o_orderpriority) AS nodes
+  FROM orders GROUP BY ALL""",
+    "busy_times": """WITH j AS (
+  SELECT o_custkey % 20 AS run, CASE WHEN o_orderkey % 7 <> 0 THEN o_orderpriority END AS phase, o_orderkey * 1000 AS t0,
+         o_orderkey * 1000 + CAST(floor(o_totalprice) AS BIGINT) * 100 AS t1 FROM orders WHERE o_orderkey % 11 <> 0),
+b AS (SELECT *, coalesce(t0 > max(t1) OVER (PARTITION BY run, phase ORDER BY t0, t1 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true) AS new FROM j),
+i AS (SELECT *, sum(CAST(new AS INTEGER)) OVER (PARTITION BY run, phase ORDER BY t0, t1 ROWS UNBOUNDED PRECEDING) AS island FROM b),
+s AS (SELECT run, phase, island, min(t0) AS t0, max(t1) AS t1 FROM i GROUP BY ALL)
+SELECT run, phase, round(CAST(sum(t1 - t0) AS DOUBLE) / 1000, 1) AS busy_s,
+       round(CAST(max(t1) - min(t0) - sum(t1 - t0) AS DOUBLE) / 1000, 1) AS idle_s, count(*) AS n_islands FROM s GROUP BY run, phase""",
+    "hot_keys": f"WITH {SKEWED} SELECT key, count(*) AS n FROM k GROUP BY key HAVING count(*) >= ceil(0.01 * (SELECT count(*) FROM k))",
+    "split_hot_key": "SELECT count(*) AS n_rows, CAST(10 AS BIGINT) AS hot_chunks, true AS even FROM lineitem",
+    "exact_sample": f"""SELECT {KEYS}, l_extendedprice FROM lineitem ORDER BY {_exact_hash()}, {KEYS}, l_extendedprice LIMIT 20000""",
+    "kfold_by_place": f"""SELECT {KEYS}, l_extendedprice,
+  CAST((row_number() OVER (ORDER BY {KEYS}, l_extendedprice) - 1) % 5 AS INTEGER) AS fold FROM lineitem""",
+    "changed_rows": """WITH a AS (SELECT l_linenumber, l_returnflag, l_linestatus, l_tax, count(*) AS n FROM lineitem
+  WHERE l_linenumber = 7 AND l_returnflag = 'R' GROUP BY ALL)
+SELECT l_linenumber, l_returnflag, l_linestatus, l_tax, n AS n_left, CAST(0 AS BIGINT) AS n_right FROM a WHERE l_tax IS NOT NULL
+UNION ALL SELECT l_linenumber, l_returnflag, l_linestatus, NULL, 0, CAST(sum(n) AS BIGINT) FROM a WHERE l_tax IS NOT NULL GROUP BY ALL""",
+    "grid_task_map": f"""WITH {TRIPS}, f AS (SELECT {FOLD} AS fold, count(*) AS n, sum(trip_distance) AS s FROM m GROUP BY ALL),
+c AS (SELECT CAST(range AS INTEGER) AS combo, CAST(range + 1 AS INTEGER) AS rounds FROM range(4))
+SELECT combo, fold, rounds, CAST((SELECT sum(n) FROM f) - n AS BIGINT) AS n_train,
+       {r('((SELECT sum(s) FROM f) - s) / ((SELECT sum(n) FROM f) - n) * (1 - power(0.5, rounds))', 6, 'damped')} FROM f, c""",
     "stage_rollup": f"WITH {STAGES}, {ROLLUP} SELECT * FROM rolled",
     "event_ledger": f"""WITH {STAGES}, {ROLLUP}
 SELECT run, '2_emr' AS stage, 'r-1' AS resource_id, '4' AS nodes, split_part(coalesce(phase, 'None'), ' ', 1) AS phase, '' AS predicted_s,

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from zoneflow.functions.exprs import megabytes_per_second, seconds_between
 from zoneflow.functions.formats import BLOCK_MARK, EXECUTOR_MARK
-from zoneflow.operators import agg, cv, features, ledger, matrix, runlog, sampling, stagestats
+from zoneflow.operators import agg, compare, cv, features, heavy, ledger, matrix, runlog, sampling, stagestats
 from zoneflow.plans import tables as t
 from zoneflow.sources import files, logs, workdir
 from zoneflow.sources.workdir import materialise, new_path
@@ -132,17 +132,20 @@ def stored_matrix(spark, sf):
     """The model matrix written once and read back, with what was stored beside what was meant."""
     meant = matrix.model_matrix(t.trips(spark, sf), *t.WINDOW)
     stored = materialise(meant)
-    shape = lambda d, name: d.agg(F.count(F.lit(1)).alias("rows_out"), F.bit_xor(F.xxhash64(*d.columns)).alias("digest")).select(
-        F.lit(name).alias("side"), "rows_out", "digest"
-    )
-    both = shape(meant, "meant").unionAll(shape(stored, "stored"))
-    return both.agg(
-        F.max("rows_out").alias("rows_out"),
-        (F.min("rows_out") == F.max("rows_out")).alias("same_rows"),
-        (F.min("digest") == F.max("digest")).alias("same_values"),
+    off = compare.differing_rows(meant, stored).agg(F.count(F.lit(1)).alias("off"))
+    return stored.agg(F.count(F.lit(1)).alias("rows_out")).join(off).select(
+        "rows_out", (F.col("off") == 0).alias("same_rows"), (F.col("off") == 0).alias("same_values")
     )
 
 
+@query
+def changed_rows(spark, sf):
+    """One of two equal rows changed in a copy: what the comparison of the two tables names."""
+    rows = t.table(spark, sf, "lineitem").select("l_linenumber", "l_returnflag", "l_linestatus", "l_tax")
+    changed = F.when((F.col("l_linenumber") == 7) & (F.col("l_returnflag") == "R"), F.lit(None)).otherwise(F.col("l_tax"))
+    return compare.differing_rows(rows, rows.withColumn("l_tax", changed))
+
+
 @query
 def matrix_profile(spark, sf):
     out = matrix.matrix_profile(t.trips(spark, sf), *t.WINDOW)
@@ -205,7 +208,7 @@ FEATURE_VALUES = ("mean_fare", "mean_tip_ratio", "p90_distance", "fare_per_km")
 
 
 def _zone_features(spark, sf, **kw) -> DataFrame:
-    out = features.zone_features(_joined(spark, sf), keys_from=_matrix(spark, sf), **kw)
+    out = features.zone_features(_joined(spark, sf), **kw)
     return rounded(out.withColumnRenamed("PULocationID", "zone"), 6, *FEATURE_VALUES)
 
 
@@ -216,8 +219,8 @@ def zone_features(spark, sf):
 
 @query
 def zone_features_skewed(spark, sf):
-    """The narrowing path for hot zones, made to run by a low group bound."""
-    return _zone_features(spark, sf, max_group=64)
+    """Many more ranges than zones, so that most zones' values lie in several tasks."""
+    return _zone_features(spark, sf, tasks=64)
 
 
 @query
@@ -295,6 +298,39 @@ def target_sample(spark, sf):
     return sampling.sample_rows(rows, t.ROW_KEYS, target=20_000).select(*t.ROW_KEYS)
 
 
+@query
+def exact_sample(spark, sf):
+    """Exactly 20,000 rows (or all), whatever the table's size."""
+    return sampling.sample_exactly(t.table(spark, sf, "lineitem").select(*t.ROW_KEYS, "l_extendedprice"), [*t.ROW_KEYS, "l_extendedprice"], 20_000)
+
+
+@query
+def kfold_by_place(spark, sf):
+    """Folds by place in the order of all keys; lines that share them are told apart by price."""
+    order = [*t.ROW_KEYS, "l_extendedprice"]
+    return sampling.with_folds_by_place(t.table(spark, sf, "lineitem").select(*order), order)
+
+
+@query
+def hot_keys(spark, sf):
+    """Parts and customers in one key column with one key at three tenths: those with at least a hundredth of the rows, counted."""
+    return heavy.heavy_keys(_skewed_lines(spark, sf), ["key"], share=0.01)
+
+
+def _skewed_lines(spark, sf) -> DataFrame:
+    key = F.when(F.col("l_orderkey") % 10 < 3, F.lit(0).cast("long")).otherwise(F.col("l_partkey"))
+    return t.table(spark, sf, "lineitem").select(key.alias("key"), "l_orderkey", "l_linenumber")
+
+
+@query
+def split_hot_key(spark, sf):
+    """Sixteen chunks of a table with one key at three tenths: all rows are there, and no chunk has twice the mean."""
+    rows = materialise(heavy.repartition_split(_skewed_lines(spark, sf), "key", 16).withColumn("chunk", F.spark_partition_id()))
+    # a key's rows in chunks of their own: keys below half a mean chunk are whole
+    chunks = rows.groupBy("chunk").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("key") == 0).alias("hot"))
+    return chunks.agg(F.sum("n").alias("n_rows"), F.count_if(F.col("hot") > 0).alias("hot_chunks"), (F.max("n") <= 2 * F.sum("n") / 16).alias("even"))
+
+
 @query
 def kfold_assign(spark, sf):
     return sampling.with_folds(t.table(spark, sf, "lineitem").select(*t.ROW_KEYS), t.ROW_KEYS)
@@ -351,21 +387,30 @@ def kfold_train_stats(spark, sf):
 def pinned_partitions(spark, sf):
     """Rows per chunk when the number of chunks is pinned: all 16 exist, and every row is in one."""
     with workdir.pinned_partitions(spark, 16):
+        # the shuffle of an ordinary grouping, which adaptive execution would merge into fewer chunks
+        groups = _matrix(spark, sf).groupBy("PULocationID").agg(F.count(F.lit(1)).alias("n"))
+        chunks = groups.groupBy(F.spark_partition_id().alias("chunk")).agg(F.sum("n").alias("n"))
+        seen = materialise(chunks).agg(F.max("chunk")).first()[0]
         rows = materialise(features.repartition_by_key(_matrix(spark, sf), "PULocationID", 16).withColumn("chunk", F.spark_partition_id()))
     return rows.agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_distinct("PULocationID").alias("n_keys"),
         (F.count_distinct("chunk", "PULocationID") == F.count_distinct("PULocationID")).alias("whole_keys"),
-        (F.max("chunk") < 16).alias("pinned"),
+        (F.lit(8 <= (seen or 0) < 16) & (F.count_distinct("chunk") > 4) & (F.max("chunk") < 16)).alias("pinned"),
     )
 
 
 @query
 def grid_parallelism(spark, sf):
     """Cells of the grid and how many of them run at once: no more than there are."""
+    cores, n = spark.sparkContext.defaultParallelism, cv.COMBOS * cv.FOLDS
     few, many = (cv.effective_parallelism(spark, n) for n in (1, 10**9))
-    cells = cv.grid(spark).join(_folds(spark, sf), "fold")
-    return cells.agg(F.count(F.lit(1)).alias("cells"), F.lit(few).cast("int").alias("one_cell"), F.lit(many >= 1).alias("some"))
+    # as many tasks as cells, and no more of them at once than there are cores
+    spread = cv.grid(spark).withColumn("task", F.spark_partition_id()).join(_folds(spark, sf), "fold")
+    return spread.agg(
+        F.count(F.lit(1)).alias("cells"), F.lit(few).cast("int").alias("one_cell"),
+        (F.lit(many == cores and cv.effective_parallelism(spark, n) == min(cores, n)) & (F.count_distinct("task") == F.count(F.lit(1)))).alias("some"),
+    )
 
 
 def _folds(spark, sf) -> DataFrame:
@@ -385,6 +430,22 @@ def grid_map(spark, sf):
     return rounded(cv.grid_scores(design, ["trip_distance"], combos=4, rounds=1), 2, "score")
 
 
+@query
+def grid_task_map(spark, sf):
+    """A user's function in one task per cell of the grid, with the cell's fold beside it: rows and mean of the other folds."""
+    rows = sampling.with_folds(_matrix(spark, sf, *t.ROW_KEYS), t.ROW_KEYS)
+    sums = rows.groupBy("fold").agg(F.count(F.lit(1)).alias("n"), F.sum("trip_distance").alias("s"))
+    side = materialise(sums.agg(F.sum("n").alias("n_all"), F.sum("s").alias("s_all")).join(sums))
+
+    def score(cells):
+        others = cells["n_all"] - cells["n"]
+        mean = (cells["s_all"] - cells["s"]) / others
+        return cells.assign(n_train=others, damped=mean * (1 - 0.5 ** cells["rounds"]))[["combo", "fold", "rounds", "n_train", "damped"]]
+
+    cells = cv.grid(spark, combos=4, rounds=1)
+    return rounded(cv.grid_map(cells, side, score, "combo int, fold int, rounds int, n_train long, damped double"), 6, "damped")
+
+
 @query
 def grid_scores_two(spark, sf):
     """Two features and few rounds: the solve itself shows in the score."""
@@ -421,6 +482,8 @@ def parse_log_files(spark, sf):
     """The same logs stored as text files, read back in sections and parsed: blocks per phase."""
     path = new_path(spark, "logs")
     t.run_logs(spark, sf).select("text").write.text(path)
+    # logs that never printed a block or an end mark: whole documents
+    t.table(spark, sf, "documents").select(F.coalesce("text", F.lit("")).alias("text")).write.mode("append").text(path)
     blocks = runlog.parse_blocks(logs.read_log_sections(spark, path), keep=["path", "start", "seq"])
     wall = F.col("kv")["wall_s"].cast("long")
     return blocks.groupBy(F.col("kv")["phase"].alias("phase"), F.col("kv")["mode"].alias("mode")).agg(
@@ -500,6 +563,55 @@ def event_ledger(spark, sf):
     return runlog.ledger_rows(blocks, "r-1", 4, keep=["run"])
 
 
+def _applications(spark, sf) -> DataFrame:
+    """Event lines of twenty applications, with the line that starts each."""
+    lines = t.event_lines(spark, sf).select((F.col("run") % 20).alias("run"), "line")
+    text = lambda c: F.concat(F.lit("app-"), c.cast("string"))
+    pair = lambda *fields: F.to_json(F.struct(*fields)).alias("line")
+    begun = lines.select("run").distinct().select(
+        "run", pair(F.lit("SparkListenerApplicationStart").alias("Event"), text(F.col("run")).alias("App ID"), F.lit("1").alias("App Attempt ID"))
+    )
+    orders = t.table(spark, sf, "orders")
+    added = orders.select(
+        (F.col("o_custkey") % 20).alias("run"),
+        pair(F.lit("SparkListenerExecutorAdded").alias("Event"), F.col("o_orderkey").cast("string").alias("Executor ID"),
+             F.struct(F.col("o_orderpriority").alias("Host")).alias("Executor Info")),
+    )
+    return lines.unionAll(begun).unionAll(added)
+
+
+def _rolled(spark, sf) -> DataFrame:
+    """The applications' events from stored, rolled logs: a folder each, three numbered parts, the first two compacted into one."""
+    path, place = new_path(spark, "events"), F.pmod(F.xxhash64("line"), F.lit(3)).cast("int") + 1
+    name = lambda number, end: F.concat(F.lit("events_"), number.cast("string"), F.lit("_app-"), F.col("run").cast("string"), F.lit(end))
+    begins = F.col("line").contains("ApplicationStart")
+    dealt = _applications(spark, sf).withColumn("part", F.when(begins, 1).otherwise(place))
+    folder = F.concat(F.lit("eventlog_v2_app-"), F.col("run").cast("string")).alias("folder")
+    parts = dealt.select(folder, name(F.col("part"), "").alias("file"), "line").filter(~F.col("file").startswith("events_2_"))
+    compact = dealt.filter("part <= 2").select(folder, name(F.lit(2), ".compact").alias("file"), "line")
+    parts.unionAll(compact).repartition("folder", "file").write.partitionBy("folder", "file").option("compression", "gzip").text(path)
+    return materialise(logs.read_event_log(spark, path))
+
+
+@query
+def rolled_event_logs(spark, sf):
+    """The rollup of applications whose logs lie in several compressed parts, one of them told twice."""
+    events = _rolled(spark, sf)
+    return stagestats.rollup_events(events.withColumn("run", F.col("app_id")))
+
+
+@query
+def run_nodes(spark, sf):
+    """Executors and hosts of every application, from its rolled log."""
+    return stagestats.run_nodes(_rolled(spark, sf).withColumn("run", F.col("app_id")))
+
+
+@query
+def busy_times(spark, sf):
+    """Time in which a phase's jobs ran, where jobs of one phase overlap and others run between them."""
+    return stagestats.busy_times(stagestats.event_jobs(logs.parse_events(_applications(spark, sf))))
+
+
 @query
 def latest_attempts(spark, sf):
     events = _events(spark, sf)
@@ -515,8 +627,8 @@ def task_quantiles(spark, sf):
 
 @query
 def task_quantiles_skewed(spark, sf):
-    """The narrowing path for hot stages, made to run by a low group bound."""
-    return stagestats.task_quantiles(stagestats.event_tasks(_events(spark, sf)), max_group=6)
+    """More ranges than the session makes, so that stages' times lie in several tasks."""
+    return stagestats.task_quantiles(stagestats.event_tasks(_events(spark, sf)), chunks=64)
 
 
 @query

@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zoneflow.functions.formats import BLOCK_END, BLOCK_MARK
 from zoneflow.sources.workdir import broadcast_if_small, materialise
 
-_RECORD_END = "\n" + BLOCK_END
+# Characters of an open block that one row holds.
+PIECE_CHARS = 1 << 16
+
+_PIECES = "path string, start long, seq long, piece long, text string, ends boolean, opens long, early boolean"
+_BOUNDS, _HEAD = -2, -1  # in place of a section's number
 
 
 def read_log_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -19,40 +26,193 @@ def read_log_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame
     return raw.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("line"))
 
 
+def _split_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """``path, start, line``: lines in the order of the file, those of a split next to one another."""
+    raw = spark.read.option("lineSep", "\n").text(paths)
+    return raw.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), F.col("value").alias("line"))
+
+
+def _by_split(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, pa.Array]]:
+    """``(path, start), lines``: batches cut where another split begins."""
+    for b in batches:
+        n = b.num_rows
+        if not n:
+            continue
+        codes, start = b.column(0).dictionary_encode().indices.to_numpy(), b.column(1).to_numpy()
+        cuts = [0, *(np.flatnonzero((np.diff(codes) != 0) | (np.diff(start) != 0)) + 1).tolist(), n]
+        for lo, hi in zip(cuts, cuts[1:]):
+            yield (b.column(0)[lo].as_py(), int(start[lo])), b.column(2).slice(lo, hi - lo)
+
+
+class _Section:
+    """Text of one section in pieces of bounded size. Runs of lines without a pair become one line, which parses the same."""
+
+    def __init__(self, seq: int):
+        self.seq, self.piece, self.lines, self.size, self.run = seq, 0, [], 0, None
+
+    def add(self, line: str) -> None:
+        if "=" in line:
+            self.lines += [line] if self.run is None else [self.run, line]
+            self.size, self.run = self.size + len(line), None
+        else:
+            self.run = "." if self.run == "." or line.strip() else ""
+
+    def row(self, split: tuple, ends: bool) -> tuple:
+        lines = self.lines if self.run is None else [*self.lines, self.run]
+        out = (*split, self.seq, self.piece, "\n".join(lines) if lines else None, ends, None, None)
+        self.piece, self.lines, self.size, self.run = self.piece + 1, [], 0, None
+        return out
+
+
+def _scan(parts: Iterator[tuple[tuple, pa.Array]]) -> Iterator[tuple]:
+    """Pieces of the sections of each split, as if no section were open where it begins, and how the split ends.
+
+    A section begins at the first block mark after an end mark, or after the split's begin, and is closed by the next line
+    that starts with the end mark. Its last piece ``ends`` it, unless it is open at the split's end. One row with
+    ``seq = _BOUNDS`` says whether the split has an end mark (``ends``), which section it leaves open (``opens``), and whether
+    section 0 began before the first end mark (``early``): if another section is open already, that one is none.
+    """
+    split, section, seq, ended, early = None, None, 0, False, False
+
+    def finish() -> Iterator[tuple]:
+        if split is not None:
+            if section is not None:
+                yield section.row(split, False)
+            yield (*split, _BOUNDS, 0, None, ended, section.seq if section is not None else None, early)
+
+    for here, lines in parts:
+        if here != split:
+            yield from finish()
+            split, section, seq, ended, early = here, None, 0, False, False
+        # outside of sections only lines with a mark matter
+        marks = np.flatnonzero(pc.match_substring_regex(lines, f"^{BLOCK_END}|{BLOCK_MARK}").to_numpy(zero_copy_only=False))
+        at = 0
+        while at < len(lines):
+            if section is None:
+                k = np.searchsorted(marks, at)
+                if k == len(marks):
+                    break
+                at = int(marks[k])
+            line = lines[at].as_py()
+            at += 1
+            if line.startswith(BLOCK_END):
+                if section is not None:
+                    yield section.row(split, True)
+                section, ended, line = None, True, line[len(BLOCK_END) :]
+            if section is not None:
+                section.add(line)
+                if section.size > PIECE_CHARS:
+                    yield section.row(split, False)
+            elif BLOCK_MARK in line:
+                section, seq, early = _Section(seq), seq + 1, early or not ended
+                section.add(line[line.index(BLOCK_MARK) :])
+    yield from finish()
+
+
+def _scan_heads(parts: Iterator[tuple[tuple, pa.Array]]) -> Iterator[tuple]:
+    """What each split holds of a section that is open where it begins: its lines up to the first end mark."""
+    split, section = None, None
+    for here, lines in parts:
+        if here != split:
+            if section is not None:
+                yield section.row(split, False)
+            split, section = here, _Section(_HEAD)
+        if section is None:
+            continue
+        closes = np.flatnonzero(pc.starts_with(lines, BLOCK_END).to_numpy(zero_copy_only=False))
+        for line in lines.slice(0, int(closes[0]) if len(closes) else None):
+            section.add(line.as_py())
+            if section.size > PIECE_CHARS:
+                yield section.row(split, False)
+        if len(closes):
+            yield section.row(split, True)
+            section = None
+    if section is not None:
+        yield section.row(split, False)
+
+
+def _pieces(lines: DataFrame, scan) -> DataFrame:
+    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.int64(), pa.bool_()]
+        names, rows, size = [c.split()[0] for c in _PIECES.split(", ")], [], 0
+        batch = lambda: pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+        for r in scan(_by_split(batches)):
+            rows.append(r)
+            size += len(r[4] or "")
+            if size > 16 * PIECE_CHARS or len(rows) > 10_000:
+                yield batch()
+                rows, size = [], 0
+        if rows:
+            yield batch()
+
+    return lines.mapInArrow(mapped, _PIECES)
+
+
+def _open_at_begin(bounds: DataFrame) -> DataFrame:
+    """``path, start, from_start, from_seq, ends``: splits that begin inside a section, and which section it is.
+
+    One small row per split streams by in the order of the file; what goes from one to the next is the open section.
+    """
+
+    def folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        path, inside = None, None
+        names = ["path", "start", "from_start", "from_seq", "ends"]
+        for b in batches:
+            out = []
+            for p, start, ends, opens in zip(*(c.to_pylist() for c in b.columns)):
+                path, inside = p, inside if p == path else None
+                if inside is not None:
+                    out.append((p, start, *inside, ends))
+                if ends or inside is None:
+                    inside = None if opens is None else (start, opens)
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], names)
+
+    rows = bounds.select("path", "start", "ends", "opens").repartition("path").sortWithinPartitions("path", "start")
+    return rows.mapInArrow(folded, "path string, start long, from_start long, from_seq long, ends boolean")
+
+
 def read_log_sections(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """``path, start, seq, text``: logs cut after every block end, without the plain lines before a block.
+    """``path, start, seq, text``: what every log holds from a block mark to the next end mark, which closes it.
 
-    The end marker is the record separator, so one large log is still read by many tasks. The logs are
-    scanned once; what is stored of a record is its text from the first block mark on, so a log without any
-    block keeps a length and no text. (``start``, ``seq``) orders a file's sections. The text after
-    the last marker never closes a block and gets no end marker back.
+    Logs are read line by line, so neither a log without an end mark nor the lines between blocks are ever one
+    record; the rows of a task are pieces of bounded size. Each split is scanned by itself, one small row per split tells how
+    it begins and ends, and these rows, in the order of the file, tell which splits begin inside a section. Only if such a
+    section is closed later are those files read again, for the lines that were taken for plain text at first.
+    An unclosed section is no section. Of the lines after the mark only those with a ``=`` are kept, and one line for each
+    run of others. (``start``, ``seq``) orders a file's sections.
     """
-    meta = F.col("_metadata")
-    raw = spark.read.option("lineSep", _RECORD_END).text(paths)
-    raw = materialise(
-        raw.select(
-            meta["file_path"].alias("path"),
-            meta["file_block_start"].alias("start"),
-            F.monotonically_increasing_id().alias("seq"),
-            meta["file_size"].alias("size"),
-            F.octet_length("value").alias("bytes"),
-            F.when(F.instr("value", BLOCK_MARK) > 0, F.substr("value", F.instr("value", BLOCK_MARK))).alias("text"),
-        )
-    )
-    # A file whose sections plus one marker each exceed its size does not end with a marker:
-    # its last section is open.
-    ends = raw.groupBy("path").agg(
-        (F.sum(F.col("bytes") + len(_RECORD_END)) > F.max("size")).alias("open"), F.max(F.struct("start", "seq")).alias("last")
-    )
-    still_open = ends.filter("open").select("path", "last.start", "last.seq", "open")
-    closed = raw.filter("text IS NOT NULL").join(broadcast_if_small(still_open), ["path", "start", "seq"], "left")
-    text = F.when(F.col("open").isNull(), F.concat("text", F.lit(_RECORD_END))).otherwise(F.col("text"))
-    return closed.select("path", "start", "seq", text.alias("text"))
+    found = materialise(_pieces(_split_lines(spark, paths), _scan))
+    bounds = found.filter(F.col("seq") == _BOUNDS)
+    inside = materialise(_open_at_begin(bounds))
+    names = ["path", "from_start", "from_seq"]
+    closed = inside.filter("ends").select(*names).distinct()
+    goes_on = materialise(inside.join(closed, names))
+    pieces = found.filter(F.col("seq") >= 0).select("path", F.col("start").alias("from_start"), F.col("seq").alias("from_seq"), "start", "piece", "text", "ends")
+    if inside.take(1):
+        wrong = bounds.filter("early").join(inside.select("path", "start"), ["path", "start"], "left_semi")
+        wrong = wrong.select("path", "start", F.lit(0).cast("long").alias("from_seq"))
+        pieces = pieces.join(broadcast_if_small(materialise(wrong)), ["path", "start", "from_seq"], "left_anti").select(*pieces.columns)
+    if goes_on.take(1):
+        again = [r["path"] for r in goes_on.select("path").distinct().collect()]
+        wanted = broadcast_if_small(goes_on.select("path", "start"))
+        lines = _split_lines(spark, again).join(wanted, ["path", "start"], "left_semi")
+        heads = _pieces(lines, _scan_heads).join(broadcast_if_small(goes_on.drop("ends")), ["path", "start"])
+        pieces = pieces.unionByName(heads.select(*pieces.columns))
+    # nearly all sections are one closed piece; only those in several are put together, and never an unclosed one
+    short = F.col("ends") & (F.col("piece") == 0) & (F.col("start") == F.col("from_start"))
+    parts = pieces.filter(~short)
+    parts = parts.join(parts.filter("ends").select(*names), names, "left_semi")
+    order = F.sort_array(F.collect_list(F.struct("start", "piece", "text")))
+    joined = parts.filter("text IS NOT NULL").groupBy(*names).agg(F.array_join(F.transform(order, lambda x: x["text"]), "\n").alias("text"))
+    whole = pieces.filter(short).select(*names, "text").unionByName(joined)
+    return whole.select("path", F.col("from_start").alias("start"), F.col("from_seq").alias("seq"), F.concat("text", F.lit("\n" + BLOCK_END)).alias("text"))
 
 
 # The event-log fields the stage rollup needs; a given schema saves the inference pass.
 EVENT_SCHEMA = """
-    `Event` string, `Job ID` long, `Stage IDs` array<long>, `Submission Time` long,
+    `Event` string, `App ID` string, `App Attempt ID` string, `Executor ID` string, `Executor Info` struct<`Host`: string>,
+    `Job ID` long, `Stage IDs` array<long>, `Submission Time` long,
     `Completion Time` long, `Properties` map<string, string>,
     `Stage ID` long, `Stage Attempt ID` long,
     `Stage Info` struct<`Stage ID`: long, `Stage Attempt ID`: long, `Number of Tasks`: long,
@@ -64,11 +224,55 @@ EVENT_SCHEMA = """
         `Shuffle Write Metrics`: struct<`Shuffle Bytes Written`: long>>
 """
 
+# How a rolled log is laid out. A folder per application attempt holds numbered parts; a compacted part
+# stands for itself and all parts up to its number. Status files hold no events.
+ROLLED_FOLDER = r"^(.*[/=]eventlog_v2_[^/]+)/"
+ROLLED_PART = r"[/=]events_(\d+)_([^/]*)"
+COMPACTED = r"\.compact(?:/|$)"
+STATUS_FILE = r"/appstatus_[^/]*$"
+
+
+def part_of(path: Column | str) -> dict[str, Column]:
+    """``run``, ``part`` and ``compacted`` of an event file, from its path.
+
+    The parts in an ``eventlog_v2_...`` folder (also one that a column partitions by) are one run, named by it; loose parts with the same name but for their
+    number are one run; any other file is a run of its own, with one part.
+    """
+    path = F.col(path) if isinstance(path, str) else path
+    rolled, number = F.regexp_extract(path, ROLLED_FOLDER, 1), F.regexp_extract(path, ROLLED_PART, 1)
+    loose = F.concat(F.regexp_extract(path, r"^(.*)[/=]events_\d+_", 1), F.lit("/"), F.regexp_replace(F.regexp_extract(path, ROLLED_PART, 2), r"\..*", ""))
+    run = F.when(rolled != "", rolled).when(number != "", loose).otherwise(path)
+    part = F.when(number != "", number.cast("long")).otherwise(F.lit(1).cast("long"))
+    return {"run": run, "part": part, "compacted": path.rlike(COMPACTED)}
+
+
+def with_runs(events: DataFrame, path: str = "path") -> DataFrame:
+    """Add ``run, part, app_id, attempt`` to events that carry the path of their file, and leave out what was compacted.
+
+    A job, its stages and its tasks may lie in different parts, so everything downstream goes by ``run``. The application's id
+    stands in one event of one part; it is carried to all rows of the run (null: no part names it). Parts up to the
+    latest compacted one are told again by that one and are left out.
+    """
+    named = events.withColumns(part_of(path)).filter(~F.col(path).rlike(STATUS_FILE))
+    latest = named.filter("compacted").groupBy("run").agg(F.max("part").alias("__from"))
+    started = named.filter(F.col("Event") == "SparkListenerApplicationStart").groupBy("run").agg(
+        F.max_by(F.struct(F.col("App ID").alias("app_id"), F.col("App Attempt ID").alias("attempt")), "part").alias("__app")
+    )
+    # one row per run; most logs are not compacted
+    told = broadcast_if_small(materialise(started.join(latest, "run", "full")))
+    kept = F.col("__from").isNull() | (F.col("part") > F.col("__from")) | ((F.col("part") == F.col("__from")) & F.col("compacted"))
+    out = named.join(told, "run", "left").filter(kept)
+    return out.select("run", "part", F.col("__app.app_id").alias("app_id"), F.col("__app.attempt").alias("attempt"), *events.columns)
+
 
 def read_event_log(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Events of one or many applications; ``run`` is the log file they came from."""
-    events = spark.read.schema(EVENT_SCHEMA).json(paths)
-    return events.select(F.col("_metadata.file_path").alias("run"), "*")
+    """Events of one or many applications, from single files, folders of them, and rolled logs with any number of parts.
+
+    ``run`` is the file, or the folder of a rolled log; ``part`` orders its files; ``app_id`` and ``attempt`` are carried to
+    all events of a run. Files are read compressed as Spark's own readers can (their names say how).
+    """
+    events = spark.read.schema(EVENT_SCHEMA).option("recursiveFileLookup", "true").json(paths)
+    return with_runs(events.select(F.col("_metadata.file_path").alias("path"), "*")).drop("path")
 
 
 def parse_events(lines: DataFrame, line: str = "line", keep: Sequence[str] = ("run",)) -> DataFrame:
