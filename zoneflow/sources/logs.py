@@ -178,7 +178,7 @@ def read_log_sections(spark: SparkSession, paths: str | Sequence[str]) -> DataFr
     Logs are read line by line, so neither a log without an end mark nor the lines between blocks are ever one
     record; the rows of a task are pieces of bounded size. Each split is scanned by itself, one small row per split tells how
     it begins and ends, and these rows, in the order of the file, tell which splits begin inside a section. Only if such a
-    section is closed later are those files read again, for the lines that were taken for plain text at first.
+    section is closed later are the logs read again, for the lines that were taken for plain text at first.
     An unclosed section is no section. Of the lines after the mark only those with a ``=`` are kept, and one line for each
     run of others. (``start``, ``seq``) orders a file's sections.
     """
@@ -194,9 +194,10 @@ def read_log_sections(spark: SparkSession, paths: str | Sequence[str]) -> DataFr
         wrong = wrong.select("path", "start", F.lit(0).cast("long").alias("from_seq"))
         pieces = pieces.join(broadcast_if_small(materialise(wrong)), ["path", "start", "from_seq"], "left_anti").select(*pieces.columns)
     if goes_on.take(1):
-        again = [r["path"] for r in goes_on.select("path").distinct().collect()]
-        wanted = broadcast_if_small(goes_on.select("path", "start"))
-        lines = _split_lines(spark, again).join(wanted, ["path", "start"], "left_semi")
+        # the same paths again, since a file's splits depend on all that is read; one small row per split is broadcast,
+        # which leaves the lines in their order
+        wanted = F.broadcast(goes_on.select("path", "start"))
+        lines = _split_lines(spark, paths).join(wanted, ["path", "start"], "left_semi")
         heads = _pieces(lines, _scan_heads).join(broadcast_if_small(goes_on.drop("ends")), ["path", "start"])
         pieces = pieces.unionByName(heads.select(*pieces.columns))
     # nearly all sections are one closed piece; only those in several are put together, and never an unclosed one
