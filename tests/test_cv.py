@@ -166,3 +166,40 @@ def test_bernoulli(spark):
     df = spark.range(10_000)
     n = sampling.sample_rows(df, ["id"], target=1000, method="bernoulli").count()
     assert 800 < n < 1200
+
+
+def test_factors_keep_digits_that_moments_lose(spark):
+    """Two features that differ by a ten-millionth: scores as from the rows' own least squares."""
+    rng = np.random.default_rng(4)
+    n = 3000
+    a = rng.normal(5.0, 1.0, n)
+    b = a + 1e-7 * rng.normal(size=n)
+    y = 3 * a - 2e6 * (b - a) + rng.normal(0, 0.1, n)
+    fold = np.arange(n) % 5
+    rows = spark.createDataFrame([(int(f), *map(float, x)) for f, *x in zip(fold, a, b, y)], "fold int, a double, b double, y double").repartition(7)
+    got = {(r.combo, r.fold): r.score for r in cv.grid_scores_by_factors(rows, ["a", "b"], "y", combos=3, rounds=1).collect()}
+    assert len(got) == 15
+    for f in range(5):
+        x = np.column_stack([np.ones(n), a, b])
+        train = fold != f
+        center = x[train][:, 1:].mean(0)
+        z = np.column_stack([np.ones(n), a - center[0], b - a - (center[1] - center[0])])  # the same columns' span, well conditioned
+        scale = np.linalg.norm(z[train], axis=0)
+        w = np.linalg.lstsq(z[train] / scale, y[train], rcond=None)[0] / scale
+        fitted, mean = z[~train] @ w, y[train].mean()
+        for c in range(3):
+            s = 0.5 ** (1 + c)
+            want = np.mean((s * fitted + (1 - s) * mean - y[~train]) ** 2)
+            assert got[c, f] == pytest.approx(want, rel=1e-9)
+
+
+def test_factors_agree_with_moments_and_survive_odd_input(spark):
+    rows = [(i % 5, float(i % 7), 2.0, 2 * float(i % 7), float(i % 11)) for i in range(200)]  # constant and dependent columns
+    df = spark.createDataFrame(rows, "fold int, a double, c double, d double, y double")
+    key = lambda d: {(r.combo, r.fold): r.score for r in d.collect() if r.score is not None}
+    names = ["a", "c", "d"]
+    factors, moments = key(cv.grid_scores_by_factors(df, names, "y", 2, rounds=1)), key(cv.grid_scores(df, names, "y", 2, rounds=1))
+    assert factors.keys() == moments.keys() and all(factors[k] == pytest.approx(moments[k], rel=1e-9) for k in moments)
+    few = spark.createDataFrame([(0, 1.0, 1.0), (0, 2.0, 2.0), (1, 3.0, None), (1, 4.0, 1.0)], "fold int, a double, y double")
+    assert len(key(cv.grid_scores_by_factors(few, ["a"], "y", 1))) == 2
+    assert cv.grid_scores_by_factors(few.limit(0), ["a"], "y", 1).collect() == []

@@ -120,3 +120,21 @@ def test_cached_is_released(spark):
     with workdir.cached(spark.range(10).toDF("x")) as df:
         assert df.is_cached and df.count() == 10
     assert not df.is_cached
+
+
+def test_row_groups_outside_a_window_need_not_be_read(spark, tmp_path):
+    import datetime as dt
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    day = lambda i: dt.datetime(2024, 1, 1) + dt.timedelta(days=i)
+    pq.write_table(pa.table({"at": [day(i) for i in range(100)], "x": list(range(100))}), tmp_path / "a.parquet", row_group_size=10)
+    pq.write_table(pa.table({"at": pa.array([None, None], pa.timestamp("us")), "x": [1, 2]}), tmp_path / "b.parquet")
+    pq.write_table(pa.table({"x": [1, 2, 3]}), tmp_path / "c.parquet")
+    ranges = files.row_group_ranges(spark, str(tmp_path), "at", ["at"])
+    got = files.surviving_bytes(ranges, "2024-01-15", "2024-01-31").first()
+    # ten days a group: the second and third hold the window; groups without bounds are kept
+    assert (got.n_groups, got.n_kept) == (12, 4)
+    assert 0 < got.bytes_kept < got.bytes_needed < got.bytes_on_disk
+    assert files.surviving_bytes(ranges.limit(0), "2024-01-15", "2024-01-31").first().n_groups == 0

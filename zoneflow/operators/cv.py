@@ -197,6 +197,95 @@ def grid_scores(
     return cells.join(side, "fold", "left").select("combo", "fold", "rounds", score.alias("score"))
 
 
+def _upper(rows: np.ndarray) -> np.ndarray:
+    """Triangular factor of ``rows``, square whatever their number."""
+    width = rows.shape[1]
+    if len(rows) < width:
+        rows = np.vstack([rows, np.zeros((width - len(rows), width))])
+    return np.linalg.qr(rows, mode="r")
+
+
+_FACTOR = "fold int, n long, r array<double>"
+
+
+def _merge_factors(factors: DataFrame, width: int, ways: int | None) -> DataFrame:
+    """One factor per fold (and slice): a factor of stacked factors is the factor of all their rows."""
+    slice_ = F.lit(0) if ways is None else F.pmod(F.xxhash64("r"), F.lit(ways)).cast("int")
+
+    def merged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict = {}
+        for batch in batches:
+            for fold, n, r in zip(batch["fold"], batch["n"], batch["r"]):
+                one = np.asarray(r, float).reshape(-1, width)
+                before = held.get(fold)
+                held[fold] = (n, one) if before is None else (before[0] + n, _upper(np.vstack([before[1], one])))
+        yield pd.DataFrame([(f, n, r.ravel().tolist()) for f, (n, r) in held.items()], columns=["fold", "n", "r"])
+
+    # a task holds one small factor per fold, however many it merges
+    return factors.withColumn("__slice", slice_).repartition("fold", "__slice").drop("__slice").mapInPandas(merged, _FACTOR)
+
+
+def fold_factors(rows: DataFrame, features: Sequence[str] = FEATURES, target: str = TARGET, fold: str = "fold") -> DataFrame:
+    """``fold, n, r``: the triangular factor of every fold's ``[1, features, target]``, row by row, from the rows themselves.
+
+    Each task factors its rows batch by batch and keeps one factor per fold; factors are merged by slices first, then by
+    fold. Moments square the condition number of the features; the factors do not, so nearly dependent features keep
+    their digits. Rows that miss a value belong to no fold.
+    """
+    names = [*features, target]
+    width = len(names) + 1
+    slim = rows.na.drop(subset=names).select(F.col(fold).cast("int").alias("fold"), *(F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(names)))
+
+    def factored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict = {}
+        for batch in batches:
+            folds, x = batch["fold"].to_numpy(), batch.iloc[:, 1:].to_numpy(float)
+            x = np.column_stack([np.ones(len(x)), x])
+            for f in np.unique(folds):
+                part = x[folds == f]
+                n, r = held.get(int(f), (0, np.empty((0, width))))
+                held[int(f)] = (n + len(part), _upper(np.vstack([r, part])))
+        yield pd.DataFrame([(f, n, r.ravel().tolist()) for f, (n, r) in held.items()], columns=["fold", "n", "r"])
+
+    return _merge_factors(_merge_factors(slim.mapInPandas(factored, _FACTOR), width, 64), width, None)
+
+
+def grid_scores_by_factors(
+    design: DataFrame, features: Sequence[str] = FEATURES, target: str = TARGET, combos: int = COMBOS, folds: int = FOLDS, rounds: int = FIT_ROUNDS
+) -> DataFrame:
+    """The scores of ``grid_scores``, solved on the rows' factors instead of their moments.
+
+    The weights of a fold solve least squares on the merged factors of the others; its score is the length of its own factor
+    times the damped weights. Dependent features share their weight, as in a least-norm solution of scaled columns.
+    """
+    width = len(features) + 2
+
+    def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = {r["fold"]: (r["n"], np.array(r["r"], float).reshape(-1, width)) for r in json.loads(batch["rows"].iloc[0] or "[]")}
+            out = []
+            for f, (n, own) in found.items():
+                others = [r for g, (_, r) in found.items() if g != f]
+                if not others:
+                    continue
+                r = _upper(np.vstack(others))
+                scale = np.linalg.norm(r[:, :-1], axis=0)
+                scale[scale == 0] = 1.0
+                w = np.linalg.lstsq(r[:, :-1] / scale, r[:, -1], rcond=1e-13)[0] / scale
+                # the factor's first row holds the sums: its intercept entry times the mean of a column is that column's entry
+                mean = r[0, -1] / r[0, 0]
+                for c in range(combos):
+                    s = 0.5 ** (rounds * (1 + c))
+                    v = s * w
+                    v[0] += (1 - s) * mean
+                    out.append((c, f, rounds * (1 + c), float(np.sum((own @ np.append(v, -1.0)) ** 2) / n)))
+            yield pd.DataFrame(out, columns=["combo", "fold", "rounds", "score"])
+
+    factors = fold_factors(design, features, target).filter(F.col("fold").between(0, folds - 1))
+    rows = factors.agg(F.to_json(F.collect_list(F.struct("*"))).alias("rows"))
+    return rows.mapInPandas(scored, "combo int, fold int, rounds int, score double")
+
+
 def effective_parallelism(spark: SparkSession, cells: int) -> int:
     """Cells that can run at once."""
     return min(spark.sparkContext.defaultParallelism, cells)

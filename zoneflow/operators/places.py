@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from zoneflow.sources.workdir import materialise
 
 
-def _changes(columns: list[pa.Array], before: list[pa.Scalar] | None) -> np.ndarray:
+def key_changes(columns: list[pa.Array], before: list[pa.Scalar] | None) -> np.ndarray:
     """True at each row whose key differs from that of the row before it (null equals null)."""
     n = len(columns[0])
     out = np.zeros(n, bool)
@@ -62,7 +62,7 @@ def with_places(
             if not n:
                 continue
             cells = [b.column(i) for i in at]
-            new = _changes(cells, last) if cells else np.zeros(n, bool)
+            new = key_changes(cells, last) if cells else np.zeros(n, bool)
             last = [c[n - 1] for c in cells]
             # a row's place counts from its run's begin, which may lie in an earlier batch
             w = np.ones(n, "i8") if heavy is None else b.column(heavy).to_numpy().astype("i8")

@@ -311,6 +311,19 @@ i AS (SELECT *, sum(CAST(new AS INTEGER)) OVER (PARTITION BY run, phase ORDER BY
 s AS (SELECT run, phase, island, min(t0) AS t0, max(t1) AS t1 FROM i GROUP BY ALL)
 SELECT run, phase, round(CAST(sum(t1 - t0) AS DOUBLE) / 1000, 1) AS busy_s,
        round(CAST(max(t1) - min(t0) - sum(t1 - t0) AS DOUBLE) / 1000, 1) AS idle_s, count(*) AS n_islands FROM s GROUP BY run, phase""",
+    "pruned_bytes": f"""WITH g AS (
+  SELECT regexp_extract(file_name, '([a-z]+)[.]parquet', 1) AS name, row_group_id, sum(total_compressed_size) AS b,
+    sum(CASE WHEN path_in_schema IN ({NEEDED}, 'o_orderdate', 'o_totalprice') THEN total_compressed_size END) AS need,
+    max(CASE WHEN path_in_schema IN ('l_shipdate', 'o_orderdate') THEN CAST(stats_max_value AS TIMESTAMP) END) AS most,
+    min(CASE WHEN path_in_schema IN ('l_shipdate', 'o_orderdate') THEN CAST(stats_min_value AS TIMESTAMP) END) AS least
+  FROM parquet_metadata(['{CHECKED_DIR}/lineitem.parquet', '{CHECKED_DIR}/orders.parquet']) GROUP BY file_name, row_group_id),
+k AS (SELECT *, coalesce(NOT (most < TIMESTAMP '2001-09-01' OR least >= TIMESTAMP '2001-11-01'), true) AS kept FROM g)
+SELECT name, count(*) AS n_groups, count(*) FILTER (kept) AS n_kept, CAST(sum(b) AS BIGINT) AS bytes_on_disk, CAST(sum(need) AS BIGINT) AS bytes_needed,
+  CAST(coalesce(sum(need) FILTER (kept), 0) AS BIGINT) AS bytes_kept FROM k GROUP BY name""",
+    "longest_gaps": f"""WITH {TRIPS}, g AS (
+  SELECT PULocationID, epoch_us(tpep_pickup_datetime) - lag(epoch_us(tpep_pickup_datetime)) OVER (PARTITION BY PULocationID ORDER BY tpep_pickup_datetime) AS gap FROM m)
+SELECT PULocationID, count(*) AS n, max(gap) / 1e6 AS longest_gap FROM g GROUP BY PULocationID""",
+    "grid_scores_factors": _grid_two_sql(),
     "hot_keys": f"WITH {SKEWED} SELECT key, count(*) AS n FROM k GROUP BY key HAVING count(*) >= ceil(0.01 * (SELECT count(*) FROM k))",
     "split_hot_key": "SELECT count(*) AS n_rows, CAST(10 AS BIGINT) AS hot_chunks, true AS even FROM lineitem",
     "exact_sample": f"""SELECT {KEYS}, l_extendedprice FROM lineitem ORDER BY {_exact_hash()}, {KEYS}, l_extendedprice LIMIT 20000""",

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from zoneflow.functions.exprs import megabytes_per_second, seconds_between
 from zoneflow.functions.formats import BLOCK_MARK, EXECUTOR_MARK
-from zoneflow.operators import agg, compare, cv, features, heavy, ledger, matrix, runlog, sampling, stagestats
+from zoneflow.operators import agg, compare, cv, features, heavy, ledger, matrix, runlog, runs, sampling, stagestats
 from zoneflow.plans import tables as t
 from zoneflow.sources import files, logs, workdir
 from zoneflow.sources.workdir import materialise, new_path
@@ -86,6 +86,18 @@ def byte_totals(spark, sf):
     return files.byte_totals(files.footers(spark, f"{sf}/lineitem.parquet"), _NEEDED)
 
 
+@query
+def pruned_bytes(spark, sf):
+    """Bytes that a read of two late months fetches from line items and orders when row groups outside of it are skipped."""
+    needed = {"lineitem": "l_shipdate l_suppkey l_quantity l_linenumber l_extendedprice l_tax", "orders": "o_orderdate o_totalprice"}
+    out = None
+    for name, columns in needed.items():
+        ranges = files.row_group_ranges(spark, f"{sf}/{name}.parquet", columns.split()[0], columns.split())
+        one = files.surviving_bytes(ranges, "2001-09-01", "2001-11-01").select(F.lit(name).alias("name"), "*")
+        out = one if out is None else out.unionAll(one)
+    return out
+
+
 @query
 def scan_block(spark, sf):
     """What a scan run prints, as far as it does not depend on the clock, as a block and parsed back."""
@@ -229,6 +241,12 @@ def zone_features_grouped(spark, sf):
     return rounded(out.withColumnRenamed("PULocationID", "zone"), 6, *FEATURE_VALUES)
 
 
+@query
+def longest_gaps(spark, sf):
+    """Longest time without a pickup per zone, folded over the zone's trips in order, in many more tasks than zones."""
+    return runs.longest_gaps(_matrix(spark, sf), ["PULocationID"], "tpep_pickup_datetime", tasks=64)
+
+
 @query
 def zone_features_approx(spark, sf):
     """Sketch percentiles: whether each value's rank is within the sketch's accuracy of the wanted one."""
@@ -454,6 +472,14 @@ def grid_scores_two(spark, sf):
     return rounded(cv.grid_scores(cv.design_matrix(rows, names, keep=["fold"]), names, combos=4, rounds=1), 2, "score")
 
 
+@query
+def grid_scores_factors(spark, sf):
+    """The same two-feature scores, solved on triangular factors of the rows."""
+    rows = sampling.with_folds(_matrix(spark, sf, *t.ROW_KEYS), t.ROW_KEYS)
+    names = ["trip_distance", "passenger_count"]
+    return rounded(cv.grid_scores_by_factors(cv.design_matrix(rows, names, keep=["fold"]), names, combos=4, rounds=1), 2, "score")
+
+
 # ---- run logs ------------------------------------------------------------------------------
 
 

@@ -72,6 +72,54 @@ def footers(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     return _spread(file_inventory(spark, paths)).mapInPandas(read, FOOTER_SCHEMA)
 
 
+RANGE_SCHEMA = "path string, row_group int, least timestamp_ntz, most timestamp_ntz, n_nulls long, all_bytes long, needed_bytes long"
+
+
+def row_group_ranges(spark: SparkSession, paths: str | Sequence[str], column: str, needed: Sequence[str]) -> DataFrame:
+    """Per row group the least and most value of a time column and the bytes of all and of the needed columns, from footers.
+
+    A row group without statistics, or of a file without the column, has null bounds.
+    """
+    wanted = set(needed)
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for path in batch["path"]:
+                with _open_parquet(path) as f:
+                    for g in range(f.metadata.num_row_groups):
+                        group = f.metadata.row_group(g)
+                        cells = [group.column(i) for i in range(group.num_columns)]
+                        stats = next((c.statistics for c in cells if c.path_in_schema == column), None)
+                        known = stats is not None and stats.has_min_max
+                        plain = lambda v: pd.Timestamp(v).tz_localize(None) if known else None
+                        sizes = [(c.path_in_schema in wanted, c.total_compressed_size) for c in cells]
+                        rows.append((
+                            path, g, plain(stats.min) if known else None, plain(stats.max) if known else None,
+                            stats.null_count if stats is not None and stats.has_null_count else None,
+                            sum(n for _, n in sizes), sum(n for need, n in sizes if need),
+                        ))
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in RANGE_SCHEMA.split(", ")])
+
+    return _spread(file_inventory(spark, paths)).mapInPandas(read, RANGE_SCHEMA)
+
+
+def surviving_bytes(ranges: DataFrame, start: Column | str, end: Column | str) -> DataFrame:
+    """What a read of ``[start, end)`` has to fetch when row groups outside of it are skipped.
+
+    ``n_groups, n_kept, bytes_on_disk, bytes_needed`` (without skipping) and ``bytes_kept``. A row group is skipped only if its
+    bounds prove that it holds no row of the window; unknown bounds keep it.
+    """
+    at = lambda v: F.lit(v).cast("timestamp_ntz") if isinstance(v, str) else v
+    outside = (F.col("most") < at(start)) | (F.col("least") >= at(end))
+    kept = ~F.coalesce(outside, F.lit(False))
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    return ranges.agg(
+        F.count(F.lit(1)).alias("n_groups"), F.count_if(kept).alias("n_kept"), zero(F.sum("all_bytes")).alias("bytes_on_disk"),
+        zero(F.sum("needed_bytes")).alias("bytes_needed"), zero(F.sum(F.when(kept, F.col("needed_bytes")))).alias("bytes_kept"),
+    )
+
+
 def column_footprint(footer_rows: DataFrame, needed: Sequence[str]) -> DataFrame:
     """Compressed bytes per column and whether the projection needs it."""
     return footer_rows.groupBy("path_in_schema").agg(
