@@ -188,3 +188,23 @@ def test_components(spark):
     got = components(spark.createDataFrame(edges, "a long, b long")).collect()
     assert {x.node: x.component for x in got} == {x: want.find(x) for x in want.up} and len(got) == len(want.up)
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def thue_morse(n, letters="ab"):
+    return "".join(letters[bin(i).count("1") % 2] for i in range(n))
+
+
+def test_near_copies_of_texts_that_fool_rolling_hashes(spark):
+    """A Thue-Morse word and its complement agree under every polynomial hash modulo a power of two."""
+    texts = {1: f"one two {thue_morse(1024)}", 2: f"one two {thue_morse(1024, 'ba')}", 3: f"{thue_morse(2048)} {thue_morse(2048, 'ba')} end"}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.id: (r.n_shingles, r.component_id) for r in near_dedup.near_duplicates(df, shingle=3, percent=85).collect()}
+    assert got == {i: (1, i) for i in texts}
+
+
+def test_repeats_of_texts_that_fool_rolling_hashes(spark):
+    texts = {1: "x" * 80 + thue_morse(1024), 2: "y" * 80 + thue_morse(1024, "ba")}
+    texts |= {3: thue_morse(4096, "cd"), 4: thue_morse(4096, "dc")}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.id: [tuple(s) for s in r.spans] for r in suffix_dedup.repeat_spans(df).collect()}
+    assert got == repeat_spans(texts, 200)
