@@ -1,5 +1,7 @@
 """Quality and language models: held-out accuracy, odd rows, and the pieces of the fits."""
 
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -158,3 +160,70 @@ def test_language_texts_stay_in_the_tasks(spark, docs, monkeypatch):
     assert max(len(r.text) for r in rows) > 6 << langid.BUCKET_BITS
     assert got.languages == want.languages and (got.temperature, got.reject_below) == (want.temperature, want.reject_below)
     assert np.array_equal(got.weights, want.weights) and np.array_equal(got.bias, want.bias)
+
+
+def plain_features(text):
+    """The quality features, character by character and word by word."""
+    raw, words, lines = text.encode(), text.split(), text.split("\n")
+    if not raw:
+        return [0.0] * 18
+    size, n = len(raw), max(1, len(words))
+    share = lambda test: sum(1 for b in raw if test(b)) / size
+    among = lambda chars: share(lambda b: chr(b) in chars)
+    once = lambda items: len(set(items))
+    pairs = list(zip(words, words[1:]))
+    return [
+        math.log(1 + size), share(lambda b: 65 <= b <= 90), share(lambda b: 97 <= b <= 122), share(lambda b: 48 <= b <= 57), among(" \t"),
+        among(".,;:'()?-"), among('!"#$%&*+/<=>@[\\]^_`{|}~'), share(lambda b: b >= 128), among("\n"), min(60.0, len(text) / n),
+        sum(w.isupper() and len(w) > 1 for w in words) / n, once(words) / n, once(pairs) / n, sum(a == b for a, b in pairs) / n,
+        max((words.count(w) for w in set(words)), default=0) / n, once(lines) / len(lines), sum(len(w) < 4 for w in words) / n,
+        1 - sum(w[-1].isalnum() for w in words) / n,
+    ]
+
+
+def test_quality_scores_equal_the_slow_ones(docs, model):
+    """Each feature counted by hand, each table looked up by a linear search, all added up."""
+
+    def bin_of(edges, x):
+        return sum(e <= x for e in edges)
+
+    def margin(x):
+        out = model.intercept + sum(t[bin_of(e, v)] for e, t, v in zip(model.edges, model.tables, x))
+        return out + sum(t[bin_of(model.pair_edges[i], x[i]), bin_of(model.pair_edges[j], x[j])] for (i, j), t in zip(model.pairs, model.pair_tables))
+
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    texts = {i: t for i, t in texts.items() if len(t) < 4000}
+    got = {r.id: r for r in quality.score_documents(docs, model).collect()}
+    assert len(texts) > 100
+    for i, t in texts.items():
+        slow = plain_features(t)
+        assert quality.text_features(t) == pytest.approx(slow, rel=1e-12, abs=1e-12)
+        score = 1 / (1 + math.exp(-margin(quality.text_features(t))))
+        assert got[i].score == pytest.approx(score, rel=1e-9) and got[i].predicted == int(score >= 0.3)
+
+
+def test_language_scores_equal_the_slow_ones(docs, languages):
+    """Every piece of three and four bytes hashed, looked up and averaged one after the other."""
+
+    def probabilities(text):
+        raw = b" " + bytes(b if b > 127 or chr(b).isalpha() else 32 for b in text.lower().encode()) + b"    "
+        sums, n = np.zeros(len(languages.languages)), 0
+        for at in range(len(raw) - 4):
+            if raw[at : at + 2] != b"  ":
+                for size, factor in ((3, 0x9E3779B1), (4, 0x85EBCA6B)):
+                    number = int.from_bytes(raw[at : at + size], "little")
+                    sums += languages.weights[(number * factor % 2**32) >> (32 - langid.BUCKET_BITS)]
+                    n += 1
+        z = np.exp((sums / max(1, n) + languages.bias) / languages.temperature)
+        return z / z.sum()
+
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    got = {r.id: r for r in langid.predict_language(docs, languages).collect()}
+    short = {i: t for i, t in texts.items() if len(t) < 600}
+    assert len(short) > 30
+    for i, t in short.items():
+        p = probabilities(t)
+        if not any(c.isalpha() for c in t):
+            assert (got[i].lang_pred, got[i].score) == ("und", 0.0)
+        else:
+            assert got[i].lang_pred == languages.languages[int(p.argmax())] and got[i].score == pytest.approx(p.max(), rel=1e-5)

@@ -1,10 +1,13 @@
 """Each stage of the pipeline on its own input, against a plain version of the stage."""
 
+from collections import Counter
+
 import numpy as np
 import public_tokenizers
 import pytest
 from conftest import SF_SMALL
 from plain import exact_groups, near_classes, repeat_spans
+from pyspark.sql import functions as F
 from test_packing_topk_urls import check_pieces
 from tokenizers import Tokenizer
 
@@ -78,3 +81,33 @@ def test_pack_stage(spark, results):
 def test_run(spark, results):
     whole = corpus_pipeline.run(spark, SF_SMALL)
     assert {r.doc_id for r in whole.select("doc_id").distinct().collect()} == set(rows_of(results[4]))
+
+
+def test_stages_on_odd_rows(spark):
+    """Null ids and texts, empty, repeated and very long ones, other columns with the helpers' names, and no rows at all."""
+    good = [r for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(30).collect()]
+    rows = [(r.doc_id, r.text, r.lang, r.source, r.n_chars) for r in good]
+    long = " ".join(f"w{i % 977}x{i}" for i in range(30_000))
+    rows += [(None, None, None, None, None), (None, "", "en", "s", 0), (1000, None, "en", "s", None), (1001, "", None, "s", 0), (1002, long, "en", "s", len(long))]
+    rows += [rows[0], (1003, *rows[0][1:]), (None, *rows[0][1:])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int")
+    for c in ("row", "part", "id", "t", "x", "node", "fp", "hit"):
+        docs = docs.withColumn(c, F.lit("other"))
+    docs = materialise(docs)
+    empty = docs.limit(0)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before = [tuple(r) for r in docs.collect()]
+        docs, empty = materialise(stage(spark, docs, SF_SMALL)), stage(spark, empty, SF_SMALL)
+        assert docs.columns == empty.columns and docs.count() > 20 and empty.count() == 0, name
+        after = [tuple(r) for r in docs.collect()]
+        if name != "suffix_dedup":
+            assert not Counter(after) - Counter(before)
+        else:
+            assert sorted(map(str, ((r[0], *r[5:]) for r in after))) == sorted(map(str, ((r[0], *r[5:]) for r in before)))
+        if name == "exact_dedup":
+            plain = lambda t: " ".join((t or "").split())
+            texts = Counter(plain(r[1]) for r in after)
+            assert set(texts) == {plain(r[1]) for r in before} and max(texts.values()) == 1
+    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, SF_SMALL).collect()
+    assert sum(r.length for r in pieces) >= docs.count()
+    assert corpus_pipeline.STAGES[-1][1](spark, empty, SF_SMALL).count() == 0
