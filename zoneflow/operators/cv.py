@@ -25,7 +25,7 @@ COMBOS = 12
 FOLDS = 5
 FIT_ROUNDS = 50
 # Rows whose means the moments are shifted by.
-SHIFT_ROWS = 1000
+SHIFT_ROWS = 100
 
 
 def design_matrix(
@@ -54,8 +54,9 @@ def fold_statistics(
     code. Every column is shifted by its mean over a few rows first, so large values lose no digits.
     """
     columns = [*features, target]
-    near = rows.limit(SHIFT_ROWS).agg(*(F.avg(c).alias(f"c{i}") for i, c in enumerate(columns))).first()
-    shift = [near[i] if near[i] is not None and math.isfinite(near[i]) else 0.0 for i in range(len(columns))]
+    near = rows.select(*columns).head(SHIFT_ROWS)  # reads on only until there are as many
+    known = [[r[i] for r in near if r[i] is not None and math.isfinite(r[i])] for i in range(len(columns))]
+    shift = [sum(v) / len(v) if v else 0.0 for v in known]
     moved = rows.select(fold, *((F.col(c) - F.lit(shift[i])).alias(f"d{i}") for i, c in enumerate(columns)))
     p, d = len(features), lambda i: F.col(f"d{i}")
     products = [(i, k) for i in range(p + 1) for k in range(i, p + 1)]

@@ -2,8 +2,9 @@
 
 Values are counted per group first, which combines in the tasks. The distinct ones are dealt by ranges of (group, value), so a
 hot group splits by value, and running sums of the counts tell which ranks each value has. The wanted ranks pick
-their values. That is two shuffles of rows whatever the groups' sizes; no group is in one task, nothing is
-repeated until it fits, and no bound decides between two ways.
+their values. That is two shuffles of rows whatever the groups' sizes; no group is in one task and nothing is
+repeated until it fits. Where the groups' sizes, which are known from the aggregates, show that no group is large, the
+built-in exact aggregates do the same in one shuffle.
 """
 
 from __future__ import annotations
@@ -19,6 +20,10 @@ from zoneflow.operators.places import with_places
 from zoneflow.sources.workdir import materialise
 
 
+# Groups up to this many rows are bounded work for one task (some tens of MB of values).
+MAX_GROUP_ROWS = 500_000
+
+
 @dataclass(frozen=True)
 class Quantile:
     """One quantile of ``column`` per group.
@@ -34,6 +39,16 @@ class Quantile:
     strict: bool = False
     method: str = "linear"
 
+    def native(self) -> Column:
+        """By the built-in aggregates, which gather a group's values in one task."""
+        c = F.col(self.column)
+        if self.method == "index":
+            at = F.least(F.floor(F.count(c) * F.lit(self.fraction)), F.count(c) - 1)
+            value = F.get(F.sort_array(F.collect_list(c)), at.cast("int"))
+        else:
+            value = F.percentile(c, F.lit(self.fraction))
+        return (F.when(F.count(F.lit(1)) == F.count(c), value) if self.strict else value).alias(self.name)
+
     def approximate(self, accuracy: int = 10_000) -> Column:
         value = F.percentile_approx(self.column, self.fraction, accuracy).cast("double")
         return (F.when(F.count(F.lit(1)) == F.count(self.column), value) if self.strict else value).alias(self.name)
@@ -54,8 +69,8 @@ def summarise(
 ) -> DataFrame:
     """``groupBy(keys)`` with ordinary aggregates and exact quantiles of double columns. Null keys are dropped.
 
-    The source is read twice: for the aggregates and for the counts of values. ``tasks``: ranges of (group, value)
-    to make (default: the session's shuffle partitions).
+    The source is read twice: for the aggregates and for the values. ``tasks``: deal values to so many ranges whatever
+    the groups' sizes (default: only for groups above ``MAX_GROUP_ROWS``, to the session's shuffle partitions).
     """
     keys, columns = list(keys), sorted({q.column for q in quantiles})
     df = df.na.drop(subset=keys)
@@ -63,6 +78,9 @@ def summarise(
         return df.groupBy(*keys).agg(*aggs)
     sizes = [F.count(F.lit(1)).alias("__rows"), *(F.count(c).alias(f"__n_{c}") for c in columns)]
     groups = materialise(df.groupBy(*keys).agg(*aggs, *sizes))
+    named = [c for c in groups.columns if c not in ("__rows", *(f"__n_{c}" for c in columns))]
+    if tasks is None and (groups.agg(F.max("__rows")).first()[0] or 0) <= MAX_GROUP_ROWS:
+        return groups.select(*named).join(df.groupBy(*keys).agg(*(q.native() for q in quantiles)), keys)
     value = [F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("v")) for i, c in enumerate(columns)]
     each = df.select(*keys, F.explode(F.array(*value)).alias("__x")).select(*keys, "__x.c", "__x.v").filter("v IS NOT NULL")
     counted = each.groupBy(*keys, "c", "v").agg(F.count(F.lit(1)).alias("__k"))
@@ -82,5 +100,4 @@ def summarise(
         low, high, share = F.col(f"__low{j}"), F.col(f"__high{j}"), q.ranks(F.col("__rows"), F.col(f"__n_{q.column}"))[2]
         return F.when(share == 0, low).otherwise((1 - share) * low + share * high).alias(q.name)
 
-    named = [c for c in groups.columns if c not in ("__rows", *(f"__n_{c}" for c in columns))]
     return out.select(*named, *(result(j, q) for j, q in enumerate(quantiles)))
