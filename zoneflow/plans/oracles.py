@@ -272,6 +272,10 @@ FROM d JOIN w ON d.fold = w.fold, c GROUP BY combo, d.fold, rounds""",
     "byte_totals": f"SELECT {BYTES} FROM parquet_metadata('{CHECKED_DIR}/lineitem.parquet')",
     "scan_block": f"""WITH {TRIPS}, b AS (SELECT {BYTES} FROM parquet_metadata('{CHECKED_DIR}/lineitem.parquet'))
 SELECT 'duckdb' AS mode, bytes_on_disk, bytes_needed, (SELECT count(*) FROM trips) AS rows_in, (SELECT count(*) FROM m) AS rows_out FROM b""",
+    "timed_scan": f"""WITH {TRIPS}, b AS (SELECT {BYTES} FROM parquet_metadata('{CHECKED_DIR}/lineitem.parquet'))
+SELECT bytes_on_disk, bytes_needed, (SELECT count(*) FROM trips) AS rows_in, (SELECT count(*) FROM m) AS rows_out, true AS times_fit, true AS rate_fits FROM b""",
+    "timed_grid": f"""SELECT CAST(4 * count(DISTINCT {FOLD}) AS BIGINT) AS fits_done, true AS timed, CAST(4 * count(DISTINCT {FOLD}) AS BIGINT) AS n_scores
+  FROM lineitem""",
     "format_blocks": f"""SELECT {PATH} AS path, '===A2-METRICS v2.0 mode=rest phase=' || l_returnflag || '===' || chr(10)
   || 'wall_s=' || l_linenumber || chr(10) || 'zone=' || l_suppkey || chr(10) || 'status=' || l_linestatus || chr(10)
   || '===END===' AS text FROM lineitem""",

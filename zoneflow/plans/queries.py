@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from zoneflow.functions.exprs import megabytes_per_second, seconds_between
 from zoneflow.functions.formats import BLOCK_MARK, EXECUTOR_MARK
-from zoneflow.operators import agg, compare, cv, features, heavy, ledger, matrix, runlog, runs, sampling, stagestats
+from zoneflow.operators import agg, compare, cv, features, heavy, ledger, matrix, runlog, runs, sampling, stagestats, timed
 from zoneflow.plans import tables as t
 from zoneflow.sources import files, logs, workdir
 from zoneflow.sources.workdir import materialise, new_path
@@ -112,6 +112,23 @@ def scan_block(spark, sf):
     return blocks.select(kv["mode"].alias("mode"), *(kv[c].cast("long").alias(c) for c in row.columns))
 
 
+@query
+def timed_scan(spark, sf):
+    """The scan timed by itself: its block parsed, its counts, and whether its times and rate fit one another."""
+    footer_rows = files.footers(spark, f"{sf}/lineitem.parquet")
+    _, block = timed.timed_scan(t.trips(spark, sf), footer_rows, *t.WINDOW, needed=_NEEDED)
+    kv = F.col("kv")
+    num = lambda k: kv[k].cast("double")
+    read = F.greatest(num("t_read_s"), F.lit(1e-3))
+    rate = num("bytes_needed") / 1e6 / read / num("cores")
+    return runlog.parse_blocks(block, keep=[]).select(
+        *(kv[c].cast("long").alias(c) for c in ("bytes_on_disk", "bytes_needed", "rows_in", "rows_out")),
+        ((num("t_read_s") > 0) & (num("t_write_s") >= 0) & (num("t_write_s") <= num("t_total_s"))).alias("times_fit"),
+        # both sides are rounded
+        (F.abs(num("mb_per_s_per_core") - rate) <= 0.06 + 0.02 * rate + rate * 0.006 / read).alias("rate_fits"),
+    )
+
+
 @query
 def throughput(spark, sf):
     """Megabytes per second and core of every scan run's log."""
@@ -448,6 +465,20 @@ def grid_map(spark, sf):
     return rounded(cv.grid_scores(design, ["trip_distance"], combos=4, rounds=1), 2, "score")
 
 
+@query
+def timed_grid(spark, sf):
+    """A grid run timed by itself, and its seconds per fit from its own block."""
+    rows = sampling.with_folds(_matrix(spark, sf, *t.ROW_KEYS), t.ROW_KEYS)
+    design = cv.design_matrix(rows, ["trip_distance"], keep=["fold"])
+    scores, block = timed.timed_grid(design, ["trip_distance"], combos=4, rounds=1)
+    blocks = materialise(runlog.parse_blocks(block, keep=[]))
+    fits = F.col("kv")["fits_done"].cast("long")
+    per_fit = ledger.seconds_per_fit(blocks, keep=["kv"])
+    return per_fit.select(fits.alias("fits_done"), (F.col("seconds_per_fit") > 0).alias("timed")).join(
+        scores.agg(F.count("score").alias("n_scores"))
+    )
+
+
 @query
 def grid_task_map(spark, sf):
     """A user's function in one task per cell of the grid, with the cell's fold beside it: rows and mean of the other folds."""
