@@ -92,11 +92,13 @@ HASH_BITS = 60
 def key_hash(columns: Sequence[str | Column], seed: str) -> Column:
     """Well mixed 60-bit integer of a row's key columns, of any type, null included.
 
-    It depends on the values and the seed only; values of different seeds are independent.
+    It depends on the values and the seed only; values of different seeds are independent. Each part is told with its
+    length and null has none, so no two different keys are one text.
     """
     parts = [F.lit(seed)]
     for c in columns:
         c = F.col(c) if isinstance(c, str) else c
-        parts += [F.lit("/"), F.coalesce(c.cast("string"), F.lit("null"))]
+        text = c.cast("string")
+        parts += [F.lit("/"), F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))]
     digits = F.substring(F.md5(F.concat(*parts)), 1, HASH_BITS // 4)
     return F.conv(digits, 16, 10).cast("long")

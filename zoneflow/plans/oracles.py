@@ -39,8 +39,9 @@ SELECT PULocationID AS zone, n_trips, {r('mean_fare', 6)}, {r('mean_tip_ratio',
        {r('p90_distance', 6)}, {r('fare_per_km', 6)} FROM feat"""
 
 
-def _hash(seed: str) -> str:
-    keys = " || '/' || ".join(f"CAST({k} AS VARCHAR)" for k in ROW_KEYS)
+def _hash(seed: str, columns: list[str] = ROW_KEYS) -> str:
+    """Keys that are never null, each with its length."""
+    keys = " || '/' || ".join(f"length(CAST({k} AS VARCHAR)) || ':' || CAST({k} AS VARCHAR)" for k in columns)
     return f"CAST('0x' || substr(md5('{seed}/' || {keys}), 1, 15) AS BIGINT)"
 
 
@@ -160,11 +161,6 @@ APP_STAGES = STAGES.replace("o_custkey AS run", "'app-' || (o_custkey % 20) AS r
 SKEWED = "k AS (SELECT CASE WHEN l_orderkey % 10 < 3 THEN 0 ELSE l_partkey END AS key FROM lineitem)"
 
 
-def _exact_hash() -> str:
-    keys = " || '/' || ".join(f"CAST({k} AS VARCHAR)" for k in [*ROW_KEYS, "l_extendedprice"])
-    return f"CAST('0x' || substr(md5('sample436/' || {keys}), 1, 15) AS BIGINT)"
-
-
 def _at(value: str, nodes: int) -> str:
     return f"max(CASE WHEN nodes = {nodes} THEN {value} END)"
 
@@ -330,7 +326,7 @@ SELECT PULocationID, count(*) AS n, max(gap) / 1e6 AS longest_gap FROM g GROUP B
     "grid_scores_factors": _grid_two_sql(),
     "hot_keys": f"WITH {SKEWED} SELECT key, count(*) AS n FROM k GROUP BY key HAVING count(*) >= ceil(0.01 * (SELECT count(*) FROM k))",
     "split_hot_key": "SELECT count(*) AS n_rows, CAST(10 AS BIGINT) AS hot_chunks, true AS even FROM lineitem",
-    "exact_sample": f"""SELECT {KEYS}, l_extendedprice FROM lineitem ORDER BY {_exact_hash()}, {KEYS}, l_extendedprice LIMIT 20000""",
+    "exact_sample": f"""SELECT {KEYS}, l_extendedprice FROM lineitem ORDER BY {_hash('sample436', [*ROW_KEYS, 'l_extendedprice'])}, {KEYS}, l_extendedprice LIMIT 20000""",
     "kfold_by_place": f"""SELECT {KEYS}, l_extendedprice,
   CAST((row_number() OVER (ORDER BY {KEYS}, l_extendedprice) - 1) % 5 AS INTEGER) AS fold FROM lineitem""",
     "changed_rows": """WITH a AS (SELECT l_linenumber, l_returnflag, l_linestatus, l_tax, count(*) AS n FROM lineitem
