@@ -1,13 +1,15 @@
 """Repeated byte strings, found by hashes of fixed windows at difference-cover samples, sorted one bucket at a time.
 
-Suffixes themselves are not sorted, and equal hashes of 96 bits count as equal strings.
+Suffixes themselves are not sorted. Rolling hashes only rule out what is certainly single; what is equal is decided by 96
+bits of BLAKE2b over the window's bytes, under a key drawn for the call, so no text can be written to collide.
 """
 
 from __future__ import annotations
 
+import secrets
 import uuid
 from collections.abc import Callable, Iterator
-from functools import cache
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -16,23 +18,26 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from zoneflow.llm.common import cell, give_back, map_batches, materialise, new_path, per_process, rows_and_bytes, text_or_empty
-from zoneflow.llm.hashing import Rolling, byte_values, mix
+from zoneflow.llm.hashing import Rolling, mix
 
 # Sample period q*q + q + 1 for this q: of any 73 neighbouring positions 9 are samples.
 COVER_ORDER = 8
 # Text that one task holds at a time, and sample ranks that one bucket holds on average.
-PART_BYTES, BUCKET_RANKS = 24 * 1024 * 1024, 1_000_000
+PART_BYTES, BUCKET_RANKS = 8 * 1024 * 1024, 1_000_000
 MAX_TABLE_BUCKETS = 50_000
 _SLICE = 1 << 20
 NARROW, WIDE, SHIFTS, KEPT = 0, 1, 2, 3  # kinds of ranks; KEPT is no rank but what a part found out, for itself
 
 
-@cache
 def difference_cover(q: int = COVER_ORDER) -> tuple[int, tuple[int, ...]]:
     """Period ``v`` and a set of residues whose differences reach every residue.
 
     So for any two positions there is a shift below ``v`` that moves both onto sample positions.
     """
+    return per_process(("cover", q), lambda: _search_cover(q))
+
+
+def _search_cover(q: int) -> tuple[int, tuple[int, ...]]:
     v = q * q + q + 1
 
     def extend(chosen: list[int], used: set[int]) -> list[int] | None:
@@ -79,8 +84,17 @@ class Part:
     def end_of(self, at: np.ndarray) -> np.ndarray:
         return self.ends[np.searchsorted(self.starts, at, "right") - 1] if len(at) else at
 
+    def digests(self, at: np.ndarray, length: int, key: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """The next ``length`` bytes at each position as 64 and 32 bits of their keyed digest."""
+        whole, out = self.data.tobytes(), bytearray(12 * len(at))
+        for i, a in enumerate(at.tolist()):
+            out[12 * i : 12 * i + 12] = blake2b(whole[a : a + length], digest_size=12, key=key).digest()
+        raw = np.frombuffer(out, "u1").reshape(-1, 12)
+        low = np.ascontiguousarray(raw[:, 8:]).view("u4").ravel()
+        return np.ascontiguousarray(raw[:, :8]).view("u8").ravel(), low.astype("u8")
+
     def hashes(self, at: np.ndarray, length: int, rolling: Rolling) -> np.ndarray:
-        """Rank of the next ``length`` bytes at each (sorted) position; equal exactly when they are equal."""
+        """A number for the next ``length`` bytes at each (sorted) position; unequal numbers mean unequal bytes."""
         out = np.empty(len(at), "u8")
         for a in range(0, len(self.data), _SLICE):
             lo, hi = np.searchsorted(at, [a, a + _SLICE])
@@ -125,11 +139,13 @@ class Ranks:
     255 and 0 for none); equal ranks ask for the range that holds all of theirs.
     """
 
-    def __init__(self, part: Part, at: np.ndarray, length: int, wide: bool, shifts: tuple | None = None):
+    def __init__(self, part: Part, at: np.ndarray, length: int, key: bytes | None, shifts: tuple | None = None):
+        wide = key is not None
         self.at, self.kind = at, WIDE if wide else SHIFTS if shifts else NARROW
-        high = part.hashes(at, length, per_process("rolling", Rolling))
-        low = part.hashes(at, length, per_process("second rolling", _second)) if wide else np.zeros(len(at), "u8")
-        low &= np.uint64(0xFFFFFFFF)
+        if wide:
+            high, low = part.digests(at, length, key)
+        else:
+            high, low = part.hashes(at, length, per_process("rolling", Rolling)), np.zeros(len(at), "u8")
         order = _by_rank(high, low)
         high, low = high[order], low[order]
         new = np.concatenate([[True], (high[1:] != high[:-1]) | (low[1:] != low[:-1])]) if len(at) else np.empty(0, bool)
@@ -195,10 +211,6 @@ def _chosen(at: np.ndarray, some: np.ndarray) -> bytes:
     return np.packbits(bits).tobytes()
 
 
-def _second() -> Rolling:
-    return Rolling(values=byte_values(2))
-
-
 def sort_bucket(table: pa.Table) -> pa.Table:
     """One bucket of ranks, sorted. For every part: which of its ranks occur more than once anywhere, or the
     widest range of shifts that an equal rank asks for."""
@@ -239,8 +251,9 @@ def sort_bucket(table: pa.Table) -> pa.Table:
 class Search:
     """The four sorts as seen from one part; each needs the answers to the ones before."""
 
-    def __init__(self, texts: list[bytes], window: int, buckets: int, answers: dict[int, dict[int, bytes]]):
+    def __init__(self, texts: list[bytes], window: int, buckets: int, answers: dict[int, dict[int, bytes]], key: bytes):
         self.part, self.window, self.buckets, self.answers = Part(texts, window), window, buckets, answers
+        self.key = key
         self.keep: bytes | None = None
 
     def _kept(self, step: int, at: np.ndarray) -> np.ndarray | None:
@@ -250,7 +263,7 @@ class Search:
 
     def first(self) -> Ranks:
         """All cover samples by the bytes that any aligned repeat shares after them."""
-        return Ranks(self.part, self.part.samples(), self.part.shared, False)
+        return Ranks(self.part, self.part.samples(), self.part.shared, None)
 
     def second(self) -> Ranks | None:
         """Samples that are not single, by a whole window: the inside of every long repeat."""
@@ -262,7 +275,7 @@ class Search:
         if -1 in self.answers.get(3, {}):
             return None  # answered and kept
         at = self.near[self.near + self.window <= self.part.end_of(self.near)]
-        return Ranks(self.part, at, self.window, True)
+        return Ranks(self.part, at, self.window, self.key)
 
     def third(self) -> Ranks:
         """What is still open: starts just before such a sample whose window no found repeat covers.
@@ -287,7 +300,7 @@ class Search:
         some = lo < hi
         shift = np.full(len(near), 255), np.zeros(len(near), "i8")
         shift[0][some], shift[1][some] = near[some] - at[hi[some] - 1], near[some] - at[lo[some]]
-        return Ranks(part, near, part.shared, False, shift)
+        return Ranks(part, near, part.shared, None, shift)
 
     def starts(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
         """Starts of whole windows that lie ``low`` to ``high`` before each sample, in its document."""
@@ -300,7 +313,7 @@ class Search:
     def fourth(self) -> Ranks:
         """The starts that were asked for, by a whole window: the ends of long repeats, and short ones."""
         low, high = self.third().asked(self.answers.get(3, {}), self.buckets)
-        return Ranks(self.part, self.starts(low, high), self.window, True)
+        return Ranks(self.part, self.starts(low, high), self.window, self.key)
 
     def spans(self) -> list[list[tuple[int, int]]]:
         """Maximal covered runs of each document, in its own byte positions."""
@@ -366,7 +379,7 @@ def repeats(
     if window < 2 * v:
         raise ValueError(f"windows have at least {2 * v} bytes")
     buckets = max(1, -(-size * len(cover) // (v * BUCKET_RANKS)))
-    stored = _stored_parts(docs, text_col, size)
+    stored, secret = _stored_parts(docs, text_col, size), secrets.token_bytes(16)
     text_at = docs.columns.index(text_col)
     empty = docs.sparkSession.createDataFrame([], "step int, part long, bucket int, answer binary")
     answers = empty
@@ -375,7 +388,7 @@ def repeats(
         known: dict[int, dict[int, bytes]] = {}
         for step, bucket, answer in zip(*(right.column(c).to_pylist() for c in ("step", "bucket", "answer"))):
             known.setdefault(step, {})[bucket] = answer
-        return Search(_texts(left, text_at), window, buckets, known)
+        return Search(_texts(left, text_at), window, buckets, known, secret)
 
     def ask(step: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
         def asked(left: pa.Table, right: pa.Table) -> pa.Table:
