@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from hashlib import blake2b
+
 import numpy as np
 
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -55,24 +57,39 @@ class Rolling:
         return (prefix[end] - prefix[start]) * self.down[start]
 
 
-def word_hashes(data: bytes, rolling: Rolling, piece: int = 1 << 20) -> np.ndarray:
-    """One hash per word of lower-cased bytes, in order; words are what ASCII white space separates.
+class WordHashes(dict):
+    """64 bits of BLAKE2b under a secret key for each word, remembered while there is room.
 
-    Works in pieces of about ``piece`` bytes cut at white space, so memory does not follow the text.
+    Rolling hashes of bytes can be made to collide by whoever writes the texts; under a key drawn for the run nobody can
+    aim at a collision, and one by chance needs about 2^32 distinct words that meet in one comparison.
     """
-    out, at = [], 0
-    raw = np.frombuffer(data, "u1")
-    while at < len(raw):
-        end = min(len(raw), at + piece)
-        while end < len(raw) and not BLANKS[raw[end]]:
-            end += 1
-        part = raw[at:end]
-        blank = np.concatenate([[True], BLANKS[part], [True]])
-        start, stop = np.flatnonzero(blank[:-1] & ~blank[1:]), np.flatnonzero(~blank[:-1] & blank[1:])
-        if len(start):
-            out.append(mix(rolling.between(rolling.prefix(part), start, stop) + (stop - start).astype("u8")))
-        at = end
-    return np.concatenate(out) if out else np.empty(0, "u8")
+
+    ROOM = 60_000
+
+    def __init__(self, key: bytes):
+        super().__init__()
+        self.key = key
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= self.ROOM:
+            self.clear()
+        value = self[word] = int.from_bytes(blake2b(word, digest_size=8, key=self.key).digest(), "little")
+        return value
+
+    def of(self, data: bytes, piece: int = 1 << 20) -> np.ndarray:
+        """One hash per word of lower-cased bytes, in order; words are what ASCII white space separates.
+
+        Works in pieces of about ``piece`` bytes cut at white space, so memory does not follow the text.
+        """
+        out, at = [], 0
+        while at < len(data):
+            end = min(len(data), at + piece)
+            while end < len(data) and not BLANKS[data[end]]:
+                end += 1
+            words = data[at:end].split()
+            out.append(np.fromiter(map(self.__getitem__, words), "u8", len(words)))
+            at = end
+        return np.concatenate(out) if out else np.empty(0, "u8")
 
 
 def shingle_hashes(words: np.ndarray, k: int) -> np.ndarray:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import secrets
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,9 +11,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from zoneflow.llm.common import cell, give_back, map_batches, materialise, per_process, text_or_empty
+from zoneflow.llm.common import cell, give_back, latest_per_process, map_batches, materialise, text_or_empty
 from zoneflow.llm.graph import components
-from zoneflow.llm.hashing import LOWER, Rolling, mix, shingle_hashes, word_hashes
+from zoneflow.llm.hashing import LOWER, WordHashes, mix, shingle_hashes
 from zoneflow.sources.workdir import broadcast_if_small
 
 # Twenty small collections of up to three minhashes each. A table key is a pair of collections, so 60 minhashes give
@@ -20,7 +21,7 @@ from zoneflow.sources.workdir import broadcast_if_small
 # collections agree: it is missed with a chance of 1.3e-5 at a similarity of 0.8 and of 2e-7 at 0.85.
 COLLECTIONS, MOST_HASHES, MOST_MISSED = 20, 3, 2e-5
 # Documents that one comparison task takes from each side of a large cluster.
-BLOCK_DOCS, BLOCK_SHINGLES = 512, 2_000_000
+BLOCK_DOCS, BLOCK_SHINGLES = 512, 500_000
 
 
 def hashes_per_collection(percent: int) -> int:
@@ -36,9 +37,9 @@ def _seeds(hashes: int) -> np.ndarray:
     return mix(np.arange(1, COLLECTIONS * hashes + 1, dtype="u8") * np.uint64(0xD1342543DE82EF95)) | np.uint64(1)
 
 
-def shingle_set(text: str, k: int, rolling: Rolling) -> np.ndarray:
+def shingle_set(text: str, k: int, words: WordHashes) -> np.ndarray:
     """Sorted hashes of a text's distinct ``k``-word shingles, A-Z lower-cased."""
-    return np.unique(shingle_hashes(word_hashes(text.encode("utf-8", "surrogatepass").translate(LOWER), rolling), k))
+    return np.unique(shingle_hashes(words.of(text.encode("utf-8", "surrogatepass").translate(LOWER)), k))
 
 
 def collections_of(shingles: np.ndarray, seeds: np.ndarray) -> np.ndarray:
@@ -60,7 +61,7 @@ def _text_key(text) -> list:
     return [F.xxhash64(text).alias("t1"), F.xxhash64(F.lit("second"), text).alias("t2")]
 
 
-def signatures(docs: DataFrame, id_col: str, text_col: str, k: int, hashes: int) -> DataFrame:
+def signatures(docs: DataFrame, id_col: str, text_col: str, k: int, hashes: int, secret: bytes) -> DataFrame:
     """Per row ``(id, row_no, t1, t2, n_shingles, s1, s2, subs)``; ``s1, s2`` name the shingle set."""
     text = text_or_empty(text_col)
     rows = docs.select(cell(id_col).alias("id"), F.monotonically_increasing_id().alias("row_no"), *_text_key(text), text.alias("t"))
@@ -68,11 +69,11 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, k: int, hashes: int)
     schema = T.StructType([rows.schema[c] for c in ("id", "row_no", "t1", "t2")] + more)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rolling, seeds = per_process("rolling", Rolling), _seeds(hashes)
+        words, seeds = latest_per_process("words", secret, lambda: WordHashes(secret)), _seeds(hashes)
         for b in batches:
             n, s1, s2, subs = [], [], [], []
             for t in b.column(4):
-                s = shingle_set(t.as_py(), k, rolling)
+                s = shingle_set(t.as_py(), k, words)
                 n.append(len(s))
                 both = (mix(s).sum(dtype="u8"), mix(s ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype="u8"))
                 s1.append(int(both[0].astype("i8")))
@@ -109,20 +110,20 @@ def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(a) + len(b) - common)
 
 
-def _full_sets(docs: DataFrame, text_col: str, wanted: DataFrame, k: int) -> DataFrame:
+def _full_sets(docs: DataFrame, text_col: str, wanted: DataFrame, k: int, secret: bytes) -> DataFrame:
     """``(node, s)`` with the shingle set of each wanted node ``(node, t1, t2)``, from a second pass over the texts."""
     text = text_or_empty(text_col)
     rows = docs.select(*_text_key(text), text.alias("t")).join(broadcast_if_small(wanted), ["t1", "t2"]).select("node", "t")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rolling, seen = per_process("rolling", Rolling), set()
+        words, seen = latest_per_process("words", secret, lambda: WordHashes(secret)), set()
         for b in batches:
             nodes, out = [], []
             for node, t in zip(b.column(0).to_pylist(), b.column(1)):
                 if node not in seen:  # copies of a text bring it again
                     seen.add(node)
                     nodes.append(node)
-                    out.append(shingle_set(t.as_py(), k, rolling).tobytes())
+                    out.append(shingle_set(t.as_py(), k, words).tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(out, pa.binary())], ["node", "s"])
 
     return map_batches(rows, sets, "node long, s binary").dropDuplicates(["node"])
@@ -237,8 +238,10 @@ def near_duplicates(
     sets. Of a table key only edges to its smallest document are tried at first; where this leaves candidates
     of one cluster unconnected, the rest of the cluster is compared in blocks, so no link between candidates
     is lost and a large class costs as much as its size. Only sets of candidates move, never all texts.
+    Words are hashed under a key drawn for the call, so no text can be written to collide with another.
     """
-    signed = materialise(signatures(docs, id_col, text_col, shingle, hashes_per_collection(percent)))
+    secret = secrets.token_bytes(16)
+    signed = materialise(signatures(docs, id_col, text_col, shingle, hashes_per_collection(percent), secret))
     nonempty = signed.filter("n_shingles > 0")
     copies = nonempty.groupBy("s1", "s2").agg(F.min("row_no").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     copies = broadcast_if_small(materialise(copies.select("s1", "s2", "first")))
@@ -251,7 +254,7 @@ def near_duplicates(
     edges = materialise(candidate_edges(nodes.select("node", "subs")))
     members = edges.select("node").unionAll(edges.select(F.col("rep").alias("node"))).distinct()
     wanted = materialise(nodes.select("node", "t1", "t2").join(members, "node"))
-    sets = materialise(_full_sets(docs, text_col, wanted, shingle))
+    sets = materialise(_full_sets(docs, text_col, wanted, shingle, secret))
     links = materialise(_verified(edges, sets, percent))
     more = _remaining_links(edges, links, sets, percent)
     if more is not None:
