@@ -65,8 +65,8 @@ def send(df: DataFrame, value) -> Callable:
     return lambda: latest_per_process("sent", key, lambda: pickle.loads(sent.value))
 
 
-# Bytes of rows that Spark hands to Python at once; its own default is four times that, held on both sides.
-BATCH_BYTES, SPARK_BATCH_BYTES = 16 * 1024 * 1024, "67108864b"
+# Bytes of rows that Spark hands to Python at once; its own default is sixteen times that, held on both sides.
+BATCH_BYTES, SPARK_BATCH_BYTES = 4 * 1024 * 1024, "67108864b"
 
 
 def give_back() -> None:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from zoneflow.llm.common import cell, map_batches, text_or_empty
+from zoneflow.llm.common import cell, map_batches, send, text_or_empty
 
 # Fitted on at most this many documents of each language, chosen by a hash of their id.
 TRAIN_ROWS_PER_LANGUAGE = 1_000
@@ -284,15 +284,15 @@ def predict_language(
     out; equal texts get equal answers; no rows give no rows. One pass, no shuffle; the model (2^15 x languages
     numbers) is broadcast.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = send(docs, model)
     held = F.coalesce(_fold(cell(id_col), folds) == out, F.lit(False)).alias("held_out")
     rows = docs.select(cell(id_col).alias("id"), held, text_or_empty(text_col).alias("t"))
     schema = T.StructType([rows.schema["id"], *T.StructType.fromDDL("held_out boolean, lang_pred string, score double, rejected boolean").fields])
 
     def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            names, score = sent.value.predict([t.as_py() for t in b.column(2)])
-            low = [n == UNKNOWN or s < sent.value.reject_below for n, s in zip(names, score)]
+            names, score = sent().predict([t.as_py() for t in b.column(2)])
+            low = [n == UNKNOWN or s < sent().reject_below for n, s in zip(names, score)]
             cols = [b.column(0), b.column(1), pa.array(names, pa.string()), pa.array(score, pa.float64()), pa.array(low, pa.bool_())]
             yield pa.RecordBatch.from_arrays(cols, schema.names)
 

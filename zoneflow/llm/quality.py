@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from zoneflow.llm.common import cell, map_batches, text_or_empty
+from zoneflow.llm.common import cell, map_batches, send, text_or_empty
 from zoneflow.sources.workdir import broadcast_if_small
 
 # The model is fitted on at most this many labelled rows, chosen by a hash of their id.
@@ -245,12 +245,12 @@ def score_documents(
     Null counts as empty; empty texts get the score of all-zero features. A null id is never held out. Equal
     texts get equal scores. No rows give no rows. One pass, no shuffle; the model (a few kilobytes) is broadcast.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = send(docs, model)
     rows = docs.select(cell(id_col).alias("id"), _held_out(cell(id_col), folds).alias("held_out"), text_or_empty(text_col).alias("t"))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            s = sent.value.score(np.array([text_features(t.as_py()) for t in b.column(2)], "f8").reshape(-1, len(FEATURES)))
+            s = sent().score(np.array([text_features(t.as_py()) for t in b.column(2)], "f8").reshape(-1, len(FEATURES)))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(s, pa.float64())], ["id", "held_out", "score"])
 
     schema = T.StructType([rows.schema["id"], T.StructField("held_out", T.BooleanType()), T.StructField("score", T.DoubleType())])
@@ -259,12 +259,12 @@ def score_documents(
 
 def keep_good(docs: DataFrame, model: AdditiveModel, text_col: str = "text", threshold: float = 0.3) -> DataFrame:
     """The rows of ``docs`` whose score reaches the threshold, with all their columns, in one pass."""
-    sent, names, schema = docs.sparkSession.sparkContext.broadcast(model), docs.columns, docs.schema
+    sent, names, schema = send(docs, model), docs.columns, docs.schema
     at = names.index(text_col)
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             x = np.array([text_features(t.as_py() or "") for t in b.column(at)], "f8").reshape(-1, len(FEATURES))
-            yield b.filter(pa.array(sent.value.score(x) >= threshold))
+            yield b.filter(pa.array(sent().score(x) >= threshold))
 
     return map_batches(docs, kept, schema)
