@@ -196,3 +196,19 @@ def test_blocks_over_many_splits(spark, tmp_path, monkeypatch):
         for n, v in old.items():
             spark.conf.set(n, v)
     assert set(want) == {"spans", "inner", "open", "orphan"} and len(want["inner"]) == 2 and len(want["open"]) == 1
+
+
+def test_blocks_are_not_parsed_by_nested_expressions(spark):
+    df = runlog.parse_blocks(spark.createDataFrame([("p", CASES["two"][0])], "path string, text string"))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    # every step of such an expression was computed again for each step that read it
+    assert "lambdafunction" not in plan and "substr" not in plan
+
+
+def test_a_mark_without_a_version_is_no_block(spark):
+    text = block("a=1\nb=2\na=3\nmode=x", "mode=rest v=1") + "===A2-METRICS vX mode=no===\nq=1\n===END===\n" + block("z=1", "h=1")
+    rows = runlog.parse_blocks(spark.createDataFrame([("p", text), ("none", None)], "path string, text string")).orderBy("block").collect()
+    assert [(r.path, r.block, r.kv) for r in rows] == [
+        ("p", 0, {"mode": "x", "a": "3", "b": "2", "v": "1", "listener_version": "2.0"}),
+        ("p", 1, {"z": "1", "h": "1", "listener_version": "2.0"}),
+    ]

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import re
+from collections.abc import Iterator, Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from zoneflow.functions.exprs import key_value, last_wins_map, split_any, strip
 from zoneflow.functions.formats import (
     BLOCK_END,
     BLOCK_MARK,
@@ -15,14 +17,14 @@ from zoneflow.functions.formats import (
     EXECUTOR_MARK,
     HEADER_END,
     LEDGER_COLUMNS,
-    LINE_BREAKS,
     LINK_GBIT_PER_S,
     PINNED_PARTITIONS,
-    WHITESPACE,
 )
 
 # Block layout. Header pairs on the first line, one pair per body line.
-BLOCK_PATTERN = rf"(?s){BLOCK_MARK} v([\p{{Nd}}.]+) (.*?){HEADER_END}\n(.*?)\n{BLOCK_END}"
+_BEGIN = re.compile(rf"{BLOCK_MARK} v([\d.]+) ")
+# Blocks handed back to Spark at once.
+BATCH_BLOCKS = 10_000
 
 
 def _pairs(entries: Mapping[str, Column], sep: str) -> Column:
@@ -39,24 +41,59 @@ def block_text(header: Mapping[str, Column], body: Mapping[str, Column]) -> Colu
     )
 
 
+def _block_pairs(text: str) -> Iterator[dict[str, str]]:
+    """Pairs of each block of a text, those that come last first.
+
+    A block's header ends at the first header end, its body at the first block end behind that; a mark without a version is none.
+    """
+    at = _BEGIN.search(text)
+    while at:
+        head = text.find(f"{HEADER_END}\n", at.end())
+        body = head + len(f"{HEADER_END}\n")
+        end = text.find(f"\n{BLOCK_END}", body) if head >= 0 else -1
+        if end < 0:
+            return
+        lines = text[at.end() : head].split() + text[body:end].strip().splitlines()
+        pairs = [["listener_version", at[1]], *(s.split("=", 1) for s in lines if "=" in s)]
+        kv = dict(reversed(pairs))
+        if len(kv) < len(pairs):
+            kv.update(pairs)
+        yield kv
+        at = _BEGIN.search(text, end + len(f"\n{BLOCK_END}"))
+
+
 def parse_blocks(logs: DataFrame, text: str = "text", keep: Sequence[str] = ("path",)) -> DataFrame:
     """``keep, block, kv``: one row per block with its pairs as a map.
 
     A pair is cut at its first ``=``. Body lines without ``=`` are skipped, a later line overrides an
     earlier one and the body overrides the header. Works per row without a shuffle.
     """
-    found = logs.select(*keep, F.posexplode(F.regexp_extract_all(text, F.lit(BLOCK_PATTERN), F.lit(0))).alias("block", "t"))
-    # A match is mark, version, blank, header, header end, body, block end.
-    inner = F.substr("t", F.lit(len(f"{BLOCK_MARK} v") + 1), F.length("t") - len(f"{BLOCK_MARK} v\n{BLOCK_END}"))
-    version = F.substring_index(inner, " ", 1)
-    rest = F.substr(inner, F.length(version) + 2)
-    head = F.substring_index(rest, f"{HEADER_END}\n", 1)
-    body = F.substr(rest, F.length(head) + len(f"{HEADER_END}\n") + 1)
-    parts = found.select(*keep, "block", version.alias("version"), strip(head).alias("head"), strip(body).alias("body"))
-    lines = F.concat(split_any(F.col("head"), WHITESPACE), split_any(F.col("body"), LINE_BREAKS))
-    first = F.array(F.struct(F.lit("listener_version").alias("k"), F.col("version").alias("v")))
-    pairs = F.concat(first, F.transform(F.filter(lines, lambda s: s.contains("=")), key_value))
-    return last_wins_map(parts.select(*keep, "block", pairs.alias("pairs")), "pairs", "kv")
+    rows = logs.select(*keep, F.col(text).cast("string").cast("binary").alias("__text"))
+    schema = T.StructType([*rows.drop("__text").schema.fields, *T.StructType.fromDDL("block int, kv map<string, string>").fields])
+
+    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            row, block, ends, keys, values = [], [], [0], [], []
+
+            def batch() -> pa.RecordBatch:
+                kv = pa.MapArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys, pa.string()), pa.array(values, pa.string()))
+                kept = [c.take(pa.array(row, pa.int64())) for c in b.columns[:-1]]
+                return pa.RecordBatch.from_arrays([*kept, pa.array(block, pa.int32()), kv], schema.names)
+
+            for i, raw in enumerate(b.column(b.num_columns - 1).to_pylist()):
+                for n, kv in enumerate(_block_pairs((raw or b"").decode("utf-8", "replace"))):
+                    row.append(i)
+                    block.append(n)
+                    keys.extend(kv)
+                    values.extend(kv.values())
+                    ends.append(len(keys))
+                    if len(row) == BATCH_BLOCKS:
+                        yield batch()
+                        row, block, ends, keys, values = [], [], [0], [], []
+            if row:
+                yield batch()
+
+    return rows.mapInArrow(mapped, schema)
 
 
 def ledger_rows(

@@ -607,6 +607,11 @@ def _events(spark, sf) -> DataFrame:
     return materialise(logs.parse_events(t.event_lines(spark, sf)))
 
 
+def _tasks(spark, sf) -> DataFrame:
+    """The events' tasks, stored once; only the fields that tasks need are parsed."""
+    return materialise(stagestats.event_tasks(logs.parse_events(t.event_lines(spark, sf), names=["SparkListenerTaskEnd"])))
+
+
 @query
 def stage_rollup(spark, sf):
     return stagestats.rollup_events(logs.parse_events(t.event_lines(spark, sf)))
@@ -640,14 +645,23 @@ def _applications(spark, sf) -> DataFrame:
 def _rolled(spark, sf) -> DataFrame:
     """The applications' events from stored, rolled logs: a folder each, three numbered parts, the first two compacted into one."""
     path, place = new_path(spark, "events"), F.pmod(F.xxhash64("line"), F.lit(3)).cast("int") + 1
-    name = lambda number, end: F.concat(F.lit("events_"), number.cast("string"), F.lit("_app-"), F.col("run").cast("string"), F.lit(end))
+    name = lambda number, end="": F.concat(F.lit(f"events_{number}_app-"), F.col("run").cast("string"), F.lit(end))
     begins = F.col("line").contains("ApplicationStart")
     dealt = _applications(spark, sf).withColumn("part", F.when(begins, 1).otherwise(place))
     folder = F.concat(F.lit("eventlog_v2_app-"), F.col("run").cast("string")).alias("folder")
-    parts = dealt.select(folder, name(F.col("part"), "").alias("file"), "line").filter(~F.col("file").startswith("events_2_"))
-    compact = dealt.filter("part <= 2").select(folder, name(F.lit(2), ".compact").alias("file"), "line")
-    parts.unionAll(compact).repartition("folder", "file").write.partitionBy("folder", "file").option("compression", "gzip").text(path)
-    return materialise(logs.read_event_log(spark, path))
+    # what is compacted is written once more if its part is still there
+    both, compact, last = F.array(name(1), name(2, ".compact")), F.array(name(2, ".compact")), F.array(name(3))
+    files = F.explode(F.when(F.col("part") == 1, both).when(F.col("part") == 2, compact).otherwise(last)).alias("file")
+    # a compressed file is one task's work, so a long part lies in several
+    pieces = -(-t.table(spark, sf, "lineitem").count() // _LINES_A_PIECE)
+    piece = F.pmod(F.xxhash64(F.lit("piece"), "line"), F.lit(max(1, pieces)))
+    out = dealt.select(folder, files, "line").repartition("folder", "file", piece)
+    out.write.partitionBy("folder", "file").option("compression", "gzip").text(path)
+    return logs.read_event_log(spark, path)
+
+
+# Line items behind each piece of the applications' parts: at most some hundred thousand lines a file.
+_LINES_A_PIECE = 3_000_000
 
 
 @query
@@ -666,7 +680,8 @@ def run_nodes(spark, sf):
 @query
 def busy_times(spark, sf):
     """Time in which a phase's jobs ran, where jobs of one phase overlap and others run between them."""
-    return stagestats.busy_times(stagestats.event_jobs(logs.parse_events(_applications(spark, sf))))
+    jobs = logs.parse_events(_applications(spark, sf), names=["SparkListenerJobStart", "SparkListenerJobEnd"])
+    return stagestats.busy_times(stagestats.event_jobs(materialise(jobs)))
 
 
 @query
@@ -679,13 +694,13 @@ def latest_attempts(spark, sf):
 
 @query
 def task_quantiles(spark, sf):
-    return stagestats.task_quantiles(stagestats.event_tasks(_events(spark, sf)))
+    return stagestats.task_quantiles(_tasks(spark, sf))
 
 
 @query
 def task_quantiles_skewed(spark, sf):
     """More ranges than the session makes, so that stages' times lie in several tasks."""
-    return stagestats.task_quantiles(stagestats.event_tasks(_events(spark, sf)), chunks=64)
+    return stagestats.task_quantiles(_tasks(spark, sf), chunks=64)
 
 
 @query

@@ -254,28 +254,36 @@ def with_runs(events: DataFrame, path: str = "path") -> DataFrame:
     stands in one event of one part; it is carried to all rows of the run (null: no part names it). Parts up to the
     latest compacted one are told again by that one and are left out.
     """
-    named = events.withColumns(part_of(path)).filter(~F.col(path).rlike(STATUS_FILE))
-    latest = named.filter("compacted").groupBy("run").agg(F.max("part").alias("__from"))
-    started = named.filter(F.col("Event") == "SparkListenerApplicationStart").groupBy("run").agg(
-        F.max_by(F.struct(F.col("App ID").alias("app_id"), F.col("App Attempt ID").alias("attempt")), "part").alias("__app")
-    )
-    # one row per run; most logs are not compacted
-    told = broadcast_if_small(materialise(started.join(latest, "run", "full")))
+    # all but the application's id follows from the files' paths, of which there are few
+    files = materialise(events.select(F.col(path).alias("__path")).distinct().withColumns(part_of("__path")).filter(~F.col("__path").rlike(STATUS_FILE)))
+    latest = files.filter("compacted").groupBy("run").agg(F.max("part").alias("__from"))
+    begun = events.filter(F.col("Event") == "SparkListenerApplicationStart").select(F.col(path).alias("__path"), F.struct(F.col("App ID").alias("app_id"), F.col("App Attempt ID").alias("attempt")).alias("__app"))
+    started = begun.join(files, "__path").groupBy("run").agg(F.max_by("__app", "part").alias("__app"))
+    # most logs are not compacted
     kept = F.col("__from").isNull() | (F.col("part") > F.col("__from")) | ((F.col("part") == F.col("__from")) & F.col("compacted"))
-    out = named.join(told, "run", "left").filter(kept)
-    return out.select("run", "part", F.col("__app.app_id").alias("app_id"), F.col("__app.attempt").alias("attempt"), *events.columns)
+    told = files.join(latest, "run", "left").filter(kept).join(started, "run", "left")
+    told = told.select("__path", "run", "part", F.col("__app.app_id").alias("app_id"), F.col("__app.attempt").alias("attempt"))
+    out = events.withColumnRenamed(path, "__path").join(broadcast_if_small(materialise(told)), "__path").withColumnRenamed("__path", path)
+    return out.select("run", "part", "app_id", "attempt", *events.columns)
 
 
 def read_event_log(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Events of one or many applications, from single files, folders of them, and rolled logs with any number of parts.
 
     ``run`` is the file, or the folder of a rolled log; ``part`` orders its files; ``app_id`` and ``attempt`` are carried to
-    all events of a run. Files are read compressed as Spark's own readers can (their names say how).
+    all events of a run. Files are read compressed as Spark's own readers can (their names say how). The events are stored
+    once, since compressed text can be read by one task a file only.
     """
     events = spark.read.schema(EVENT_SCHEMA).option("recursiveFileLookup", "true").json(paths)
-    return with_runs(events.select(F.col("_metadata.file_path").alias("path"), "*")).drop("path")
+    return with_runs(materialise(events.select(F.col("_metadata.file_path").alias("path"), "*"))).drop("path")
 
 
-def parse_events(lines: DataFrame, line: str = "line", keep: Sequence[str] = ("run",)) -> DataFrame:
-    """Events from JSON text already in a column."""
+def parse_events(lines: DataFrame, line: str = "line", keep: Sequence[str] = ("run",), names: Sequence[str] = ()) -> DataFrame:
+    """Events from JSON text already in a column. ``names``: only these events, so that other lines need no parsing."""
+    if names:
+        # a name may be written with escapes, so such lines are parsed as well
+        told = F.col(line).contains("\\")
+        for n in names:
+            told = told | F.col(line).contains(n)
+        return parse_events(lines.filter(told), line, keep).filter(F.col("Event").isin(*names))
     return lines.select(*keep, F.from_json(line, EVENT_SCHEMA).alias("e")).select(*keep, "e.*")
