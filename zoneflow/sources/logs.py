@@ -87,14 +87,15 @@ def _scan(parts: Iterator[tuple[tuple, pa.Array]]) -> Iterator[tuple]:
         # outside of sections only lines with a mark matter
         marks = np.flatnonzero(pc.match_substring_regex(lines, f"^{BLOCK_END}|{BLOCK_MARK}").to_numpy(zero_copy_only=False))
         at = 0
-        while at < len(lines):
-            if section is None:
-                k = np.searchsorted(marks, at)
-                if k == len(marks):
-                    break
-                at = int(marks[k])
-            line = lines[at].as_py()
-            at += 1
+        for mark in [*marks.tolist(), len(lines)]:
+            if section is not None:
+                for line in lines.slice(at, mark - at).to_pylist():
+                    section.add(line)
+                    if section.size > PIECE_CHARS:
+                        yield section.row(split, False)
+            if mark == len(lines):
+                break
+            line, at = lines[mark].as_py(), mark + 1
             if line.startswith(BLOCK_END):
                 if section is not None:
                     yield section.row(split, True)
