@@ -170,3 +170,13 @@ def test_decode_broken_bytes():
     for ids in ([224], [50256, 224, 100], [160, 161, 162, 50, 50256]):
         assert bpe.decode(np.array(ids, "<u4").tobytes(), table) == tok.decode(ids, skip_special_tokens=False)
     assert os.path.exists(BYTES)
+
+
+def test_words_are_counted_in_all_texts(spark, monkeypatch):
+    monkeypatch.setattr(bpe, "COUNTED_CHUNKS", 20)
+    monkeypatch.setattr(bpe, "RUN_CHARS", 500)
+    once = [f"once{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(50)]
+    with open(BYTES, encoding="utf-8") as f:
+        spec = f.read()
+    got = bpe.frequent_words(rows_of(spark, ["the the", *once, None] + ["the"] * 25_000), spec, "text", 1e-5, 60)
+    assert got[0] == "the" and set(once) <= set(got)

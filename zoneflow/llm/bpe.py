@@ -19,15 +19,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from zoneflow.llm.common import cell, map_batches, materialise, per_process, text_or_empty
+from zoneflow.llm.common import cell, latest_per_process, map_batches, materialise, text_or_empty
 from zoneflow.llm.lexicon import Lexicon, compile_lexicon
 
 # Encoded chunks kept per worker process (twice, while a full table is still looked up), and the longest one kept.
 CACHE_ENTRIES, CACHE_LENGTH = 350_000, 48
 # Texts are worked on in runs of about this many characters, so memory does not follow the batch size.
 RUN_CHARS = 1_000_000
-# Whole texts that the words of a lexicon are chosen from; what it misses is merged, with the same ids.
-LEXICON_ROWS = 20_000
+# Distinct chunks that a task counts before it hands on what it has.
+COUNTED_CHUNKS = 150_000
 
 # Fixed value: how a byte-level vocabulary splits text.
 _BYTE_LEVEL_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -258,46 +258,41 @@ def decode(ids: bytes, table: list[bytes]) -> str:
     return b"".join(map(table.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
 
 
-def frequent_words(docs: DataFrame, spec: str, text_col: str, share: float, size: int, rows: int = LEXICON_ROWS) -> list[str]:
-    """The ``size`` most frequent words with at least ``share`` of all words in about ``rows`` whole texts.
+def frequent_words(docs: DataFrame, spec: str, text_col: str, share: float, size: int) -> list[str]:
+    """The ``size`` most frequent words with at least ``share`` of all words, counted in all texts.
 
-    The texts are chosen by a hash of the text, so the choice does not depend on partitions. A lexicon only saves work: a word
-    that it misses is merged, with the same ids, so a sample does. A word with the share of the whole has it in at
-    least one task, so each task sends on only the words that reach it there, at most ``1 / share``, and as many at most reach
-    the driver.
+    Tasks count chunks, of which few are distinct, split only those into words, and hand on what they have when a table is full;
+    Spark adds up. Texts that the library encodes whole have no words. At most ``1 / share`` words reach the driver.
     """
-    text = text_or_empty(text_col)
-    part = min(1.0, rows / max(1, docs.count()))
-    if part < 1:
-        docs = docs.filter(F.shiftrightunsigned(F.xxhash64(F.lit("lexicon"), text), 2) < int(part * 2**62))
     sent, key = docs.sparkSession.sparkContext.broadcast(spec), ("words", hashlib.sha256(spec.encode()).hexdigest())
 
-    def heavy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = per_process(key, lambda: WordEncoder(sent.value))
-        seen, total, most = Counter(), 0, int(4 / share)
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = latest_per_process("bpe", key, lambda: WordEncoder(sent.value))
+        chunks = Counter()
+
+        def words() -> pa.RecordBatch:
+            seen, total = Counter(), 0
+            for c, n in chunks.items():
+                for w in (c,) if c[1:].isalpha() else enc.split.findall(c):
+                    total += n
+                    if len(w) <= CACHE_LENGTH:
+                        seen[w] += n
+            names, counts = [None, *seen], [total, *seen.values()]
+            return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(counts, pa.int64())], ["word", "n"])
+
         for b in batches:
             for run in _runs(t.as_py() for t in b.column(0)):
-                chunks = Counter()
                 for text in run:
                     chunks.update(enc.chunks(text) or ())
-                for c, n in chunks.items():
-                    for w in (c,) if c[1:].isalpha() else enc.split.findall(c):
-                        seen[w] += n
-                        total += n
-            if len(seen) > most:
-                # taking a count away from at least half of the counters: over all such steps that is at most
-                # half the share, so a word that has the share still has half of it in the end
-                cut = sorted(seen.values(), reverse=True)[most // 2]
-                seen = Counter({w: n - cut for w, n in seen.items() if n > cut})
-        keep = [(None, total), *((w, n) for w, n in seen.items() if n >= total * share / 2 and len(w) <= CACHE_LENGTH)]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([w for w, _ in keep], pa.string()), pa.array([n for _, n in keep], pa.int64())], ["word", "n"]
-        )
+                if len(chunks) > COUNTED_CHUNKS:
+                    yield words()
+                    chunks.clear()
+        yield words()
 
-    found = map_batches(docs.select(text.alias("t")), heavy, "word string, n long")
+    found = map_batches(docs.select(text_or_empty(text_col).alias("t")), counted, "word string, n long")
     sums = materialise(found.groupBy("word").agg(F.sum("n").alias("n")))
     total = sums.filter("word IS NULL").agg(F.sum("n")).first()[0] or 0
-    top = sums.filter(F.col("word").isNotNull() & (F.col("n") >= total * share / 2)).orderBy(F.desc("n"), "word").limit(size)
+    top = sums.filter(F.col("word").isNotNull() & (F.col("n") >= total * share)).orderBy(F.desc("n"), "word").limit(size)
     return [r.word for r in top.collect()]
 
 
@@ -341,7 +336,7 @@ def _encoded(docs, spec, id_col, text_col, lexicon, columns, make) -> DataFrame:
         return WordEncoder(sent.value, Lexicon(SparkFiles.get(lexicon)) if lexicon else None, ranked), token_bytes(sent.value)
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, table = per_process(key, started)
+        enc, table = latest_per_process("bpe", key, started)
         for b in batches:
             at = 0
             for run in _runs(t.as_py() for t in b.column(1)):
