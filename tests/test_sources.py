@@ -3,7 +3,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import types as T
 
-from zoneflow.sources import files, workdir
+from zoneflow.sources import files, logs, workdir
 
 
 @pytest.fixture()
@@ -138,3 +138,21 @@ def test_row_groups_outside_a_window_need_not_be_read(spark, tmp_path):
     assert (got.n_groups, got.n_kept) == (12, 4)
     assert 0 < got.bytes_kept < got.bytes_needed < got.bytes_on_disk
     assert files.surviving_bytes(ranges.limit(0), "2024-01-15", "2024-01-31").first().n_groups == 0
+
+
+def test_event_log_text_is_read_once(spark, tmp_path):
+    folder = tmp_path / "eventlog_v2_a"
+    folder.mkdir()
+    (folder / "events_1_a").write_text('{"Event":"SparkListenerApplicationStart","App ID":"a","App Attempt ID":"1"}\n')
+    (folder / "events_2_a").write_text('{"Event":"SparkListenerJobStart","Job ID":7}\n')
+    (folder / "appstatus_a").write_text("")
+    events = logs.read_event_log(spark, str(tmp_path))
+    # the text is parsed before the events are told apart, not once more for each reader
+    assert "Format: JSON" not in events._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.part, r.app_id, r.attempt, r["Job ID"]) for r in events.collect()) == [(1, "a", "1", None), (2, "a", "1", 7)]
+
+
+def test_named_events_are_all_parsed(spark):
+    lines = ['{"Event":"A","Job ID":1}', '{"Event":"B","Note":"A"}', '{"Event":"\\u0041","Job ID":2}', '{"Event":"C"}', None]
+    df = spark.createDataFrame([(1, s) for s in lines], "run int, line string")
+    assert sorted(r["Job ID"] for r in logs.parse_events(df, names=["A"]).collect()) == [1, 2]

@@ -651,7 +651,9 @@ def _rolled(spark, sf) -> DataFrame:
     folder = F.concat(F.lit("eventlog_v2_app-"), F.col("run").cast("string")).alias("folder")
     # what is compacted is written once more if its part is still there
     both, compact, last = F.array(name(1), name(2, ".compact")), F.array(name(2, ".compact")), F.array(name(3))
-    files = F.explode(F.when(F.col("part") == 1, both).when(F.col("part") == 2, compact).otherwise(last)).alias("file")
+    # lines without a run have no part to lie in, and only the compacted ones are kept
+    known = F.col("run").isNotNull()
+    files = F.explode(F.when(known & (F.col("part") == 1), both).when(F.col("part") <= 2, compact).when(known, last)).alias("file")
     # a compressed file is one task's work, so a long part lies in several
     pieces = -(-t.table(spark, sf, "lineitem").count() // _LINES_A_PIECE)
     piece = F.pmod(F.xxhash64(F.lit("piece"), "line"), F.lit(max(1, pieces)))
