@@ -180,3 +180,27 @@ def test_words_are_counted_in_all_texts(spark, monkeypatch):
         spec = f.read()
     got = bpe.frequent_words(rows_of(spark, ["the the", *once, None] + ["the"] * 25_000), spec, "text", 1e-5, 60)
     assert got[0] == "the" and set(once) <= set(got)
+
+
+def test_plain_words_need_no_pattern():
+    """Chunks of letters, with or without a full stop or comma, are told without the pattern, and as the pattern would."""
+
+    class Counted:
+        def __init__(self, pattern):
+            self.pattern, self.asked = pattern, []
+
+        def findall(self, chunk):
+            self.asked.append(chunk)
+            return self.pattern.findall(chunk)
+
+    with open(BYTES, encoding="utf-8") as f:
+        enc = bpe.WordEncoder(f.read())
+    pattern, tok = enc.split, Tokenizer.from_file(BYTES)
+    odd = ["a.b", "(word", "it's", "'s", "x..", ".", ",", "", " ", " .", "\nword", "\x00a", "ab1", "é,", "中文.", "a\u0301.", "²", "a\u00a0b", "..."]
+    for chunk in [*odd, *(" " + c for c in odd if c.strip())]:
+        assert list(enc.words(chunk)) == pattern.findall(chunk), chunk
+    enc.split = Counted(pattern)
+    texts = ["Plain words, and a stop. Größe, 中文 here", "one\x00two three", "tab \tand", "new\nline", "two  blanks", "\x1f x"]
+    for text in texts:
+        assert np.frombuffer(enc.encode([text])[0], "<u4").tolist() == tok.encode(text, add_special_tokens=False).ids
+        assert text != texts[0] or enc.split.asked == []

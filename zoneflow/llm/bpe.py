@@ -10,7 +10,7 @@ import tempfile
 import unicodedata
 from array import array
 from collections import Counter
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +32,7 @@ COUNTED_CHUNKS = 150_000
 # Fixed value: how a byte-level vocabulary splits text.
 _BYTE_LEVEL_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _NEAR_BLANK = re.compile(r"\s | \s")
+_ASCII_SPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f"
 _BEYOND = re.compile("[^\x00-՗]")
 
 
@@ -117,17 +118,28 @@ class WordEncoder:
             return None
         if self.lower and "Σ" in text:
             return None
-        if _BEYOND.search(text) and any(unicodedata.category(c) == "Cn" for c in set(text)):
+        if not text.isascii() and _BEYOND.search(text) and any(unicodedata.category(c) == "Cn" for c in set(text)):
             return None
         if self.lower:
             if not text.isascii():
                 text = unicodedata.normalize("NFC", text)
             return text.lower().split(" ")
-        if _NEAR_BLANK.search(text):  # a blank beside white space is split by what surrounds it
+        if _blank_beside_space(text):  # is split by what surrounds it
             return self.split.findall(text)
+        if "\0" not in text:
+            return text.replace(" ", "\0 ").split("\0")
         first, *rest = text.split(" ")
         return [first, *(" " + c for c in rest)]
 
+    def words(self, chunk: str) -> Sequence[str]:
+        """Words of one chunk; most are letters, with or without a full stop or comma behind them."""
+        bare = chunk if self.lower else chunk.removeprefix(" ")
+        if bare.isalpha():
+            return (chunk,)
+        if bare[-1:] in (".", ",") and bare[:-1].isalpha():
+            return chunk[:-1], chunk[-1]
+        return self.split.findall(chunk)
+
     def _merge(self, words: list[str]) -> list[bytes]:
         if self.by_rank:
             return [array("I", self.by_rank(w + self.end)).tobytes() for w in words]
@@ -135,7 +147,7 @@ class WordEncoder:
         return [array("I", e.ids).tobytes() for e in got]
 
     def _encode_chunks(self, fresh: list[str]) -> dict[str, bytes]:
-        parts = [self.split.findall(c) for c in fresh]
+        parts = [self.words(c) for c in fresh]
         words = list({w for p in parts for w in p})
         found = self.lexicon.find([w.encode() for w in words]) if self.lexicon else [None] * len(words)
         table = dict(zip(words, found))
@@ -168,10 +180,11 @@ class WordEncoder:
         out = []
         for run in _runs(texts):
             cut = [self.chunks(t) for t in run]
-            fresh = set().union(*(c for c in cut if c is not None)) - self.cache.keys()
-            again = fresh & self.older.keys()
-            made = {c: self.older[c] for c in again}
-            made |= self._encode_chunks(list(fresh - again))
+            # a dict is asked for each chunk, while a view of its keys would be gone through as a whole
+            fresh = set().union(*(c for c in cut if c is not None)).difference(self.cache)
+            unseen = fresh.difference(self.older)
+            made = {c: self.older[c] for c in fresh - unseen}
+            made |= self._encode_chunks(list(unseen))
             long = [c for c in made if len(c) > CACHE_LENGTH]
             self.cache |= made
             for text, parts in zip(run, cut):
@@ -245,17 +258,26 @@ def _runs(texts: Iterable[str]) -> Iterator[list[str]]:
         yield run
 
 
-def token_bytes(spec: str) -> list[bytes]:
+def _blank_beside_space(text: str) -> bool:
+    if not text.isascii():
+        return _NEAR_BLANK.search(text) is not None
+    return "  " in text or any(c in text and (f"{c} " in text or f" {c}" in text) for c in _ASCII_SPACE)
+
+
+def token_bytes(spec: str) -> pa.Array:
     """Bytes of every id of a byte-level vocabulary, special strings included; unused ids are empty."""
     parsed, back = json.loads(spec), {c: b for b, c in byte_alphabet().items()}
     names = {i: s for s, i in parsed["model"]["vocab"].items()} | {t["id"]: t["content"] for t in parsed["added_tokens"]}
     of = lambda s: bytes(back[c] for c in s) if all(c in back for c in s) else s.encode()
-    return [of(names[i]) if i in names else b"" for i in range(max(names) + 1)]
+    return pa.array([of(names[i]) if i in names else b"" for i in range(max(names) + 1)], pa.large_binary())
 
 
-def decode(ids: bytes, table: list[bytes]) -> str:
+def decode(ids: bytes, table: pa.Array) -> str:
     """Text of ids given as little-endian unsigned 32-bit integers; broken UTF-8 becomes U+FFFD."""
-    return b"".join(map(table.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
+    if not ids:
+        return ""
+    # values that are taken lie one behind another
+    return table.take(pa.array(np.frombuffer(ids, "<u4"))).buffers()[2].to_pybytes().decode("utf-8", "replace")
 
 
 def frequent_words(docs: DataFrame, spec: str, text_col: str, share: float, size: int) -> list[str]:
@@ -273,7 +295,7 @@ def frequent_words(docs: DataFrame, spec: str, text_col: str, share: float, size
         def words() -> pa.RecordBatch:
             seen, total = Counter(), 0
             for c, n in chunks.items():
-                for w in (c,) if c[1:].isalpha() else enc.split.findall(c):
+                for w in enc.words(c):
                     total += n
                     if len(w) <= CACHE_LENGTH:
                         seen[w] += n
@@ -353,7 +375,7 @@ def round_trip(
     with open(vocabulary, encoding="utf-8") as f:
         spec = f.read()
 
-    def digests(ids: list[bytes], table: list[bytes]) -> tuple[pa.Array, ...]:
+    def digests(ids: list[bytes], table: pa.Array) -> tuple[pa.Array, ...]:
         sha = lambda data: hashlib.sha256(data).hexdigest()
         back = [sha(decode(i, table).encode("utf-8")) for i in ids]
         return pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array([sha(i) for i in ids]), pa.array(back)
