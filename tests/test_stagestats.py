@@ -165,3 +165,21 @@ def test_busy_time_leaves_gaps_out(spark):
     out = {r.phase: (r.busy_s, r.idle_s, r.n_islands) for r in ss.busy_times(jobs).collect()}
     assert out == {"A": (3.0, 3.0, 2), "B": (3.0, 0.0, 1), None: (0.1, 0.0, 1)}
     assert ss.busy_times(jobs.limit(0)).collect() == []
+
+
+def test_ends_of_jobs_are_joined_once(spark):
+    """Phases of stages need the starts only, so a rollup reads the ends for the spans and for nothing else."""
+    lines = [
+        '{"Event":"SparkListenerJobStart","Job ID":1,"Submission Time":1000,"Stage IDs":[7],"Properties":{"spark.jobGroup.id":"A"}}',
+        '{"Event":"SparkListenerJobStart","Job ID":2,"Submission Time":3000,"Stage IDs":[7,8],"Properties":{}}',
+        '{"Event":"SparkListenerJobEnd","Job ID":1,"Completion Time":2000}',
+        '{"Event":"SparkListenerJobEnd","Job ID":1,"Completion Time":2500}',
+        '{"Event":"SparkListenerStageCompleted","Stage Info":{"Stage ID":7,"Stage Attempt ID":0,"Number of Tasks":3}}',
+        '{"Event":"SparkListenerStageCompleted","Stage Info":{"Stage ID":8,"Stage Attempt ID":0,"Number of Tasks":5}}',
+    ]
+    events = logs.parse_events(spark.createDataFrame([("r", x) for x in lines], "run string, line string"))
+    assert sorted((r.stage_id, r.phase) for r in ss.stage_phases(ss.job_starts(events)).collect()) == [(7, "A"), (8, None)]
+    out = ss.rollup_events(events)
+    assert {r.phase: (r.job_span_s, r.partitions) for r in out.collect()} == {"A": (1.5, 3), None: (None, 5)}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("= SparkListenerJobEnd)") == 1

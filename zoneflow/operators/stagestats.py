@@ -53,23 +53,27 @@ def event_attempts(events: DataFrame) -> DataFrame:
     return ended.join(sums, keys, "left")
 
 
-def event_jobs(events: DataFrame) -> DataFrame:
-    """``run, job_id, phase, started_ms, ended_ms, stage_ids`` per job; the job group names the phase."""
-    start = events.filter(F.col("Event") == "SparkListenerJobStart").select(
+def job_starts(events: DataFrame) -> DataFrame:
+    """``run, job_id, phase, started_ms, stage_ids`` per started job; the job group names the phase."""
+    return events.filter(F.col("Event") == "SparkListenerJobStart").select(
         "run",
         F.col("Job ID").alias("job_id"),
         F.col("Properties")["spark.jobGroup.id"].alias("phase"),
         F.col("Submission Time").alias("started_ms"),
         F.col("Stage IDs").alias("stage_ids"),
     )
+
+
+def event_jobs(events: DataFrame) -> DataFrame:
+    """``run, job_id, phase, started_ms, stage_ids, ended_ms`` per job: the started jobs with their ends."""
     end = events.filter(F.col("Event") == "SparkListenerJobEnd").select(
         "run", F.col("Job ID").alias("job_id"), F.col("Completion Time").alias("ended_ms")
     )
-    return start.join(end, ["run", "job_id"], "left")
+    return job_starts(events).join(end, ["run", "job_id"], "left")
 
 
 def stage_phases(jobs: DataFrame) -> DataFrame:
-    """``run, stage_id, phase``: the phase of the job that first listed the stage, which ran it."""
+    """``run, stage_id, phase``: the phase of the job that first listed the stage, which ran it. Ends of jobs are not asked for."""
     listed = jobs.select("run", "phase", "started_ms", F.explode("stage_ids").alias("stage_id"))
     return listed.groupBy(*RUN_STAGE).agg(F.min_by("phase", F.struct("started_ms", "phase")).alias("phase"))
 
@@ -213,10 +217,9 @@ def with_degraded(phases: DataFrame, rollup: DataFrame, keys: Sequence[str] = PH
 def rollup_events(events: DataFrame) -> DataFrame:
     """Event log to phase rows. The events are stored once, so the log text is parsed once."""
     events = materialise(events)
-    jobs = event_jobs(events)
-    latest = latest_attempts(event_attempts(events).join(stage_phases(jobs), RUN_STAGE, "left"))
+    latest = latest_attempts(event_attempts(events).join(stage_phases(job_starts(events)), RUN_STAGE, "left"))
     rollup = phase_rollup(latest, task_quantiles(event_tasks(events)))
-    return with_degraded(phase_spans(jobs), rollup)
+    return with_degraded(phase_spans(event_jobs(events)), rollup)
 
 
 # What a phase's metrics block holds, in order, and where a rollup row has it.
