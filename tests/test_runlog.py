@@ -3,7 +3,9 @@ from pyspark.sql import functions as F
 
 from zoneflow.functions.formats import LEDGER_COLUMNS
 from zoneflow.operators import runlog
-from zoneflow.sources import logs
+from zoneflow.plans import tables
+from zoneflow.plans.queries import QUERIES
+from zoneflow.sources import logs, workdir
 
 
 def block(body, head="mode=rest platform=emr stage=2_emr phase=A_aggregate"):
@@ -212,3 +214,24 @@ def test_a_mark_without_a_version_is_no_block(spark):
         ("p", 0, {"mode": "x", "a": "3", "b": "2", "v": "1", "listener_version": "2.0"}),
         ("p", 1, {"z": "1", "h": "1", "listener_version": "2.0"}),
     ]
+
+
+def test_stored_logs_are_small_beside_their_text(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(workdir, "work_root", lambda _: str(tmp_path / "work"))
+    n = 4000
+    line_items = spark.range(n).select(
+        F.col("id").alias("l_orderkey"), (F.col("id") % 97).alias("l_partkey"), (F.col("id") % 13).alias("l_suppkey"),
+        (F.col("id") % 4 + 1).cast("int").alias("l_linenumber"), (F.col("id") % 50).cast("double").alias("l_quantity"),
+        (F.col("id") * 7.5 + 900).alias("l_extendedprice"), (F.col("id") % 10 / 100).alias("l_discount"),
+        F.lit("N").alias("l_returnflag"), F.lit("O").alias("l_linestatus"),
+    )
+    line_items.write.parquet(str(tmp_path / "sf/lineitem.parquet"))
+    spark.createDataFrame([("plain\n",), (None,)], "text string").write.parquet(str(tmp_path / "sf/documents.parquet"))
+    got = {(r.phase, r.mode): (r.n_blocks, r.sum_wall_s) for r in QUERIES["parse_log_files"](spark, str(tmp_path / "sf")).collect()}
+    two, one = [i % 50 for i in range(n) if i % 2 == 0], [i % 50 for i in range(n) if i % 2]
+    assert got == {
+        ("A_aggregate", "rest"): (len(two), sum(two)), ("B_fit", "rest"): (len(two), sum(two) + 7 * len(two)), ("scan", "duckdb"): (len(one), sum(one))
+    }
+    text = tables.run_logs(spark, str(tmp_path / "sf")).agg(F.sum(F.octet_length("text"))).first()[0]
+    stored = sum(p.stat().st_size for p in (tmp_path / "work").rglob("*") if p.is_file())
+    assert stored < text / 4

@@ -538,9 +538,11 @@ def parse_run_log(spark, sf):
 def parse_log_files(spark, sf):
     """The same logs stored as text files, read back in sections and parsed: blocks per phase."""
     path = new_path(spark, "logs")
-    t.run_logs(spark, sf).select("text").write.text(path)
+    # a compressed file is one task's work, so the logs lie in many
+    stored = lambda texts: texts.write.mode("append").options(**_STORED_LOGS).text(path)
+    stored(t.run_logs(spark, sf).select("text"))
     # logs that never printed a block or an end mark: whole documents
-    t.table(spark, sf, "documents").select(F.coalesce("text", F.lit("")).alias("text")).write.mode("append").text(path)
+    stored(t.table(spark, sf, "documents").select(F.coalesce("text", F.lit("")).alias("text")))
     blocks = runlog.parse_blocks(logs.read_log_sections(spark, path), keep=["path", "start", "seq"])
     wall = F.col("kv")["wall_s"].cast("long")
     return blocks.groupBy(F.col("kv")["phase"].alias("phase"), F.col("kv")["mode"].alias("mode")).agg(
@@ -548,6 +550,10 @@ def parse_log_files(spark, sf):
     )
 
 
+# Plain text of the logs is some fifteen times the tables it is made of.
+_STORED_LOGS = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED", "maxRecordsPerFile": 50_000}
+
+
 @query
 def ledger_rows(spark, sf):
     name = F.concat(F.lit("r-"), F.substring_index("path", "/", 1))

@@ -35,15 +35,15 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{work_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, path: str | None = None) -> DataFrame:
+def materialise(df: DataFrame, path: str | None = None, compression: str | None = None) -> DataFrame:
     """Write a result and read it back, so later steps read files and not the lineage.
 
     The table that comes back also carries its real size, which lets the planner decide on
-    a broadcast from a fact and not from an estimate.
+    a broadcast from a fact and not from an estimate. ``compression``: other than the session's.
     """
     spark = df.sparkSession
     path = path or new_path(spark, "table")
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
