@@ -1,3 +1,5 @@
+import gzip
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -235,3 +237,42 @@ def test_stored_logs_are_small_beside_their_text(spark, tmp_path, monkeypatch):
     text = tables.run_logs(spark, str(tmp_path / "sf")).agg(F.sum(F.octet_length("text"))).first()[0]
     stored = sum(p.stat().st_size for p in (tmp_path / "work").rglob("*") if p.is_file())
     assert stored < text / 4
+
+
+def test_compressed_logs_read_whole_are_like_plain_ones(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(logs, "PIECE_CHARS", 30)
+    monkeypatch.setattr(logs, "UNPACKED_BYTES", 7)
+    long = "\n".join(f"k{i}=été{i}\nplain {i}\n \n\x1c" for i in range(20))
+    texts = {
+        "two": f"noise\n{block(long)}\nx=1\n{block('a=1', 'phase=B_fit')}\n",
+        "inner": f"===A2-METRICS v2.0 phase=X===\n{long}\n{block('b=2')}\n{block('c=3\r')}",
+        "open": f"{block('a=1')}\n===A2-METRICS v2.0 phase=Y===\n{long}\n",
+        "orphan": f"{long}\n===END===\n===END==={block('d=4')}===A2-METRICS v2.0 phase=Z===\n\n\n===END===\n",
+        "empty": "",
+        "lines": "\n\n\n",
+    }
+    members = lambda text: b"".join(gzip.compress(text.encode()[i : i + 50]) for i in range(0, len(text.encode()), 50))
+    for name, text in texts.items():
+        for folder, content in (("plain", text.encode()), ("whole", members(text))):
+            (tmp_path / folder).mkdir(exist_ok=True)
+            (tmp_path / folder / (f"{name}.log" + ".gz" * (folder == "whole"))).write_bytes(content)
+    rows = lambda folder: sorted(
+        (r.path.split("/")[-1].removesuffix(".gz"), r.start, r.seq, r.text) for r in logs.read_log_sections(spark, str(tmp_path / folder)).collect()
+    )
+    want = rows("plain")
+    assert {r[0] for r in want} == {"two.log", "inner.log", "open.log", "orphan.log"} and len(want) == 7
+    assert rows("whole") == want
+    # larger ones come line by line
+    monkeypatch.setattr(logs, "WHOLE_BYTES", 300)
+    assert rows("whole") == want
+
+
+def test_sections_over_splits_are_read_once(spark, tmp_path):
+    long = "\n".join(f"k{i}=v{i}" for i in range(2000))
+    (tmp_path / "a.log").write_text(f"{block(long)}\n")
+    with workdir.session_conf(spark, {"spark.sql.files.maxPartitionBytes": "5000", "spark.sql.files.openCostInBytes": "0"}):
+        sections = logs.read_log_sections(spark, str(tmp_path))
+        # what comes back reads stored pieces; steps that read the logs would each read them again
+        plan = sections._jdf.queryExecution().executedPlan().toString()
+        assert "Format: Text" not in plan and "FileScan text" not in plan and "FileScan parquet" in plan
+        assert len(runlog.parse_blocks(sections, keep=[]).first().kv) == 2005

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gzip
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -11,10 +12,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zoneflow.functions.formats import BLOCK_END, BLOCK_MARK
-from zoneflow.sources.workdir import broadcast_if_small, materialise
+from zoneflow.sources.workdir import broadcast_if_small, materialise, session_conf
 
 # Characters of an open block that one row holds.
 PIECE_CHARS = 1 << 16
+# Bytes of a gzip file up to which it goes to a task's Python as it is, and text that is unpacked of it at once.
+WHOLE_BYTES, UNPACKED_BYTES = 4 << 20, 1 << 20
 
 _PIECES = "path string, start long, seq long, piece long, text string, ends boolean, opens long, early boolean"
 _BOUNDS, _HEAD = -2, -1  # in place of a section's number
@@ -26,14 +29,41 @@ def read_log_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame
     return raw.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("line"))
 
 
+def _goes_whole() -> Column:
+    """Small gzip files, known before any is opened. No two tasks can share one, so their lines need not come one by one."""
+    return F.col("_metadata.file_path").endswith(".gz") & (F.col("_metadata.file_size") <= WHOLE_BYTES)
+
+
+def _whole_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """``path, content``: the bytes of the files that go whole."""
+    raw = spark.read.format("binaryFile").load(paths).filter(_goes_whole())
+    return raw.select(F.col("_metadata.file_path").alias("path"), "content")
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, bytes]]:
+    """``(path, 0), text``: whole lines of whole files, a bounded text at a time."""
+    for b in batches:
+        for path, content in zip(b.column(0), b.column(1)):
+            here, parts = (path.as_py(), 0), []
+            with gzip.GzipFile(fileobj=pa.BufferReader(content.as_buffer())) as file:
+                while text := file.read(UNPACKED_BYTES):
+                    cut = text.rfind(b"\n") + 1
+                    if cut:
+                        yield here, b"".join([*parts, text[:cut]])
+                        parts = []
+                    parts.append(text[cut:])
+            if rest := b"".join(parts):
+                yield here, rest + b"\n"
+
+
 def _split_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """``path, start, line``: lines in the order of the file, those of a split next to one another."""
-    raw = spark.read.option("lineSep", "\n").text(paths)
+    """``path, start, line``: lines of the other files in the order of the file, those of a split next to one another."""
+    raw = spark.read.option("lineSep", "\n").text(paths).filter(~_goes_whole())
     return raw.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), F.col("value").alias("line"))
 
 
-def _by_split(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, pa.Array]]:
-    """``(path, start), lines``: batches cut where another split begins."""
+def _by_split(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, bytes]]:
+    """``(path, start), text``: batches of lines cut where another split begins, every line with its end."""
     for b in batches:
         n = b.num_rows
         if not n:
@@ -41,30 +71,55 @@ def _by_split(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, pa.Arr
         codes, start = b.column(0).dictionary_encode().indices.to_numpy(), b.column(1).to_numpy()
         cuts = [0, *(np.flatnonzero((np.diff(codes) != 0) | (np.diff(start) != 0)) + 1).tolist(), n]
         for lo, hi in zip(cuts, cuts[1:]):
-            yield (b.column(0)[lo].as_py(), int(start[lo])), b.column(2).slice(lo, hi - lo)
+            lines = pa.ListArray.from_arrays(pa.array([0, hi - lo], pa.int32()), b.column(2).slice(lo, hi - lo))
+            text = pc.binary_join(lines, "\n")[0].as_buffer().to_pybytes()
+            yield (b.column(0)[lo].as_py(), int(start[lo])), text + b"\n"
 
 
-class _Section:
-    """Text of one section in pieces of bounded size. Runs of lines without a pair become one line, which parses the same."""
+def _lines_of(text: bytes) -> tuple[pa.Array, np.ndarray]:
+    """Lines of a text, each with its end, as an array over the bytes, and where each begins."""
+    ends = np.flatnonzero(np.frombuffer(text, np.uint8) == ord("\n")) + 1
+    at = np.concatenate(([0], ends)).astype(np.int32)
+    return pa.StringArray.from_buffers(len(ends), pa.py_buffer(at), pa.py_buffer(text)), at
+
 
-    def __init__(self, seq: int):
-        self.seq, self.piece, self.lines, self.size, self.run = seq, 0, [], 0, None
+def _where(told: pa.Array) -> np.ndarray:
+    return np.flatnonzero(told.to_numpy(zero_copy_only=False))
 
-    def add(self, line: str) -> None:
-        if "=" in line:
-            self.lines += [line] if self.run is None else [self.run, line]
-            self.size, self.run = self.size + len(line), None
-        else:
-            self.run = "." if self.run == "." or line.strip() else ""
 
-    def row(self, split: tuple, ends: bool) -> tuple:
+class _Section:
+    """Text of one section in pieces of bounded size. Runs of lines without a pair become one line, which parses the same."""
+
+    def __init__(self, split: tuple, seq: int):
+        self.split, self.seq, self.piece, self.lines, self.size, self.run = split, seq, 0, [], 0, None
+
+    def add(self, text: str, pairs: bool = False) -> Iterator[tuple]:
+        """Take lines and give the pieces that are full. ``pairs``: all lines hold a pair."""
+        if pairs and self.size + len(text) <= PIECE_CHARS:
+            self._take(text)
+            return
+        for line in text.split("\n"):
+            if "=" in line:
+                self._take(line)
+                if self.size > PIECE_CHARS:
+                    yield self.row(False)
+            else:
+                self.run = "." if self.run == "." or line.strip() else ""
+
+    def _take(self, text: str) -> None:
+        if self.run is not None:
+            self.lines.append(self.run)
+        self.lines.append(text)
+        self.size, self.run = self.size + len(text), None
+
+    def row(self, ends: bool) -> tuple:
         lines = self.lines if self.run is None else [*self.lines, self.run]
-        out = (*split, self.seq, self.piece, "\n".join(lines) if lines else None, ends, None, None)
+        out = (*self.split, self.seq, self.piece, "\n".join(lines) if lines else None, ends, None, None)
         self.piece, self.lines, self.size, self.run = self.piece + 1, [], 0, None
         return out
 
 
-def _scan(parts: Iterator[tuple[tuple, pa.Array]]) -> Iterator[tuple]:
+def _scan(parts: Iterator[tuple[tuple, bytes]]) -> Iterator[tuple]:
     """Pieces of the sections of each split, as if no section were open where it begins, and how the split ends.
 
     A section begins at the first block mark after an end mark, or after the split's begin, and is closed by the next line
@@ -77,67 +132,69 @@ def _scan(parts: Iterator[tuple[tuple, pa.Array]]) -> Iterator[tuple]:
     def finish() -> Iterator[tuple]:
         if split is not None:
             if section is not None:
-                yield section.row(split, False)
+                yield section.row(False)
             yield (*split, _BOUNDS, 0, None, ended, section.seq if section is not None else None, early)
 
-    for here, lines in parts:
+    for here, text in parts:
         if here != split:
             yield from finish()
             split, section, seq, ended, early = here, None, 0, False, False
+        lines, at = _lines_of(text)
         # outside of sections only lines with a mark matter
-        marks = np.flatnonzero(pc.match_substring_regex(lines, f"^{BLOCK_END}|{BLOCK_MARK}").to_numpy(zero_copy_only=False))
-        at = 0
-        for mark in [*marks.tolist(), len(lines)]:
-            if section is not None:
-                for line in lines.slice(at, mark - at).to_pylist():
-                    section.add(line)
-                    if section.size > PIECE_CHARS:
-                        yield section.row(split, False)
-            if mark == len(lines):
+        marks = _where(pc.or_(pc.starts_with(lines, BLOCK_END), pc.match_substring(lines, BLOCK_MARK)))
+        if section is None and not len(marks):
+            continue
+        plain = _where(pc.invert(pc.match_substring(lines, "=")))
+        # whether a line without a pair lies between a mark and the one before
+        runs = np.diff(np.searchsorted(plain, [0, *marks, len(lines)])) > 0
+        behind = 0
+        for mark, till, run in zip([*at[marks].tolist(), len(text)], [*at[marks + 1].tolist(), None], runs.tolist()):
+            if section is not None and mark > behind:
+                yield from section.add(text[behind : mark - 1].decode(), not run)
+            if till is None:
                 break
-            line, at = lines[mark].as_py(), mark + 1
+            line, behind = text[mark : till - 1].decode(), till
             if line.startswith(BLOCK_END):
                 if section is not None:
-                    yield section.row(split, True)
+                    yield section.row(True)
                 section, ended, line = None, True, line[len(BLOCK_END) :]
             if section is not None:
-                section.add(line)
-                if section.size > PIECE_CHARS:
-                    yield section.row(split, False)
+                yield from section.add(line)
             elif BLOCK_MARK in line:
-                section, seq, early = _Section(seq), seq + 1, early or not ended
-                section.add(line[line.index(BLOCK_MARK) :])
+                section, seq, early = _Section(split, seq), seq + 1, early or not ended
+                # a section's first line is never a piece of its own
+                section._take(line[line.index(BLOCK_MARK) :])
     yield from finish()
 
 
-def _scan_heads(parts: Iterator[tuple[tuple, pa.Array]]) -> Iterator[tuple]:
+def _scan_heads(parts: Iterator[tuple[tuple, bytes]]) -> Iterator[tuple]:
     """What each split holds of a section that is open where it begins: its lines up to the first end mark."""
     split, section = None, None
-    for here, lines in parts:
+    for here, text in parts:
         if here != split:
             if section is not None:
-                yield section.row(split, False)
-            split, section = here, _Section(_HEAD)
+                yield section.row(False)
+            split, section = here, _Section(here, _HEAD)
         if section is None:
             continue
-        closes = np.flatnonzero(pc.starts_with(lines, BLOCK_END).to_numpy(zero_copy_only=False))
-        for line in lines.slice(0, int(closes[0]) if len(closes) else None):
-            section.add(line.as_py())
-            if section.size > PIECE_CHARS:
-                yield section.row(split, False)
+        lines, at = _lines_of(text)
+        closes = _where(pc.starts_with(lines, BLOCK_END))
+        till = int(at[closes[0]]) if len(closes) else len(text)
+        if till:
+            yield from section.add(text[: till - 1].decode())
         if len(closes):
-            yield section.row(split, True)
+            yield section.row(True)
             section = None
     if section is not None:
-        yield section.row(split, False)
+        yield section.row(False)
 
 
-def _pieces(lines: DataFrame, scan) -> DataFrame:
+def _pieces(lines: DataFrame, scan, parts=_by_split) -> DataFrame:
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.int64(), pa.bool_()]
         names, rows, size = [c.split()[0] for c in _PIECES.split(", ")], [], 0
         batch = lambda: pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
-        for r in scan(_by_split(batches)):
+        for r in scan(parts(batches)):
             rows.append(r)
             size += len(r[4] or "")
             if size > 16 * PIECE_CHARS or len(rows) > 10_000:
@@ -183,8 +240,10 @@ def read_log_sections(spark: SparkSession, paths: str | Sequence[str]) -> DataFr
     An unclosed section is no section. Of the lines after the mark only those with a ``=`` are kept, and one line for each
     run of others. (``start``, ``seq``) orders a file's sections.
     """
+    scanned = _pieces(_whole_files(spark, paths), _scan, _unpacked).unionAll(_pieces(_split_lines(spark, paths), _scan))
     # the text of all sections, which zstd brings to a third of what Spark's usual codec does
-    found = materialise(_pieces(_split_lines(spark, paths), _scan), compression="zstd")
+    with session_conf(spark, {"spark.sql.execution.arrow.maxBytesPerBatch": f"{WHOLE_BYTES}b"}):
+        found = materialise(scanned, compression="zstd")
     bounds = found.filter(F.col("seq") == _BOUNDS)
     inside = materialise(_open_at_begin(bounds))
     names = ["path", "from_start", "from_seq"]
@@ -200,7 +259,9 @@ def read_log_sections(spark: SparkSession, paths: str | Sequence[str]) -> DataFr
         # which leaves the lines in their order
         wanted = F.broadcast(goes_on.select("path", "start"))
         lines = _split_lines(spark, paths).join(wanted, ["path", "start"], "left_semi")
-        heads = _pieces(lines, _scan_heads).join(broadcast_if_small(goes_on.drop("ends")), ["path", "start"])
+        # stored, since more than one step reads them and each would read the logs again
+        heads = materialise(_pieces(lines, _scan_heads), compression="zstd")
+        heads = heads.join(broadcast_if_small(goes_on.drop("ends")), ["path", "start"])
         pieces = pieces.unionByName(heads.select(*pieces.columns))
     # nearly all sections are one closed piece; only those in several are put together, and never an unclosed one
     short = F.col("ends") & (F.col("piece") == 0) & (F.col("start") == F.col("from_start"))
