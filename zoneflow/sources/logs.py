@@ -36,7 +36,7 @@ def _goes_whole() -> Column:
 
 def _whole_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """``path, content``: the bytes of the files that go whole."""
-    raw = spark.read.format("binaryFile").load(paths).filter(_goes_whole())
+    raw = spark.read.format("binaryFile").load(paths if isinstance(paths, str) else list(paths)).filter(_goes_whole())
     return raw.select(F.col("_metadata.file_path").alias("path"), "content")
 
 
